@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The reference pipeline is batch only: it has no readStream/writeStream, watermark,
+trigger or state anywhere, so nothing is built here (see README, "Not built").
+"""
