@@ -92,13 +92,14 @@ def seller_month_features(sales: DataFrame) -> DataFrame:
     """Completed-order metrics and the all-status cancel rate in ONE aggregation.
 
     Equivalent to ``seller_month_base`` left-joined with ``cancel_rate`` (the join
-    keeps only seller-months with a completed order, hence the HAVING filter), but
-    it reads the fact once and shuffles once.
+    keeps only seller-months with a completed order, hence the filter), but it reads
+    the fact once and shuffles once.  ``seller_type`` depends on ``seller_id`` only,
+    so grouping by it changes no group and keeps every buffer fixed-width (hash
+    aggregation instead of a sort-based one).
     """
     done = F.col("status") == COMPLETED
     amount = F.when(done, money("total_amount"))
-    return (sales.groupBy("seller_id", "year_month").agg(
-                F.max(F.when(done, F.col("seller_type"))).alias("seller_type"),
+    return (sales.groupBy("seller_id", "year_month", "seller_type").agg(
                 F.sum(amount).cast("double").alias("monthly_revenue"),
                 round_half_up(F.try_divide(F.sum(amount).cast("double"),
                                            F.count(amount).cast("double")), 2).alias("avg_order_value"),

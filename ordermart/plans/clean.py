@@ -18,6 +18,7 @@ import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ordermart.config import FIXTURE, Params
 from ordermart.constants import N_SELLERS
@@ -29,17 +30,25 @@ from ordermart.sources import feeds
 
 PLAN_VERSION = 1
 
+VALID_SCHEMA = StructType([f for f in C.schemas.PROCESSED.fields if f.name in C.schemas.ORDER_COLUMNS])
+
+BOUNDS_SCHEMA = StructType([StructField(n, DoubleType(), True)
+                            for n in ("q1", "q3", "iqr", "lower", "upper")])
+
 
 class OrderPipeline:
     """Lazy frames for every stage of the cleaning chain over one input folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = FIXTURE,
-                 feeds_root: str | None = None):
+                 feeds_root: str | None = None, run_tag: str = ""):
         self.spark = prepare(spark)
+        self.run_tag = run_tag          # distinct tag -> fresh intermediate tables (timed runs)
         self.sf_dir = sf_dir.rstrip("/")
         self.params = params
         self._feeds_root = feeds_root
         self._bounds: dict | None = None
+        self._processed: DataFrame | None = None
+        self._valid: DataFrame | None = None
         self.stage_counts: dict[str, int] = {}
 
     # --- inputs ---------------------------------------------------------------
@@ -82,7 +91,8 @@ class OrderPipeline:
     @property
     def valid_path(self) -> str:
         p = self.params.clean
-        key = fingerprint(self.feeds_root, p.start_date, p.end_date, p.strip_all_offsets, PLAN_VERSION)
+        key = fingerprint(self.feeds_root, p.start_date, p.end_date, p.strip_all_offsets, PLAN_VERSION,
+                          self.run_tag)
         return scratch_path(self.spark, "valid", key)
 
     def valid_table(self) -> DataFrame:
@@ -95,13 +105,24 @@ class OrderPipeline:
                  .write.mode("overwrite").parquet(self.valid_path)
             self.stage_counts["rows_in"] = seen_in.get["rows"]
             self.stage_counts["valid"] = seen_valid.get["rows"]
-        return self.spark.read.parquet(self.valid_path)
+        if self._valid is None:
+            self._valid = self.spark.read.schema(VALID_SCHEMA).parquet(self.valid_path)
+        return self._valid
 
     def bounds(self) -> dict:
+        """IQR bounds of the valid amounts, stored next to the valid table (computed once)."""
         if self._bounds is None:
             p = self.params.clean
-            self._bounds = iqr_bounds(self.valid_table(), "total_amount", p.iqr_factor,
-                                      p.quantile_method, p.approx_relative_error)
+            path = f"{self.valid_path}_bounds/{p.quantile_method}_{p.iqr_factor}_{p.approx_relative_error}"
+            if committed(self.spark, path):
+                row = self.spark.read.parquet(path).first()
+                self._bounds = row.asDict()
+            else:
+                valid = self.valid_table()
+                self._bounds = iqr_bounds(valid, "total_amount", p.iqr_factor,
+                                          p.quantile_method, p.approx_relative_error)
+                self.spark.createDataFrame([self._bounds], BOUNDS_SCHEMA) \
+                    .coalesce(1).write.mode("overwrite").parquet(path)
         return self._bounds
 
     def clean(self) -> DataFrame:
@@ -122,7 +143,13 @@ class OrderPipeline:
                             fingerprint(self.valid_path, b["lower"], b["upper"], PLAN_VERSION))
 
     def processed(self) -> DataFrame:
-        """The processed fact, written once (partitioned by data_source) and re-read."""
+        """The processed fact, written once (partitioned by data_source) and re-read.
+
+        The re-read frame is kept: its file index is listed once and every query
+        built on it shares that listing (schema given, no footer inference).
+        """
+        if self._processed is not None:
+            return self._processed
         path = self.processed_path
         if not committed(self.spark, path):
             started = time.time()
@@ -131,7 +158,9 @@ class OrderPipeline:
                 .write.mode("overwrite").partitionBy("data_source").parquet(path)
             self.stage_counts["processed"] = obs.get["rows"]
             self.stage_counts["seconds"] = time.time() - started
-        return self.spark.read.parquet(path).select(*C.schemas.PROCESSED_COLUMNS)
+        self._processed = (self.spark.read.schema(C.schemas.PROCESSED).parquet(path)
+                           .select(*C.schemas.PROCESSED_COLUMNS))
+        return self._processed
 
     def sales(self) -> DataFrame:
         """Processed fact plus the derived ``category`` and ``product_id`` buckets."""
