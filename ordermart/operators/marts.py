@@ -199,3 +199,81 @@ def kpi_values(sales: DataFrame) -> DataFrame:
 def kpi_summary(sales: DataFrame) -> DataFrame:
     wide = kpi_values(sales).select(*[F.col(k).cast("double").alias(k) for k in KPI_NAMES])
     return wide.unpivot([], list(KPI_NAMES), "metric_name", "metric_value")
+
+
+# --- shared seller x month aggregate -------------------------------------------------
+#
+# Category, month, seller-month and most KPI figures are sums over seller-months
+# (category depends on the seller only).  ``seller_month_cube`` reads the fact once and
+# keeps exact decimal revenue and per-status counts per (seller, month); the marts
+# below re-aggregate that small table instead of scanning the fact again.
+
+def seller_month_cube(sales: DataFrame) -> DataFrame:
+    done = F.col("status") == COMPLETED
+    amount = F.when(done, money("total_amount"))
+    return sales.groupBy("seller_id", "year_month", "seller_type").agg(
+        F.sum(amount).alias("revenue"),                                   # decimal, exact
+        F.count(amount).alias("n_amounts"),
+        F.count(F.when(done, F.col("order_id"))).alias("n_completed"),
+        F.count(F.when(done, F.lit(1))).alias("n_completed_rows"),
+        F.count("order_id").alias("n_orders"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(F.col("status") == CANCELLED, F.lit(1))).alias("n_cancelled"),
+        F.count_distinct(F.when(done, F.col("customer_id"))).alias("unique_customers"),
+        F.count_distinct(F.when(done, F.col("order_date"))).alias("active_days"))
+
+
+def _active(cube: DataFrame) -> DataFrame:
+    return cube.filter(F.col("n_completed_rows") > 0)
+
+
+def seller_monthly_from_cube(cube: DataFrame) -> DataFrame:
+    df = _active(cube).select(
+        "seller_id", "year_month", "seller_type",
+        F.col("revenue").cast("double").alias("monthly_revenue"),
+        round_half_up(ratio(F.col("revenue").cast("double"), F.col("n_amounts")), 2).alias("avg_order_value"),
+        round_half_up(ratio(F.col("n_cancelled"), F.col("n_orders")) * 100, 4).alias("cancel_rate"),
+        "unique_customers", "active_days",
+        year_from_ym(F.col("year_month")).alias("year"), month_from_ym(F.col("year_month")).alias("month"))
+    df = add_lead_label(add_growth_rate(add_revenue_ma3(add_seller_lags(df))))
+    return df.select(*SELLER_MONTHLY_COLUMNS)
+
+
+def revenue_by_category_from_cube(cube: DataFrame) -> DataFrame:
+    from ordermart.functions import category_bucket
+    return (_active(cube).groupBy(category_bucket(F.col("seller_id")).alias("category")).agg(
+        F.sum("revenue").cast("double").alias("total_revenue"),
+        F.sum("n_completed").alias("order_count"),
+        round_half_up(ratio(F.sum("revenue").cast("double"), F.sum("n_amounts")), 2).alias("avg_revenue")))
+
+
+def monthly_trend_from_cube(cube: DataFrame) -> DataFrame:
+    totals = _active(cube).groupBy("year_month").agg(
+        F.sum("revenue").cast("double").alias("total_revenue"),
+        F.sum("n_completed").alias("order_count"))
+    return with_mom_growth(totals).select("year_month", "total_revenue", "order_count", "mom_growth_pct")
+
+
+def kpi_summary_from_cube(cube: DataFrame, sales: DataFrame) -> DataFrame:
+    """KPIs from the cube; only the global distinct-customer count scans the fact."""
+    active = F.col("n_completed_rows") > 0
+    sums = cube.agg(
+        F.coalesce(F.sum(F.when(active, F.col("revenue"))).cast("double"), F.lit(0.0)).alias("total_gmv"),
+        F.coalesce(F.sum("n_completed_rows"), F.lit(0)).alias("total_orders"),
+        _distinct_with_null("seller_id", active).alias("active_sellers"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("_all"),
+        F.coalesce(F.sum("n_cancelled"), F.lit(0)).alias("_cancelled"))
+    done = F.col("status") == COMPLETED
+    customers = sales.agg(_distinct_with_null("customer_id", done).alias("unique_customers"))
+    values = sums.select(
+        "total_gmv", "total_orders", "active_sellers",
+        F.when(F.col("total_orders") > 0, round_half_up(ratio(F.col("total_gmv"), F.col("total_orders")), 2))
+         .otherwise(F.lit(0.0)).alias("avg_order_value"),
+        F.when(F.col("_all") > 0, round_half_up(ratio(F.col("_cancelled"), F.col("_all")) * 100, 4))
+         .otherwise(F.lit(0.0)).alias("cancel_rate"))
+    long = values.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("metric_name"), F.col(k).cast("double").alias("metric_value"))
+        for k in KPI_NAMES if k != "unique_customers"])).alias("m")).select("m.*")
+    cust = customers.select(F.lit("unique_customers").alias("metric_name"),
+                            F.col("unique_customers").cast("double").alias("metric_value"))
+    return long.unionByName(cust)

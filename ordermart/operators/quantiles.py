@@ -62,8 +62,12 @@ def _histograms(values: DataFrame, intervals: list[tuple[float, float]], buckets
 
 
 def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
-                    collect_limit: int = 4096, max_passes: int = 24) -> list[float | None]:
+                    collect_limit: int = 4096, max_passes: int = 24,
+                    stats: dict | None = None) -> list[float | None]:
+    """``stats`` (optional) receives the number of histogram passes and collected values."""
     probs = [float(p) for p in probs]
+    stats = stats if stats is not None else {}
+    stats.update(passes=0, collected=0)
     values = _values(df, column)
     delta = 3.0 / SKETCH_ACCURACY
     sketch_probs = sorted({min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1, 1)})
@@ -88,6 +92,7 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
     passes = 0
     while state:
         passes += 1
+        stats["passes"] = passes
         if passes > max_passes:
             _fallback(values, state, found)
             break
@@ -118,6 +123,7 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
         for (lo, hi), wanted in to_collect.items():
             xs = [row["x"] for row in values.where(F.col("x").between(lo, hi))
                   .orderBy("x").limit(collect_limit).collect()]
+            stats["collected"] += len(xs)
             for r, cum in wanted:
                 found[r] = xs[r - cum]
     result = []

@@ -12,15 +12,16 @@ from ordermart.plans.clean import OrderPipeline
 from ordermart.session import committed, fingerprint, scratch_path
 from ordermart.sources.tables import write_mart
 
-MART_NAMES = ("revenue_by_category", "monthly_trend", "top_products", "seller_monthly",
+MART_NAMES = ("seller_monthly", "revenue_by_category", "monthly_trend", "top_products",
               "kpi_summary", "seller_alerts")
 
 
 class Analytics:
     """Lazy marts over a pipeline's ``sales`` frame; ``build`` writes them as Parquet."""
 
-    def __init__(self, pipe: OrderPipeline):
+    def __init__(self, pipe: OrderPipeline, run_tag: str = ""):
         self.pipe = pipe
+        self.run_tag = run_tag
         self.params = pipe.params
         self._forecast: M.ForecastRun | None = None
 
@@ -57,20 +58,36 @@ class Analytics:
     # --- written marts ------------------------------------------------------------
     @property
     def marts_root(self) -> str:
-        return scratch_path(self.spark, "marts", fingerprint(self.pipe.processed_path, self.params))
+        return scratch_path(self.spark, "marts", fingerprint(self.pipe.processed_path, self.params,
+                                                               self.run_tag))
 
     def build(self) -> dict[str, str]:
-        """Write all step-2 marts; seller_alerts reads the written seller_monthly."""
+        """Write all step-2 marts with three scans of the fact.
+
+        1. the seller x month cube (exact revenue, status counts, distinct customers/days),
+           written once; seller-month, category, month and KPI sums re-aggregate it;
+        2. product totals for the top-n;
+        3. the global distinct-customer count for the KPIs.
+        seller_alerts reads the written seller_monthly.
+        """
         root = self.marts_root
+        cube_path = f"{root}/_seller_month_cube"
+        if not committed(self.spark, cube_path):
+            write_mart(A.seller_month_cube(self.sales()), root, "_seller_month_cube")
+        cube = self.spark.read.parquet(cube_path)
+        builders = {
+            "seller_monthly": lambda: A.seller_monthly_from_cube(cube),
+            "revenue_by_category": lambda: A.revenue_by_category_from_cube(cube),
+            "monthly_trend": lambda: A.monthly_trend_from_cube(cube),
+            "top_products": self.top_products,
+            "kpi_summary": lambda: A.kpi_summary_from_cube(cube, self.sales()),
+            "seller_alerts": lambda: self.seller_alerts(self.spark.read.parquet(f"{root}/seller_monthly")),
+        }
         paths = {}
         for name in MART_NAMES:
             path = f"{root}/{name}"
             if not committed(self.spark, path):
-                if name == "seller_alerts":
-                    df = self.seller_alerts(self.spark.read.parquet(paths["seller_monthly"]))
-                else:
-                    df = getattr(self, name)()
-                write_mart(df, root, name)
+                write_mart(builders[name](), root, name)
             paths[name] = path
         return paths
 

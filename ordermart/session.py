@@ -63,9 +63,27 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([scratch_root(spark), "ordermart", *parts])
 
 
+def _code_version() -> str:
+    """Content hash of the package source: a code change never reuses an old table."""
+    h = hashlib.sha1()
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    for dirpath, dirnames, filenames in sorted(os.walk(pkg)):
+        dirnames.sort()
+        for name in sorted(filenames):
+            if name.endswith(".py"):
+                with open(os.path.join(dirpath, name), "rb") as f:
+                    h.update(name.encode())
+                    h.update(f.read())
+    return h.hexdigest()[:12]
+
+
+CODE_VERSION = _code_version()
+
+
 def fingerprint(*items) -> str:
-    """Short stable key for a cache folder (input location + parameters)."""
+    """Short stable key for a cache folder (input location + parameters + code version)."""
     h = hashlib.sha1()
+    h.update(CODE_VERSION.encode())
     for item in items:
         h.update(repr(item).encode())
         h.update(b"\0")
