@@ -196,12 +196,25 @@ def derive_calendar(spark, sf_dir):
         ("dedup", "deduped"), ("window_filter", "valid"), ("outliers", "clean"),
         ("enriched", "enriched")))))
 def stage_row_counts(spark, sf_dir):
+    """Rows after each cleaning stage, read from what the stages produced.
+
+    Parse/union/dedup counts come from one aggregation over the parsed feeds (dedup keeps
+    one row per order id, so its count is the number of distinct ids, a NULL id counting
+    once); the later stages are counted on the written valid table and processed fact.
+    """
     p = _p(spark, sf_dir)
-    stages = (("parsed_app", p.parsed_app()), ("parsed_web", p.parsed_web()), ("union", p.combined()),
-              ("dedup", p.deduped()), ("window_filter", p.valid_table()), ("outliers", p.clean()),
-              ("enriched", p.enriched()))
-    return _union_all([df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(s).alias("stage"), "n_rows")
-                       for s, df in stages])
+    oid = F.col("order_id")
+    feeds = p.combined().agg(
+        F.count(F.when(F.col("data_source") == "app", 1)).alias("parsed_app"),
+        F.count(F.when(F.col("data_source") == "web", 1)).alias("parsed_web"),
+        F.count(F.lit(1)).alias("union"),
+        (F.count_distinct(oid) + F.max(F.when(oid.isNull(), 1).otherwise(0))).alias("dedup"))
+    first = feeds.select(F.explode(F.array(*[
+        F.struct(F.lit(s).alias("stage"), F.col(s).cast("long").alias("n_rows"))
+        for s in ("parsed_app", "parsed_web", "union", "dedup")])).alias("s")).select("s.*")
+    later = [("window_filter", p.valid_table()), ("outliers", p.processed()), ("enriched", p.processed())]
+    return _union_all([first] + [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(s).alias("stage"), "n_rows")
+                                 for s, df in later])
 
 
 # ------------------------------------------------------------------ sources / sinks
