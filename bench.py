@@ -2,26 +2,27 @@
 
 Every timed query writes its full result to the ``noop`` sink (a ``count()`` would let
 the optimizer drop the aggregates).  Each query runs ``$BENCH_RUNS`` (>= 3) times after
-one warm-up; the minimum and mean are reported.  The headline value is the sum of the
-minimum times of the three SQL-text tasks, the reference's published benchmark set.
+one warm-up; the minimum and mean are reported, and the number of Spark jobs per query is
+measured.  The headline value is the sum of the minimum times of the three SQL-text tasks,
+the reference's published benchmark set.  benchmark_results rows and a key,value report
+are written to the scratch folder (logs/).
 """
 
 from __future__ import annotations
 
 import json
 import os
-import statistics
 import sys
-import time
 import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ordermart.config import FIXTURE  # noqa: E402
+from ordermart.plans import benchmark as B  # noqa: E402
 from ordermart.plans import catalog  # noqa: E402
 from ordermart.plans.analytics import Analytics  # noqa: E402
 from ordermart.plans.clean import OrderPipeline, pipeline  # noqa: E402
-from ordermart.session import build_session  # noqa: E402
+from ordermart.session import build_session, scratch_path  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -33,7 +34,7 @@ OTHERS = ("revenue_by_category", "monthly_trend", "top_products", "seller_monthl
           "stage_row_counts", "dedup_orders")
 
 
-def _sf_of(path: str) -> float | str:
+def _sf_of(path: str):
     tail = os.path.basename(path.rstrip("/"))
     try:
         return float(tail.replace("sf", ""))
@@ -41,59 +42,46 @@ def _sf_of(path: str) -> float | str:
         return tail
 
 
-def _noop(df) -> None:
-    df.write.format("noop").mode("overwrite").save()
-
-
-def _time(fn) -> tuple[float, float]:
-    fn()                                   # warm-up (JIT, cached feeds / tables)
-    times = []
-    for _ in range(RUNS):
-        t0 = time.perf_counter()
-        fn()
-        times.append(time.perf_counter() - t0)
-    return min(times), statistics.mean(times)
-
-
 def main() -> None:
     spark = build_session(f"local[{CPUS}]", app_name="ordermart-bench", shuffle_partitions=CPUS)
     spark.sparkContext.setLogLevel("ERROR")
     qs = catalog.queries()
-    mins, means = {}, {}
+    timings: list[B.Timing] = []
 
     base = pipeline(spark, SF_DIR, FIXTURE)
-    t0 = time.perf_counter()
-    base.feeds_root                        # fixture feeds (JSON) derived from orders, written once
-    mins["fixture_feeds_write"] = means["fixture_feeds_write"] = time.perf_counter() - t0
+    feeds = B.timed(spark, "fixture_feeds_write", lambda: base.feeds_root, runs=1, warmup=False)
     base.processed()
 
     def clean_fresh():                     # whole step 1 into fresh tables each run
         OrderPipeline(spark, SF_DIR, FIXTURE, feeds_root=base.feeds_root,
                       run_tag=uuid.uuid4().hex).processed()
 
-    mins["clean_orders"], means["clean_orders"] = _time(clean_fresh)
-
-    def marts_fresh():                     # whole step 2: six marts written as Parquet (3 fact scans)
+    def marts_fresh():                     # whole step 2: six marts as Parquet (3 fact scans)
         Analytics(base, run_tag=uuid.uuid4().hex).build()
 
-    mins["build_marts"], means["build_marts"] = _time(marts_fresh)
+    def forecast_fresh():
+        B.noop(Analytics(base).predictions())
 
+    timings.append(B.timed(spark, "clean_orders", clean_fresh, RUNS))
+    timings.append(B.timed(spark, "build_marts", marts_fresh, RUNS))
     for key in HEADLINE + OTHERS:
-        mins[key], means[key] = _time(lambda k=key: _noop(qs[k](spark, SF_DIR)))
-
-    def forecast_fresh():
-        a = Analytics(base)
-        _noop(a.predictions())
+        timings.append(B.timed(spark, key, lambda k=key: B.noop(qs[k](spark, SF_DIR)), RUNS))
+    timings.append(B.timed(spark, "train_forecast", forecast_fresh, RUNS))
 
-    mins["train_forecast"], means["train_forecast"] = _time(forecast_fresh)
+    logs = scratch_path(spark, "logs")
+    B.append_benchmark_rows(spark, f"{logs}/benchmark_results", timings)
+    rows = B.benchmark_rows(spark, timings)
+    B.report(rows).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{logs}/benchmark_report")
 
-    headline = sum(mins[k] for k in HEADLINE)
+    by_key = {t.key: t for t in timings}
     print(json.dumps({
         "metric": "sql_tasks_total_sec",
-        "value": round(headline, 4),
+        "value": round(sum(by_key[k].min for k in HEADLINE), 4),
         "unit": "sec",
-        "queries": {k: round(v, 4) for k, v in mins.items()},
-        "mean": {k: round(v, 4) for k, v in means.items()},
+        "queries": {"fixture_feeds_write": round(feeds.min, 4),
+                    **{t.key: round(t.min, 4) for t in timings}},
+        "mean": {t.key: round(t.mean, 4) for t in timings},
+        "jobs": {t.key: t.jobs for t in timings},
         "runs": RUNS,
         "cpus": CPUS,
         "sf": _sf_of(SF_DIR),

@@ -93,6 +93,13 @@ def latest_model_metrics(metrics_log: DataFrame) -> DataFrame:
     return best.select("m.*", "run_at")
 
 
+def model_history(metrics_log: DataFrame) -> DataFrame:
+    """All metrics rows, newest first, with the columns the history table shows."""
+    cols = [c for c in ("run_at", "rmse", "mae", "r2", "train_rmse", "n_train", "n_test")
+            if c in metrics_log.columns]
+    return metrics_log.select(*cols).orderBy(F.col("run_at").desc())
+
+
 def benchmark_history(results: DataFrame) -> DataFrame:
     return results.orderBy(F.col("created_at").desc(), F.col("task"))
 
