@@ -151,8 +151,9 @@ def _fallback(values: DataFrame, state: dict, found: dict) -> None:
     state.clear()
 
 
-def approx_quantiles(df: DataFrame, column: str, probs, relative_error: float = 0.01) -> list[float]:
-    return df.where(F.col(column).isNotNull()).approxQuantile(column, list(probs), relative_error)
+def approx_quantiles(df: DataFrame, column: str, probs, relative_error: float = 0.01) -> list[float | None]:
+    out = df.where(F.col(column).isNotNull()).approxQuantile(column, list(probs), relative_error)
+    return list(out) if out else [None for _ in probs]
 
 
 def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 3.0,

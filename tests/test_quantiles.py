@@ -64,3 +64,10 @@ def test_iqr_bounds_positive_only(spark):
     q1, q3 = _linear(pos, 0.25), _linear(pos, 0.75)
     assert b["q1"] == q1 and b["q3"] == q3
     assert b["lower"] == q1 - 3 * (q3 - q1) and b["upper"] == q3 + 3 * (q3 - q1)
+
+
+def test_bounds_on_empty_input(spark):
+    df = spark.createDataFrame([(-1.0,), (None,)], "x double")
+    for method in ("exact", "approx"):
+        b = iqr_bounds(df, "x", 3.0, method)
+        assert b["lower"] is None and b["upper"] is None
