@@ -38,6 +38,10 @@ def _bucket_expr(a: float, b: float, buckets: int):
     x = F.col("x")
     if b <= a:
         inside = F.lit(0)
+    elif not math.isfinite(b - a):
+        # an infinite end: keep the order with three bins (low end, finite values, high end)
+        inside = (F.when(x == F.lit(b), F.lit(buckets - 1)).when(x == F.lit(a), F.lit(0))
+                  .otherwise(F.lit(buckets // 2)))
     else:
         pos = F.floor((x - F.lit(a)) / F.lit(b - a) * F.lit(float(buckets))).cast("int")
         inside = F.least(pos, F.lit(buckets - 1))

@@ -71,3 +71,11 @@ def test_bounds_on_empty_input(spark):
     for method in ("exact", "approx"):
         b = iqr_bounds(df, "x", 3.0, method)
         assert b["lower"] is None and b["upper"] is None
+
+
+def test_exact_with_infinite_values(spark):
+    xs = [float("-inf"), 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, float("inf"), float("inf")]
+    got = exact_quantiles(_frame(spark, xs), "x", [0.25, 0.5, 0.75])
+    assert got == [2.0, 4.0, 6.0]          # integral positions: exact ranks, no interpolation
+    lo, hi = exact_quantiles(_frame(spark, xs), "x", [0.0, 1.0])
+    assert lo == float("-inf") and hi == float("inf")
