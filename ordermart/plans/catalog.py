@@ -10,15 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ordermart import schemas
 from ordermart.config import FIXTURE
-from ordermart.constants import N_SELLERS
-from pyspark.sql import Window
-
+from ordermart.constants import FEATURE_COLUMNS, N_SELLERS
 from ordermart.functions import (
     category_bucket, money_sum, parse_wall_clock, product_name, ratio, round_half_up, strip_tz_suffix,
 )
@@ -293,9 +291,9 @@ def mr_ranked_products(spark, sf_dir):
     return T.ranked_products(T.product_count(_guarded(spark, sf_dir)))
 
 
-_TSV_SCHEMA = StructType([StructField("year_month", schemas.StringType()),
+_TSV_SCHEMA = StructType([StructField("year_month", StringType()),
                           StructField("total_revenue", DoubleType()),
-                          StructField("order_count", schemas.LongType())])
+                          StructField("order_count", LongType())])
 
 
 @register("tsv_export", W(_MR_MONTH_SQL))
@@ -646,7 +644,6 @@ def split_counts(spark, sf_dir):
 
 
 def _stats_sql() -> str:
-    from ordermart.constants import FEATURE_COLUMNS
     parts = []
     for c in FEATURE_COLUMNS:
         mean = O.rnd(f"CAST(SUM(CAST({c} AS DECIMAL(28,4))) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)", 6)

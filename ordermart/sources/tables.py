@@ -91,6 +91,23 @@ class SnapshotTable:
             delete_path(self.spark, self._version_path(v))
 
 
+def jdbc_replace(df: DataFrame, url: str, table: str, properties: dict | None = None,
+                 num_partitions: int | None = None) -> None:
+    """TRUNCATE + INSERT into a database table with Spark's JDBC writer.
+
+    Rows go from the executors straight to the database (``truncate`` keeps the table
+    definition); nothing passes through the driver.  Not exercised by the tests: no
+    database may be started in this environment.
+    """
+    writer = df.write.format("jdbc").mode("overwrite").option("url", url).option("dbtable", table) \
+        .option("truncate", "true")
+    if num_partitions:
+        writer = writer.option("numPartitions", str(num_partitions))
+    for k, v in (properties or {}).items():
+        writer = writer.option(k, v)
+    writer.save()
+
+
 def append_log(spark: SparkSession, path: str, rows: list[dict], schema: StructType) -> None:
     """Append run-log rows (one per run; produced on the driver by nature: timings, counts)."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)
