@@ -26,7 +26,7 @@ from ordermart.session import build_session, scratch_path  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = max(3, int(os.environ.get("BENCH_RUNS", "3")))
+RUNS = max(3, int(os.environ.get("BENCH_RUNS", "5")))
 
 HEADLINE = ("sql_revenue_by_category", "sql_monthly_orders", "sql_top_products")
 OTHERS = ("revenue_by_category", "monthly_trend", "top_products", "seller_monthly", "kpi_summary",

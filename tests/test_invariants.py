@@ -75,3 +75,22 @@ def test_alerts_are_drops_above_threshold(spark):
     assert alerts.filter((F.col("drop_pct") <= 20) | (F.col("curr_revenue") >= F.col("prev_revenue"))).count() == 0
     flags = Q["alert_threshold"](spark, SF_SMALL)
     assert flags.filter("alerted").count() == alerts.count()
+
+
+def test_approx_quantile_mode_end_to_end(spark):
+    """The reference's approxQuantile(0.01) mode: bounds within the rank error of the exact ones."""
+    from dataclasses import replace
+
+    from ordermart.config import FIXTURE
+    from ordermart.plans.clean import OrderPipeline
+    exact = catalog._p(spark, SF_SMALL)
+    params = replace(FIXTURE, clean=replace(FIXTURE.clean, quantile_method="approx"))
+    approx = OrderPipeline(spark, SF_SMALL, params, feeds_root=exact.feeds_root)
+    valid = exact.valid_table().where("total_amount > 0")
+    n = valid.count()
+    for q in ("q1", "q3"):
+        v = approx.bounds()[q]
+        rank = valid.where(F.col("total_amount") <= v).count()
+        target = (0.25 if q == "q1" else 0.75) * n
+        assert abs(rank - target) <= 0.01 * n + 1
+    assert approx.processed().count() > 0
