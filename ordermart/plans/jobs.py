@@ -27,6 +27,7 @@ from ordermart.plans.analytics import MART_NAMES
 from ordermart.plans.clean import OrderPipeline
 from ordermart.sources import tables as TB
 from ordermart.sources import text as TX
+from ordermart.session import size_shuffles_for
 
 
 def _log(spark: SparkSession, log_path: str | None, step: str, status: str, rows_in: int, rows_out: int,
@@ -38,9 +39,16 @@ def _log(spark: SparkSession, log_path: str | None, step: str, status: str, rows
 
 
 def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Params = REFERENCE,
-              jsonl_export: bool = True, log_path: str | None = None) -> dict:
-    """feeds (``source=app/``, ``source=web/``) -> ``out_root/processed`` (by data_source)."""
+              jsonl_export: bool = True, log_path: str | None = None,
+              size_shuffles: bool = True) -> dict:
+    """feeds (``source=app/``, ``source=web/``) -> ``out_root/processed`` (by data_source).
+
+    ``size_shuffles`` raises the shuffle partition count to the measured feed size first, so
+    the dedup shuffle of a very large feed does not run with too few, oversized partitions.
+    """
     started = time.time()
+    if size_shuffles:
+        size_shuffles_for(spark, feeds_root)
     pipe = OrderPipeline(spark, "", params, feeds_root=feeds_root)
     rows_in = rows_out = 0
     try:

@@ -128,3 +128,30 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath):
         fs.delete(jpath, True)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop content summary: no data is read)."""
+    fs, jpath = _fs(spark, path)
+    return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
+
+
+def suggest_shuffle_partitions(total_bytes: int, per_partition: int = 128 << 20, shrink: float = 3.0,
+                               minimum: int = 8, maximum: int = 200_000) -> int:
+    """Shuffle partitions so one partition holds ~``per_partition`` bytes of shuffled rows.
+
+    ``shrink`` is the expected ratio of input bytes (e.g. JSON text) to shuffled binary rows.
+    """
+    want = -(-int(total_bytes / shrink) // per_partition)
+    return max(minimum, min(maximum, want))
+
+
+def size_shuffles_for(spark: SparkSession, *paths: str, **kw) -> int:
+    """Raise (never lower) ``spark.sql.shuffle.partitions`` to fit the given inputs; AQE then
+    coalesces the small ones.  Returns the setting in force."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = suggest_shuffle_partitions(sum(input_bytes(spark, p) for p in paths), **kw)
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current

@@ -16,7 +16,10 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
     assert {"source=app", "source=web"} <= set(os.listdir(feeds_root))
     log = os.path.join(tmp_dir, "pipeline_runs")
 
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     clean = jobs.run_clean(spark, feeds_root, os.path.join(tmp_dir, "out"), FIXTURE, log_path=log)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= int(before)   # sized, never lowered
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     assert clean["rows_in"] == 1530 and clean["rows_out"] == 1086
     assert spark.read.parquet(clean["processed"]).count() == 1086
     assert spark.read.json(clean["jsonl"]).count() == 1086

@@ -83,3 +83,14 @@ def test_single_file_csv_refused_above_bound(spark, tmp_dir, monkeypatch):
     df = spark.range(10).select(F.col("id").cast("string").alias("x"))
     with pytest.raises(ValueError):
         TX.write_csv(df, os.path.join(tmp_dir, "big"), single_file=True)
+
+
+def test_shuffle_sizing(spark, tmp_dir):
+    from ordermart.session import input_bytes, size_shuffles_for, suggest_shuffle_partitions
+    assert suggest_shuffle_partitions(0) == 8
+    assert suggest_shuffle_partitions(100 * (1 << 40)) == 200_000          # 100 TB -> capped
+    assert suggest_shuffle_partitions(3 * 128 * (1 << 20) * 1000) == 1000
+    spark.range(100).write.mode("overwrite").parquet(os.path.join(tmp_dir, "p"))
+    assert input_bytes(spark, os.path.join(tmp_dir, "p")) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size_shuffles_for(spark, os.path.join(tmp_dir, "p"), minimum=1) == int(before)  # never lowers
