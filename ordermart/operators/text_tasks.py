@@ -32,6 +32,17 @@ def guarded_records(lines: DataFrame) -> DataFrame:
                    & (F.col("total_amount") > 0)))
 
 
+def month_key_sources(lines: DataFrame) -> DataFrame:
+    """Month key of every guarded record and whether it came from ``order_date``."""
+    ym = F.coalesce(F.col("year_month"), F.lit(""))
+    from_date = ym == ""
+    key = F.when(from_date, F.substring(F.coalesce(F.col("order_date"), F.lit("")), 1, 7)).otherwise(ym)
+    amount = F.col("total_amount").try_cast("double")
+    return (lines.where((F.col("status") == "completed") & amount.isNotNull() & (amount > 0))
+            .select(key.alias("month_key"), from_date.alias("from_order_date"))
+            .where(F.col("month_key") != ""))
+
+
 def category_sum(records: DataFrame) -> DataFrame:
     return (records.groupBy(category_bucket(F.col("seller_id")).alias("category"))
             .agg(money_sum("total_amount").alias("total_revenue")))

@@ -139,6 +139,12 @@ def union_sources(spark, sf_dir):
     return _p(spark, sf_dir).combined()
 
 
+@register("source_literal", W("SELECT data_source, COUNT(*) AS n_rows FROM combined GROUP BY data_source"))
+def source_literal(spark, sf_dir):
+    """Rows per constant ``data_source`` literal after the union."""
+    return _p(spark, sf_dir).combined().groupBy("data_source").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("dedup_orders", W("SELECT * FROM deduped"))
 def dedup_orders(spark, sf_dir):
     return _p(spark, sf_dir).deduped()
@@ -276,6 +282,17 @@ def mr_month_sum_count(spark, sf_dir):
     return T.month_sum_count(_guarded(spark, sf_dir))
 
 
+@register("month_key_fallback", W("""SELECT year_month AS month_key, COUNT(*) AS n_records,
+    CAST(0 AS BIGINT) AS n_from_order_date FROM processed
+    WHERE status = 'completed' AND total_amount > 0 GROUP BY year_month"""))
+def month_key_fallback(spark, sf_dir):
+    """Month key per guarded record: ``year_month``, else the first 7 characters of ``order_date``."""
+    lines = TX.read_jsonl(spark, _export_path(spark, sf_dir), T.EXPORT_FIELDS, mode="DROPMALFORMED")
+    return (T.month_key_sources(lines).groupBy("month_key")
+            .agg(F.count(F.lit(1)).alias("n_records"),
+                 F.count(F.when(F.col("from_order_date"), 1)).alias("n_from_order_date")))
+
+
 _MR_PRODUCT_SQL = f"""SELECT {O.product_expr('order_id')} AS product_id, COUNT(*) AS order_count
     FROM processed WHERE status = 'completed' AND total_amount > 0 GROUP BY 1"""
 
@@ -636,6 +653,49 @@ def encode_seller_tier(spark, sf_dir):
 
 _SPLIT = FIXTURE.forecast.split_year
 
+_FILLED_SQL = """SELECT * REPLACE (
+      COALESCE(lag1_revenue, 0.0) AS lag1_revenue, COALESCE(lag2_revenue, 0.0) AS lag2_revenue,
+      COALESCE(lag3_revenue, 0.0) AS lag3_revenue, COALESCE(revenue_ma3, 0.0) AS revenue_ma3,
+      COALESCE(growth_rate, 0.0) AS growth_rate, COALESCE(cancel_rate, 0.0) AS cancel_rate)
+    FROM seller_monthly"""
+
+
+@register("fill_feature_nulls", WM(_FILLED_SQL))
+def fill_feature_nulls(spark, sf_dir):
+    """Lag / moving-average / growth / cancel features with NULL -> 0.0 (before the label filter)."""
+    return M.fill_feature_nulls(_a(spark, sf_dir).mart("seller_monthly"))
+
+
+@register("labelled_rows", WM("""SELECT (SELECT COUNT(*) FROM seller_monthly) AS n_rows,
+    (SELECT COUNT(*) FROM features) AS n_labelled""", [("features", _FEATURE_SQL)]))
+def labelled_rows(spark, sf_dir):
+    """Seller-months before and after keeping rows with a known next-month label."""
+    a = _a(spark, sf_dir)
+    counts = a.mart("seller_monthly").agg(F.count(F.lit(1)).alias("n_rows"))
+    labelled = a.features().agg(F.count(F.lit(1)).alias("n_labelled"))
+    return counts.unionByName(labelled, allowMissingColumns=True).agg(
+        F.max("n_rows").alias("n_rows"), F.max("n_labelled").alias("n_labelled"))
+
+
+@register("temporal_split", WM(f"""SELECT seller_id, year_month,
+    CASE WHEN year < {_SPLIT} THEN 'train' ELSE 'test' END AS split
+    FROM features WHERE year <= {_SPLIT}""", [("features", _FEATURE_SQL)]))
+def temporal_split(spark, sf_dir):
+    train, test = M.temporal_split(_a(spark, sf_dir).features(), _SPLIT)
+    return (train.select("seller_id", "year_month", F.lit("train").alias("split"))
+            .unionByName(test.select("seller_id", "year_month", F.lit("test").alias("split"))))
+
+
+@register("assemble", WM(f"""SELECT seller_id, year_month, {", ".join(
+    f"CAST({c} AS DOUBLE) AS f{i:02d}" for i, c in enumerate(FEATURE_COLUMNS))} FROM features""",
+    [("features", _FEATURE_SQL)]))
+def assemble(spark, sf_dir):
+    """The 12-feature vector of every labelled row (VectorAssembler), unpacked to columns."""
+    from pyspark.ml.functions import vector_to_array
+    vec = M._assembler().transform(_a(spark, sf_dir).features())
+    arr = vector_to_array(F.col("features_raw"))
+    return vec.select("seller_id", "year_month", *[arr[i].alias(f"f{i:02d}") for i in range(len(FEATURE_COLUMNS))])
+
 
 @register("split_counts", WM(f"""SELECT COUNT(CASE WHEN year < {_SPLIT} THEN 1 END) AS n_train,
     COUNT(CASE WHEN year = {_SPLIT} THEN 1 END) AS n_test FROM features""", [("features", _FEATURE_SQL)]))

@@ -94,3 +94,20 @@ def test_approx_quantile_mode_end_to_end(spark):
         target = (0.25 if q == "q1" else 0.75) * n
         assert abs(rank - target) <= 0.01 * n + 1
     assert approx.processed().count() > 0
+
+
+def test_month_key_falls_back_to_order_date(spark):
+    from ordermart.operators import text_tasks as T
+    lines = spark.createDataFrame(
+        [("1", "S1", "completed", "5.0", "2023-01", "2023-01-02"),
+         ("2", "S1", "completed", "5.0", "", "2023-02-03"),
+         ("3", "S1", "completed", "5.0", None, "2023-03-04"),
+         ("4", "S1", "completed", "abc", "2023-01", "2023-01-02"),     # amount not a number: skipped
+         ("5", "S1", "pending", "5.0", "2023-01", "2023-01-02"),       # not completed: skipped
+         ("6", "S1", "completed", "5.0", None, None)],                  # no key at all: skipped
+        "order_id string, seller_id string, status string, total_amount string, year_month string, "
+        "order_date string")
+    got = sorted(tuple(r) for r in T.month_key_sources(lines).collect())
+    assert got == [("2023-01", False), ("2023-02", True), ("2023-03", True)]
+    months = {r["year_month"]: r["order_count"] for r in T.month_sum_count(T.guarded_records(lines)).collect()}
+    assert months == {"2023-01": 1, "2023-02": 1, "2023-03": 1}
