@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.functions import money, round_half_up
+from ordermart.operators.joins import broadcast_if_small
 from ordermart.operators.marts import KPI_NAMES
 
 
@@ -74,11 +75,13 @@ def default_sellers(seller_ids: DataFrame, n: int = 3) -> DataFrame:
 
 
 def predictions_for_sellers(predictions: DataFrame, sellers_dim: DataFrame, tier: str | None = None,
-                            seller_ids: list[str] | None = None, max_sellers: int = 5) -> DataFrame:
+                            seller_ids: list[str] | None = None, max_sellers: int = 5,
+                            dim_rows: int | None = None, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Predictions with the seller tier attached, filtered by tier and chosen sellers."""
     if seller_ids is not None and len(seller_ids) > max_sellers:
         raise ValueError(f"at most {max_sellers} sellers can be selected")
-    df = predictions.join(F.broadcast(sellers_dim.select("seller_id", "seller_type")), "seller_id", "left")
+    tiers = broadcast_if_small(sellers_dim.select("seller_id", "seller_type"), max_broadcast_rows, dim_rows)
+    df = predictions.join(tiers, "seller_id", "left")
     if tier is not None:
         df = df.filter(F.col("seller_type") == tier)
     if seller_ids is not None:

@@ -782,7 +782,7 @@ def predictions_for_sellers(spark, sf_dir):
     """Default dashboard selection: the first three sellers, tier attached from the dimension."""
     preds = _a(spark, sf_dir).predictions()
     chosen = preds.join(V.default_sellers(preds), "seller_id", "left_semi")
-    return V.predictions_for_sellers(chosen, C.seller_dim(spark, N_SELLERS))
+    return V.predictions_for_sellers(chosen, C.seller_dim(spark, N_SELLERS), dim_rows=N_SELLERS)
 
 
 @register("forecast_view")

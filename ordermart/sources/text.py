@@ -21,10 +21,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType, mode: str = "
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               single_file: bool = False) -> str:
-    """CSV text; ``single_file`` only for frames proven small (one writer task)."""
-    if single_file:
-        if bounded_rows(df, SINGLE_FILE_MAX_ROWS) > SINGLE_FILE_MAX_ROWS:
-            raise ValueError("single-file CSV refused: frame exceeds the small-mart bound")
+    """CSV text.  ``single_file`` writes one file (one writer task) only when the frame is
+    proven small; above the bound the rows are written in parallel as several files."""
+    if single_file and bounded_rows(df, SINGLE_FILE_MAX_ROWS) <= SINGLE_FILE_MAX_ROWS:
         df = df.coalesce(1)
     df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
     return path
