@@ -7,14 +7,16 @@ data, each pass a small distributed aggregation:
 
 1. one pass: ``count``, ``min``, ``max`` and a GK sketch (``percentile_approx``)
    that brackets every wanted rank in a narrow value interval;
-2. per pass, for each open interval: rows below it (one counter) and a histogram of
-   ``buckets`` equal-width bins inside it (count, min, max per bin).  The bin that
-   holds the rank becomes the next interval; it is resolved when its min equals its
-   max, or collected (sorted, at most ``collect_limit`` values) when it is small.
+2. per pass, one hash aggregation over (region, bin): overlapping intervals are merged,
+   every row falls in exactly one region (a gap between intervals, or an interval with
+   one of ``buckets`` equal-width bins), so the rows below an interval are the sum of
+   the regions before it.  The bin that holds the rank becomes the next interval; it is
+   resolved when its min equals its max, or collected (sorted, at most
+   ``collect_limit`` values) when it is small.
 
 The bracket of step 1 is verified by the counts of step 2; when it does not hold the
 rank (sketch guarantees violated) the interval falls back to [min, max].  Only
-histograms of at most ``intervals x (buckets + 1)`` rows reach the driver.
+histograms of at most ``intervals x buckets`` rows reach the driver.
 
 ``approx_quantiles`` is the reference's Greenwald-Khanna ``approxQuantile``.
 """
@@ -35,33 +37,55 @@ def _values(df: DataFrame, column: str) -> DataFrame:
 
 
 def _bucket_expr(a: float, b: float, buckets: int):
+    """Bin of a value known to lie in [a, b]; monotone in the value."""
     x = F.col("x")
     if b <= a:
-        inside = F.lit(0)
-    elif not math.isfinite(b - a):
+        return F.lit(0)
+    if not math.isfinite(b - a):
         # an infinite end: keep the order with three bins (low end, finite values, high end)
-        inside = (F.when(x == F.lit(b), F.lit(buckets - 1)).when(x == F.lit(a), F.lit(0))
-                  .otherwise(F.lit(buckets // 2)))
-    else:
-        pos = F.floor((x - F.lit(a)) / F.lit(b - a) * F.lit(float(buckets))).cast("int")
-        inside = F.least(pos, F.lit(buckets - 1))
-    return F.when(x < F.lit(a), F.lit(-1)).when(x <= F.lit(b), inside)
+        return (F.when(x == F.lit(b), F.lit(buckets - 1)).when(x == F.lit(a), F.lit(0))
+                .otherwise(F.lit(buckets // 2)))
+    pos = F.floor((x - F.lit(a)) / F.lit(b - a) * F.lit(float(buckets))).cast("int")
+    return F.least(pos, F.lit(buckets - 1))
+
+
+def _merge(intervals):
+    """Sorted, pairwise disjoint cover of the given closed intervals."""
+    out: list[list[float]] = []
+    for a, b in sorted(set(intervals)):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [tuple(iv) for iv in out]
 
 
 def _histograms(values: DataFrame, intervals: list[tuple[float, float]], buckets: int):
-    tagged = F.array(*[
-        F.struct(F.lit(i).alias("i"), _bucket_expr(a, b, buckets).alias("bkt"))
-        for i, (a, b) in enumerate(intervals)])
-    rows = (values
-            .select("x", F.explode(F.filter(tagged, lambda s: s["bkt"].isNotNull())).alias("t"))
-            .groupBy(F.col("t.i").alias("i"), F.col("t.bkt").alias("bkt"))
+    """One hash aggregation: every row gets ONE region id -- gap ``2i`` below interval i,
+    interval ``2i+1`` (with its bin), or the gap ``2n`` above the last -- so the rows below an
+    interval are the sum of the regions before it.  Returns {i: (below, [(bin, cnt, lo, hi)])}."""
+    x = F.col("x")
+    region = bucket = None
+    for i, (a, b) in enumerate(intervals):
+        for cond, reg, bkt in ((x < F.lit(a), 2 * i, None), (x <= F.lit(b), 2 * i + 1, _bucket_expr(a, b, buckets))):
+            region = F.when(cond, F.lit(reg)) if region is None else region.when(cond, F.lit(reg))
+            bkt_col = bkt if bkt is not None else F.lit(None).cast("int")
+            bucket = F.when(cond, bkt_col) if bucket is None else bucket.when(cond, bkt_col)
+    region = region.otherwise(F.lit(2 * len(intervals)))
+    bucket = bucket.otherwise(F.lit(None).cast("int"))
+    rows = (values.groupBy(region.alias("r"), bucket.alias("bkt"))
             .agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi"))
             .collect())
-    out: dict[int, list] = {i: [] for i in range(len(intervals))}
+    per_region: dict[int, int] = {}
+    bins: dict[int, list] = {i: [] for i in range(len(intervals))}
     for r in rows:
-        out[r["i"]].append((r["bkt"], r["cnt"], r["lo"], r["hi"]))
-    for i in out:
-        out[i].sort()
+        per_region[r["r"]] = per_region.get(r["r"], 0) + r["cnt"]
+        if r["r"] % 2 == 1:
+            bins[r["r"] // 2].append((r["bkt"], r["cnt"], r["lo"], r["hi"]))
+    out = {}
+    for i in range(len(intervals)):
+        below = sum(c for reg, c in per_region.items() if reg < 2 * i + 1)
+        out[i] = (below, sorted(bins[i]))
     return out
 
 
@@ -100,13 +124,12 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
         if passes > max_passes:
             _fallback(values, state, found)
             break
-        intervals = sorted(set(state.values()))
+        intervals = _merge(state.values())
         hist = _histograms(values, intervals, buckets)
         to_collect: dict[tuple[float, float], list[tuple[int, int]]] = {}
         for r, iv in list(state.items()):
-            bins = hist[intervals.index(iv)]
-            below = sum(c for k, c, _, _ in bins if k < 0)
-            inside = [(k, c, lo, hi) for k, c, lo, hi in bins if k >= 0]
+            k = next(j for j, (a, b) in enumerate(intervals) if a <= iv[0] and iv[1] <= b)
+            below, inside = hist[k]
             total = sum(c for _, c, _, _ in inside)
             if not (below <= r < below + total):
                 state[r] = (mn, mx)          # bracket missed: restart from the full range

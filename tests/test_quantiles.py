@@ -79,3 +79,19 @@ def test_exact_with_infinite_values(spark):
     assert got == [2.0, 4.0, 6.0]          # integral positions: exact ranks, no interpolation
     lo, hi = exact_quantiles(_frame(spark, xs), "x", [0.0, 1.0])
     assert lo == float("-inf") and hi == float("inf")
+
+
+def test_wrong_sketch_bracket_is_detected_and_recovered(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ordermart.operators import quantiles as Q
+
+    def bad_sketch(col, probs, accuracy):          # brackets far away from every value
+        return F.array(*[F.lit(1e9 + i) for i in range(len(probs))])
+
+    monkeypatch.setattr(Q.F, "percentile_approx", bad_sketch)
+    xs = [float(v) for v in range(101)]
+    stats = {}
+    got = Q.exact_quantiles(_frame(spark, xs), "x", [0.25, 0.75], buckets=8, collect_limit=2, stats=stats)
+    assert got == [25.0, 75.0]
+    assert stats["passes"] >= 2
