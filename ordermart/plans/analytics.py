@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ordermart import schemas
 from ordermart.operators import forecast as M
 from ordermart.operators import marts as A
 from ordermart.plans.clean import OrderPipeline
@@ -62,34 +60,8 @@ class Analytics:
                                                                self.run_tag))
 
     def build(self) -> dict[str, str]:
-        """Write all step-2 marts with three scans of the fact.
-
-        1. the seller x month cube (exact revenue, status counts, distinct customers/days),
-           written once; seller-month, category, month and KPI sums re-aggregate it;
-        2. product totals for the top-n;
-        3. the global distinct-customer count for the KPIs.
-        seller_alerts reads the written seller_monthly.
-        """
-        root = self.marts_root
-        cube_path = f"{root}/_seller_month_cube"
-        if not committed(self.spark, cube_path):
-            write_mart(A.seller_month_cube(self.sales()), root, "_seller_month_cube")
-        cube = self.spark.read.parquet(cube_path)
-        builders = {
-            "seller_monthly": lambda: A.seller_monthly_from_cube(cube),
-            "revenue_by_category": lambda: A.revenue_by_category_from_cube(cube),
-            "monthly_trend": lambda: A.monthly_trend_from_cube(cube),
-            "top_products": self.top_products,
-            "kpi_summary": lambda: A.kpi_summary_from_cube(cube, self.sales()),
-            "seller_alerts": lambda: self.seller_alerts(self.spark.read.parquet(f"{root}/seller_monthly")),
-        }
-        paths = {}
-        for name in MART_NAMES:
-            path = f"{root}/{name}"
-            if not committed(self.spark, path):
-                write_mart(builders[name](), root, name)
-            paths[name] = path
-        return paths
+        """Write all step-2 marts (once) under ``marts_root``; see ``write_marts``."""
+        return write_marts(self.spark, self.sales(), self.marts_root, self.params, skip_committed=True)
 
     def mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.build()[name])
@@ -107,6 +79,40 @@ class Analytics:
         return M.seller_predictions(self.forecast())
 
 
+def write_marts(spark, sales: DataFrame, root: str, params, skip_committed: bool = False,
+                cube_path: str | None = None) -> dict[str, str]:
+    """Write the six step-2 marts under ``root`` with three scans of the fact.
+
+    1. the seller x month cube (exact revenue, status counts, distinct customers, active
+       days), written once; seller-month, category, month and KPI sums re-aggregate it;
+    2. product totals for the top-n;
+    3. the global distinct-customer count for the KPIs.
+    seller_alerts reads the written seller_monthly.
+    """
+    root = root.rstrip("/")
+    cube_path = cube_path or f"{root}/_seller_month_cube"
+    if not (skip_committed and committed(spark, cube_path)):
+        A.seller_month_cube(sales).write.mode("overwrite").parquet(cube_path)
+    cube = spark.read.parquet(cube_path)
+    m = params.marts
+    builders = {
+        "seller_monthly": lambda: A.seller_monthly_from_cube(cube),
+        "revenue_by_category": lambda: A.revenue_by_category_from_cube(cube),
+        "monthly_trend": lambda: A.monthly_trend_from_cube(cube),
+        "top_products": lambda: A.top_products(A.completed_orders(sales), m.top_n),
+        "kpi_summary": lambda: A.kpi_summary_from_cube(cube, sales),
+        "seller_alerts": lambda: A.seller_alerts(spark.read.parquet(f"{root}/seller_monthly"),
+                                                 m.alert_drop_pct, m.alert_type),
+    }
+    paths = {}
+    for name in MART_NAMES:
+        path = f"{root}/{name}"
+        if not (skip_committed and committed(spark, path)):
+            write_mart(builders[name](), root, name)
+        paths[name] = path
+    return paths
+
+
 _ANALYTICS: dict = {}
 
 
@@ -121,4 +127,4 @@ def empty_like(spark, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-__all__ = ["Analytics", "analytics", "MART_NAMES", "empty_like", "schemas", "F"]
+__all__ = ["Analytics", "analytics", "write_marts", "MART_NAMES", "empty_like"]

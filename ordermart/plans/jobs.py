@@ -20,14 +20,13 @@ from pyspark.sql import functions as F
 
 from ordermart import schemas
 from ordermart.config import REFERENCE, Params
-from ordermart.operators import forecast as M
-from ordermart.operators import marts as A
 from ordermart.functions import category_bucket, product_bucket
-from ordermart.plans.analytics import MART_NAMES
+from ordermart.operators import forecast as M
+from ordermart.plans.analytics import MART_NAMES, write_marts
 from ordermart.plans.clean import OrderPipeline
+from ordermart.session import fingerprint, scratch_path, size_shuffles_for
 from ordermart.sources import tables as TB
 from ordermart.sources import text as TX
-from ordermart.session import size_shuffles_for
 
 
 def _log(spark: SparkSession, log_path: str | None, step: str, status: str, rows_in: int, rows_out: int,
@@ -79,27 +78,13 @@ def sales_frame(spark: SparkSession, processed_path: str) -> DataFrame:
 def run_analytics(spark: SparkSession, processed_path: str, out_root: str, params: Params = REFERENCE,
                   scratch: str | None = None, log_path: str | None = None) -> dict:
     """Six marts under ``out_root/<mart>`` from three scans of the fact."""
-    from ordermart.session import fingerprint, scratch_path
     started = time.time()
     root = out_root.rstrip("/")
     try:
         sales = sales_frame(spark, processed_path)
         cube_path = scratch or scratch_path(spark, "cube", fingerprint(processed_path, time.time()))
-        sales_cube = A.seller_month_cube(sales)
-        sales_cube.write.mode("overwrite").parquet(cube_path)
+        write_marts(spark, sales, root, params, cube_path=cube_path)
         cube = spark.read.parquet(cube_path)
-        m = params.marts
-        TB.write_mart(A.seller_monthly_from_cube(cube), root, "seller_monthly")
-        builders = {
-            "revenue_by_category": lambda: A.revenue_by_category_from_cube(cube),
-            "monthly_trend": lambda: A.monthly_trend_from_cube(cube),
-            "top_products": lambda: A.top_products(A.completed_orders(sales), m.top_n),
-            "kpi_summary": lambda: A.kpi_summary_from_cube(cube, sales),
-            "seller_alerts": lambda: A.seller_alerts(spark.read.parquet(f"{root}/seller_monthly"),
-                                                     m.alert_drop_pct, m.alert_type),
-        }
-        for name, build in builders.items():
-            TB.write_mart(build(), root, name)
         counts = {n: spark.read.parquet(f"{root}/{n}").count() for n in MART_NAMES}
         rows_in = int(cube.agg(F.sum("n_completed_rows")).first()[0] or 0)
         _log(spark, log_path, "analytics", "success", rows_in, sum(counts.values()), time.time() - started)
