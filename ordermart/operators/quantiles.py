@@ -126,7 +126,7 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
             break
         intervals = _merge(state.values())
         hist = _histograms(values, intervals, buckets)
-        to_collect: dict[tuple[float, float], list[tuple[int, int]]] = {}
+        to_collect: dict[tuple[float, float], tuple[int, list[tuple[int, int]]]] = {}
         for r, iv in list(state.items()):
             k = next(j for j, (a, b) in enumerate(intervals) if a <= iv[0] and iv[1] <= b)
             below, inside = hist[k]
@@ -143,13 +143,15 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
                 found[r] = lo
                 del state[r]
             elif c <= collect_limit:
-                to_collect.setdefault((lo, hi), []).append((r, cum))
+                to_collect.setdefault((lo, hi), (c, []))[1].append((r, cum))
                 del state[r]
             else:
                 state[r] = (lo, hi)
-        for (lo, hi), wanted in to_collect.items():
-            xs = [row["x"] for row in values.where(F.col("x").between(lo, hi))
-                  .orderBy("x").limit(collect_limit).collect()]
+        for (lo, hi), (size, wanted) in to_collect.items():
+            # the bin's values are exactly those in [lo, hi] (monotone binning): size <= limit
+            xs = [row["x"] for row in values.where(F.col("x").between(lo, hi)).orderBy("x").collect()]
+            if len(xs) != size:
+                raise RuntimeError(f"bin [{lo}, {hi}] changed between passes ({size} -> {len(xs)} rows)")
             stats["collected"] += len(xs)
             for r, cum in wanted:
                 found[r] = xs[r - cum]
