@@ -125,3 +125,25 @@ def test_predictions_for_sellers_limits_selection(spark):
         V.predictions_for_sellers(preds, seller_dim(spark), seller_ids=[f"S{i:03d}" for i in range(6)])
     out = V.predictions_for_sellers(preds, seller_dim(spark), tier="high_performer", seller_ids=["S001"])
     assert out.first()["seller_type"] == "high_performer"
+
+
+def test_null_customer_semantics_differ_between_kpi_and_seller_month(spark):
+    rows = [("a", "S001", "completed", None, 10.0, "2023-01-02", "x"),
+            ("b", "S001", "completed", "C1", 20.0, "2023-01-03", "x"),
+            ("c", "S001", "completed", "C1", 20.0, "2023-01-03", "x")]
+    sales = _sales(spark, rows)
+    sm = A.seller_monthly(sales).first()
+    assert sm["unique_customers"] == 1          # countDistinct ignores NULL
+    assert sm["active_days"] == 2
+    assert A.kpi_values(sales).first()["unique_customers"] == 2   # select-distinct counts NULL once
+    cube = A.seller_month_cube(sales).first()
+    assert cube["unique_customers"] == 1 and cube["active_days"] == 2
+
+
+def test_seller_month_aggregates_before_shuffling(spark):
+    rows = [(f"o{i}", "S001", "completed", f"C{i % 7}", 1.0, f"2023-01-{1 + i % 28:02d}", "x") for i in range(300)]
+    out = A.seller_monthly(_sales(spark, rows).repartition(6))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan and "Expand" not in plan
+    r = out.first()
+    assert r["unique_customers"] == 7 and r["active_days"] == 28 and r["monthly_revenue"] == 300.0
