@@ -91,6 +91,8 @@ class ForecastRun:
 
 def fit_forecast(features: DataFrame, p: ForecastParams) -> ForecastRun:
     train, test = temporal_split(features, p.split_year)
+    if not train.limit(1).collect():
+        raise ValueError(f"no labelled seller-months before split year {p.split_year}")
     if p.scaler_fit_on == "all":                       # reference behaviour (stats leak the test year)
         prep = Pipeline(stages=[_assembler(), _scaler()]).fit(features)
         lr = _regression(p).fit(prep.transform(train))

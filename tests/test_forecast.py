@@ -75,3 +75,10 @@ def test_feature_prep_rules(spark):
     assert got[None]["seller_type_enc"] == 0.0
     labelled = enc.filter(f"{LABEL_COLUMN} IS NOT NULL")
     assert labelled.count() == 3
+
+
+def test_empty_training_split_is_reported(spark):
+    import pytest
+    df, *_ = _features(spark)
+    with pytest.raises(ValueError):
+        M.fit_forecast(df, ForecastParams(split_year=1900))
