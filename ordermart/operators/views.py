@@ -107,28 +107,8 @@ def benchmark_history(results: DataFrame) -> DataFrame:
     return results.orderBy(F.col("created_at").desc(), F.col("task"))
 
 
-def benchmark_speedup(results: DataFrame) -> DataFrame:
-    """Per task: map-reduce vs Spark seconds and their ratio (NULL when either is missing)."""
-    wide = results.groupBy("task").pivot("engine", ["mapreduce", "spark"]).agg(F.avg("avg_seconds"))
-    return wide.withColumn("speedup", F.when((F.col("mapreduce") > 0) & (F.col("spark") > 0),
-                                             round_half_up(F.col("mapreduce") / F.col("spark"), 2)))
-
-
-def benchmark_report(task_seconds: DataFrame) -> DataFrame:
-    """key,value report lines: per-engine totals, speedup (-1 unless both > 0), per-task times.
-
-    ``task_seconds``: (engine, task, seconds) rows of our own timings.
-    """
-    ok = task_seconds.filter(F.col("seconds") >= 0)
-    totals = ok.groupBy("engine").agg(F.sum("seconds").alias("total"))
-    by_engine = totals.groupBy().pivot("engine", ["mapreduce", "spark"]).agg(F.first("total"))
-    mr, sp = F.coalesce(F.col("mapreduce"), F.lit(0.0)), F.coalesce(F.col("spark"), F.lit(0.0))
-    head = by_engine.select(F.explode(F.array(
-        F.struct(F.lit("mr_total_sec").alias("key"), mr.alias("value")),
-        F.struct(F.lit("spark_total_sec").alias("key"), sp.alias("value")),
-        F.struct(F.lit("speedup_ratio").alias("key"),
-                 F.when((mr > 0) & (sp > 0), mr / sp).otherwise(F.lit(-1.0)).alias("value")))).alias("r"))
-    tasks = ok.select(F.concat(F.when(F.col("engine") == "mapreduce", F.lit("mr_")).otherwise(F.lit("spark_")),
-                               F.lower(F.col("task"))).alias("key"), F.col("seconds").alias("value"))
-    return head.select("r.*").unionByName(tasks) \
-        .withColumn("value", F.format_string("%.2f", F.col("value")))
+def benchmark_speedup(results: DataFrame, slow: str = "spark_lines", fast: str = "spark_sql") -> DataFrame:
+    """Per task: seconds of two engines side by side and their ratio (NULL when either is missing)."""
+    wide = results.groupBy("task").pivot("engine", [slow, fast]).agg(F.avg("avg_seconds"))
+    return wide.withColumn("speedup", F.when((F.col(slow) > 0) & (F.col(fast) > 0),
+                                             round_half_up(F.col(slow) / F.col(fast), 2)))
