@@ -31,6 +31,22 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 10_000
 
 
+def _sketch_probs(probs) -> list[float]:
+    delta = 3.0 / SKETCH_ACCURACY
+    return sorted({min(1.0, max(0.0, float(p) + s * delta)) for p in probs for s in (-1, 1)})
+
+
+def head_aggregates(value, probs) -> list:
+    """count / min / max / GK sketch of ``value`` (NULL = not counted) as aggregate columns.
+
+    They can ride along with another job, e.g. as observed metrics of a table write, to
+    save ``exact_quantiles`` its first pass (metrics of a write's result stage count each
+    partition once, so the count is exact).
+    """
+    return [F.count(value).alias("n"), F.min(value).alias("mn"), F.max(value).alias("mx"),
+            F.percentile_approx(value, _sketch_probs(probs), SKETCH_ACCURACY).alias("q")]
+
+
 def _values(df: DataFrame, column: str) -> DataFrame:
     x = F.col(column).cast("double")
     return df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
@@ -91,16 +107,17 @@ def _histograms(values: DataFrame, intervals: list[tuple[float, float]], buckets
 
 def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
                     collect_limit: int = 4096, max_passes: int = 24,
-                    stats: dict | None = None) -> list[float | None]:
-    """``stats`` (optional) receives the number of histogram passes and collected values."""
+                    stats: dict | None = None, head: dict | None = None) -> list[float | None]:
+    """``stats`` (optional) receives the number of histogram passes and collected values;
+    ``head`` (optional) is ``head_aggregates`` already computed over the same values."""
     probs = [float(p) for p in probs]
     stats = stats if stats is not None else {}
-    stats.update(passes=0, collected=0)
+    stats.update(passes=0, collected=0, head_pass=head is None)
     values = _values(df, column)
     delta = 3.0 / SKETCH_ACCURACY
-    sketch_probs = sorted({min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1, 1)})
-    head = values.agg(F.count("x").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"),
-                      F.percentile_approx("x", sketch_probs, SKETCH_ACCURACY).alias("q")).first()
+    sketch_probs = _sketch_probs(probs)
+    if head is None:
+        head = values.agg(*head_aggregates(F.col("x"), probs)).first().asDict()
     n, mn, mx = head["n"], head["mn"], head["mx"]
     if not n:
         return [None for _ in probs]
@@ -185,12 +202,23 @@ def approx_quantiles(df: DataFrame, column: str, probs, relative_error: float =
     return list(out) if out else [None for _ in probs]
 
 
+IQR_PROBS = (0.25, 0.75)
+
+
+def positive_values(c):
+    """The values the IQR bounds are computed from (NULL otherwise)."""
+    return F.when(c.isNotNull() & ~F.isnan(c) & (c > 0), c.cast("double"))
+
+
 def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 3.0,
-               method: str = "exact", relative_error: float = 0.01) -> dict:
-    """Q1/Q3 of the positive values and the bounds ``Q1 - k*IQR``, ``Q3 + k*IQR``."""
+               method: str = "exact", relative_error: float = 0.01, head: dict | None = None) -> dict:
+    """Q1/Q3 of the positive values and the bounds ``Q1 - k*IQR``, ``Q3 + k*IQR``.
+
+    ``head``: ``head_aggregates(positive_values(col), IQR_PROBS)`` computed elsewhere.
+    """
     positive = df.where(F.col(column).isNotNull() & (F.col(column) > 0))
     if method == "exact":
-        q1, q3 = exact_quantiles(positive, column, [0.25, 0.75])
+        q1, q3 = exact_quantiles(positive, column, list(IQR_PROBS), head=head)
     elif method == "approx":
         q1, q3 = approx_quantiles(positive, column, [0.25, 0.75], relative_error)
     else:

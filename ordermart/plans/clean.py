@@ -24,7 +24,7 @@ from ordermart.config import FIXTURE, Params
 from ordermart.constants import N_SELLERS
 from ordermart.functions import category_bucket, product_bucket
 from ordermart.operators import cleaning as C
-from ordermart.operators.quantiles import iqr_bounds
+from ordermart.operators.quantiles import IQR_PROBS, head_aggregates, iqr_bounds, positive_values
 from ordermart.session import committed, fingerprint, prepare, scratch_path
 from ordermart.sources import feeds
 
@@ -49,6 +49,7 @@ class OrderPipeline:
         self._bounds: dict | None = None
         self._processed: DataFrame | None = None
         self._valid: DataFrame | None = None
+        self._valid_head: dict | None = None      # quantile head pass observed during the write
         self.stage_counts: dict[str, int] = {}
 
     # --- inputs ---------------------------------------------------------------
@@ -97,14 +98,18 @@ class OrderPipeline:
 
     def valid_table(self) -> DataFrame:
         if not committed(self.spark, self.valid_path):
-            seen_in, seen_valid = Observation(), Observation()
+            seen_in, seen_valid, seen_amounts = Observation(), Observation(), Observation()
             combined = self.combined().observe(seen_in, F.count(F.lit(1)).alias("rows"))
             valid = C.valid_window_filter(C.dedup_orders(combined),
                                           self.params.clean.start_date, self.params.clean.end_date)
+            # the quantile head pass rides along with the write (result stage: exact counts)
+            amounts = positive_values(F.col("total_amount"))
             valid.observe(seen_valid, F.count(F.lit(1)).alias("rows")) \
+                 .observe(seen_amounts, *head_aggregates(amounts, IQR_PROBS)) \
                  .write.mode("overwrite").parquet(self.valid_path)
             self.stage_counts["rows_in"] = seen_in.get["rows"]
             self.stage_counts["valid"] = seen_valid.get["rows"]
+            self._valid_head = dict(seen_amounts.get)
         if self._valid is None:
             self._valid = self.spark.read.schema(VALID_SCHEMA).parquet(self.valid_path)
         return self._valid
@@ -120,7 +125,7 @@ class OrderPipeline:
             else:
                 valid = self.valid_table()
                 self._bounds = iqr_bounds(valid, "total_amount", p.iqr_factor,
-                                          p.quantile_method, p.approx_relative_error)
+                                          p.quantile_method, p.approx_relative_error, head=self._valid_head)
                 self.spark.createDataFrame([self._bounds], BOUNDS_SCHEMA) \
                     .coalesce(1).write.mode("overwrite").parquet(path)
         return self._bounds

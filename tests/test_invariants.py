@@ -111,3 +111,19 @@ def test_month_key_falls_back_to_order_date(spark):
     assert got == [("2023-01", False), ("2023-02", True), ("2023-03", True)]
     months = {r["year_month"]: r["order_count"] for r in T.month_sum_count(T.guarded_records(lines)).collect()}
     assert months == {"2023-01": 1, "2023-02": 1, "2023-03": 1}
+
+
+def test_quantile_head_observed_during_valid_write_equals_separate_pass(spark):
+    import uuid
+
+    from ordermart.config import FIXTURE
+    from ordermart.operators.quantiles import iqr_bounds
+    from ordermart.plans.clean import OrderPipeline
+    base = catalog._p(spark, SF_SMALL)
+    fresh = OrderPipeline(spark, SF_SMALL, FIXTURE, feeds_root=base.feeds_root, run_tag=uuid.uuid4().hex)
+    fresh.valid_table()
+    head = fresh._valid_head
+    assert head is not None and head["n"] == fresh.valid_table().where("total_amount > 0").count()
+    observed = fresh.bounds()
+    separate = iqr_bounds(fresh.valid_table(), "total_amount", 3.0, "exact")
+    assert observed == separate
