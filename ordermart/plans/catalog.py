@@ -787,7 +787,8 @@ def predictions_for_sellers(spark, sf_dir):
 
 @register("forecast_view")
 def forecast_view(spark, sf_dir):
-    """Residuals for the default sellers next to the latest metrics."""
+    """Forecast tab data: actual vs predicted and residual % for the default seller selection
+    (the metrics cards are ``latest_model_metrics``)."""
     sel = predictions_for_sellers(spark, sf_dir)
     return M.residual_pct(sel)
 
