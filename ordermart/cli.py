@@ -1,7 +1,7 @@
 """Command line for the three jobs (usable with spark-submit):
 
     spark-submit ordermart/cli.py clean     --feeds <dir> --out <dir> [--log <dir>]
-    spark-submit ordermart/cli.py analytics --processed <dir> --out <dir> [--log <dir>]
+    spark-submit ordermart/cli.py analytics --processed <dir> --out <dir> [--serving <dir>] [--log <dir>]
     spark-submit ordermart/cli.py forecast  --seller-monthly <dir> --out <dir> [--log <dir>]
 
 ``--window-start/--window-end`` and ``--split-year`` override the reference defaults.
@@ -41,6 +41,7 @@ def main(argv=None) -> int:
     ap.add_argument("--seller-monthly")
     ap.add_argument("--out", required=True)
     ap.add_argument("--log")
+    ap.add_argument("--serving")
     ap.add_argument("--window-start")
     ap.add_argument("--window-end")
     ap.add_argument("--split-year", type=int)
@@ -50,7 +51,8 @@ def main(argv=None) -> int:
     if args.step == "clean":
         out = jobs.run_clean(spark, args.feeds, args.out, params, log_path=args.log)
     elif args.step == "analytics":
-        out = jobs.run_analytics(spark, args.processed, args.out, params, log_path=args.log)
+        out = jobs.run_analytics(spark, args.processed, args.out, params, log_path=args.log,
+                                 serving_root=args.serving)
     else:
         out = jobs.run_forecast(spark, args.seller_monthly, args.out, params, log_path=args.log)
     print(json.dumps(out, default=str))

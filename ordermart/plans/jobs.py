@@ -75,9 +75,32 @@ def sales_frame(spark: SparkSession, processed_path: str) -> DataFrame:
               .withColumn("product_id", product_bucket(F.col("order_id"))))
 
 
+# serving-table verbs per mart, as the reference's serving layer applies them
+SERVING_UPSERT_KEYS = {"monthly_trend": ["year_month"], "seller_monthly": ["seller_id", "year_month"]}
+SERVING_REPLACE = ("revenue_by_category", "top_products", "kpi_summary", "seller_alerts")
+
+
+def publish_serving(spark: SparkSession, mart_paths: dict, serving_root: str) -> dict:
+    """Marts -> serving snapshot tables: truncate-insert for four, keyed upsert for two."""
+    out = {}
+    for name in SERVING_REPLACE:
+        t = TB.SnapshotTable(spark, f"{serving_root.rstrip('/')}/{name}")
+        t.replace(spark.read.parquet(mart_paths[name]))
+        t.vacuum(keep=2)
+        out[name] = t.path
+    for name, keys in SERVING_UPSERT_KEYS.items():
+        t = TB.SnapshotTable(spark, f"{serving_root.rstrip('/')}/{name}")
+        t.upsert(spark.read.parquet(mart_paths[name]), keys)
+        t.vacuum(keep=2)
+        out[name] = t.path
+    return out
+
+
 def run_analytics(spark: SparkSession, processed_path: str, out_root: str, params: Params = REFERENCE,
-                  scratch: str | None = None, log_path: str | None = None) -> dict:
-    """Six marts under ``out_root/<mart>`` from three scans of the fact."""
+                  scratch: str | None = None, log_path: str | None = None,
+                  serving_root: str | None = None) -> dict:
+    """Six marts under ``out_root/<mart>`` from three scans of the fact; with ``serving_root``
+    also the serving tables (snapshot truncate-insert / upsert)."""
     started = time.time()
     root = out_root.rstrip("/")
     try:
@@ -87,8 +110,10 @@ def run_analytics(spark: SparkSession, processed_path: str, out_root: str, param
         cube = spark.read.parquet(cube_path)
         counts = {n: spark.read.parquet(f"{root}/{n}").count() for n in MART_NAMES}
         rows_in = int(cube.agg(F.sum("n_completed_rows")).first()[0] or 0)
+        paths = {n: f"{root}/{n}" for n in MART_NAMES}
+        serving = publish_serving(spark, paths, serving_root) if serving_root else {}
         _log(spark, log_path, "analytics", "success", rows_in, sum(counts.values()), time.time() - started)
-        return {"paths": {n: f"{root}/{n}" for n in MART_NAMES}, "rows": counts}
+        return {"paths": paths, "rows": counts, "serving": serving}
     except Exception:
         _log(spark, log_path, "analytics", "failed", 0, 0, time.time() - started)
         raise

@@ -26,12 +26,19 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
     assert sorted(d for d in os.listdir(clean["processed"]) if d.startswith("data_source=")) == \
         ["data_source=app", "data_source=web"]
 
-    marts = jobs.run_analytics(spark, clean["processed"], os.path.join(tmp_dir, "marts"), FIXTURE, log_path=log)
+    serving = os.path.join(tmp_dir, "serving")
+    marts = jobs.run_analytics(spark, clean["processed"], os.path.join(tmp_dir, "marts"), FIXTURE, log_path=log,
+                               serving_root=serving)
     assert marts["rows"]["seller_monthly"] == 542
     assert marts["rows"]["seller_alerts"] == 199
     assert marts["rows"]["monthly_trend"] == 60
     assert marts["rows"]["kpi_summary"] == 6 and marts["rows"]["top_products"] == 10
 
+    from ordermart.sources.tables import SnapshotTable
+    again = jobs.publish_serving(spark, marts["paths"], serving)          # second refresh: same content
+    for name, path in again.items():
+        assert SnapshotTable(spark, path).read().count() == marts["rows"][name]
+
     fc = jobs.run_forecast(spark, marts["paths"]["seller_monthly"], os.path.join(tmp_dir, "model"), FIXTURE,
                            log_path=log)
     assert fc["metrics"]["n_test"] > 0 and fc["metrics"]["feature_json"].startswith("[")
