@@ -139,7 +139,7 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
         passes += 1
         stats["passes"] = passes
         if passes > max_passes:
-            _fallback(values, state, found)
+            _fallback(values, state, found, mn, mx)
             break
         intervals = _merge(state.values())
         hist = _histograms(values, intervals, buckets)
@@ -186,14 +186,19 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
     return result
 
 
-def _fallback(values: DataFrame, state: dict, found: dict) -> None:
-    """Reached only for data spanning hundreds of orders of magnitude inside one bin."""
+def _fallback(values: DataFrame, state: dict, found: dict, mn: float, mx: float) -> None:
+    """Pass budget exhausted (data spanning hundreds of orders of magnitude inside one bin):
+    the value of rank r is the ``percentile_disc`` at (k + 1/2)/cnt of its verified interval,
+    which picks exactly the k-th value (half a rank of margin against rounding)."""
     for r, (a, b) in state.items():
         below = values.where(F.col("x") < a).count()
-        frac_rank = values.where(F.col("x").between(a, b))
-        cnt = frac_rank.count()
-        k = r - below
-        found[r] = frac_rank.agg(F.percentile("x", (k / (cnt - 1)) if cnt > 1 else 0.0)).first()[0]
+        inside = values.where(F.col("x").between(a, b))
+        cnt = inside.count()
+        if not (below <= r < below + cnt):              # unverified bracket: use the full range
+            below, inside, cnt = 0, values.where(F.col("x").between(mn, mx)), None
+            cnt = inside.count()
+        p = (r - below + 0.5) / cnt
+        found[r] = inside.agg(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)")).first()[0]
     state.clear()
 
 
