@@ -99,6 +99,9 @@ class OrderPipeline:
     def valid_table(self) -> DataFrame:
         if not committed(self.spark, self.valid_path):
             seen_in, seen_valid, seen_amounts = Observation(), Observation(), Observation()
+            # rows_in is observed before the dedup shuffle (a map stage: a re-run stage may count
+            # twice); it only feeds the run log.  The metrics below sit in the write's result
+            # stage, where each partition is counted once -- the quantile head relies on that.
             combined = self.combined().observe(seen_in, F.count(F.lit(1)).alias("rows"))
             valid = C.valid_window_filter(C.dedup_orders(combined),
                                           self.params.clean.start_date, self.params.clean.end_date)
