@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ordermart.operators import forecast as M
 from ordermart.operators import marts as A
 from ordermart.plans.clean import OrderPipeline
-from ordermart.session import committed, fingerprint, scratch_path
+from ordermart.session import MATERIALIZE_LOCK, committed, fingerprint, scratch_path
 from ordermart.sources.tables import write_mart
 
 MART_NAMES = ("seller_monthly", "revenue_by_category", "monthly_trend", "top_products",
@@ -61,7 +61,8 @@ class Analytics:
 
     def build(self) -> dict[str, str]:
         """Write all step-2 marts (once) under ``marts_root``; see ``write_marts``."""
-        return write_marts(self.spark, self.sales(), self.marts_root, self.params, skip_committed=True)
+        with MATERIALIZE_LOCK:
+            return write_marts(self.spark, self.sales(), self.marts_root, self.params, skip_committed=True)
 
     def mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.build()[name])
@@ -118,9 +119,10 @@ _ANALYTICS: dict = {}
 
 def analytics(pipe: OrderPipeline) -> Analytics:
     key = id(pipe)
-    if key not in _ANALYTICS:
-        _ANALYTICS[key] = Analytics(pipe)
-    return _ANALYTICS[key]
+    with MATERIALIZE_LOCK:
+        if key not in _ANALYTICS:
+            _ANALYTICS[key] = Analytics(pipe)
+        return _ANALYTICS[key]
 
 
 def empty_like(spark, schema) -> DataFrame:

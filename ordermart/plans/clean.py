@@ -25,7 +25,7 @@ from ordermart.constants import N_SELLERS
 from ordermart.functions import category_bucket, product_bucket
 from ordermart.operators import cleaning as C
 from ordermart.operators.quantiles import IQR_PROBS, head_aggregates, iqr_bounds, positive_values
-from ordermart.session import committed, fingerprint, prepare, scratch_path
+from ordermart.session import MATERIALIZE_LOCK, committed, fingerprint, prepare, scratch_path
 from ordermart.sources import feeds
 
 PLAN_VERSION = 1
@@ -97,6 +97,10 @@ class OrderPipeline:
         return scratch_path(self.spark, "valid", key)
 
     def valid_table(self) -> DataFrame:
+        with MATERIALIZE_LOCK:
+            return self._valid_table()
+
+    def _valid_table(self) -> DataFrame:
         if not committed(self.spark, self.valid_path):
             seen_in, seen_valid, seen_amounts = Observation(), Observation(), Observation()
             # rows_in is observed before the dedup shuffle (a map stage: a re-run stage may count
@@ -119,6 +123,10 @@ class OrderPipeline:
 
     def bounds(self) -> dict:
         """IQR bounds of the valid amounts, stored next to the valid table (computed once)."""
+        with MATERIALIZE_LOCK:
+            return self._bounds_once()
+
+    def _bounds_once(self) -> dict:
         if self._bounds is None:
             p = self.params.clean
             path = f"{self.valid_path}_bounds/{p.quantile_method}_{p.iqr_factor}_{p.approx_relative_error}"
@@ -156,6 +164,10 @@ class OrderPipeline:
         The re-read frame is kept: its file index is listed once and every query
         built on it shares that listing (schema given, no footer inference).
         """
+        with MATERIALIZE_LOCK:
+            return self._processed_once()
+
+    def _processed_once(self) -> DataFrame:
         if self._processed is not None:
             return self._processed
         path = self.processed_path
@@ -186,6 +198,7 @@ _PIPELINES: dict = {}
 def pipeline(spark: SparkSession, sf_dir: str, params: Params = FIXTURE) -> OrderPipeline:
     """Shared pipeline per (session, folder, parameters) so materialised tables are reused."""
     key = (id(spark), sf_dir.rstrip("/"), params)
-    if key not in _PIPELINES:
-        _PIPELINES[key] = OrderPipeline(spark, sf_dir, params)
-    return _PIPELINES[key]
+    with MATERIALIZE_LOCK:
+        if key not in _PIPELINES:
+            _PIPELINES[key] = OrderPipeline(spark, sf_dir, params)
+        return _PIPELINES[key]

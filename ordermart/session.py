@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,11 @@ DEFAULT_CONF = {
 }
 
 
+# Serialises the writes of shared intermediate tables when queries are built from several
+# threads of one driver (each table is written once; later callers reuse it).
+MATERIALIZE_LOCK = threading.RLock()
+
+
 def build_session(master: str | None = None, app_name: str = "ordermart",
                   shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ordermart import schemas
 from ordermart.constants import REGIONS
 from ordermart.functions.timecols import ntz_to_epoch_seconds
-from ordermart.session import committed, fingerprint, input_signature, scratch_path
+from ordermart.session import MATERIALIZE_LOCK, committed, fingerprint, input_signature, scratch_path
 
 FEED_RULES_VERSION = 1
 COPY_TAGS = (42, 43, 44)     # k % 100: flagged copy, NULL-amount copy, later copy
@@ -137,8 +137,9 @@ def ensure_fixture_feeds(spark: SparkSession, sf_dir: str) -> str:
     """Write (once) the raw JSON feeds derived from ``sf_dir/orders.parquet``."""
     orders_path = f"{sf_dir.rstrip('/')}/orders.parquet"
     root = scratch_path(spark, "feeds", fingerprint(input_signature(orders_path), FEED_RULES_VERSION))
-    if not committed(spark, root):
-        write_feeds(fixture_raw(spark.read.parquet(orders_path)), root)
+    with MATERIALIZE_LOCK:
+        if not committed(spark, root):
+            write_feeds(fixture_raw(spark.read.parquet(orders_path)), root)
     return root
 
 
