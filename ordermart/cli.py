@@ -3,6 +3,7 @@
     spark-submit ordermart/cli.py clean     --feeds <dir> --out <dir> [--log <dir>]
     spark-submit ordermart/cli.py analytics --processed <dir> --out <dir> [--serving <dir>] [--log <dir>]
     spark-submit ordermart/cli.py forecast  --seller-monthly <dir> --out <dir> [--log <dir>]
+    spark-submit ordermart/cli.py benchmark --processed <dir> --out <dir> [--jsonl <dir>] [--runs N]
 
 ``--window-start/--window-end`` and ``--split-year`` override the reference defaults.
 """
@@ -35,7 +36,9 @@ def _params(args):
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="ordermart")
-    ap.add_argument("step", choices=["clean", "analytics", "forecast"])
+    ap.add_argument("step", choices=["clean", "analytics", "forecast", "benchmark"])
+    ap.add_argument("--jsonl")
+    ap.add_argument("--runs", type=int, default=3)
     ap.add_argument("--feeds")
     ap.add_argument("--processed")
     ap.add_argument("--seller-monthly")
@@ -53,8 +56,10 @@ def main(argv=None) -> int:
     elif args.step == "analytics":
         out = jobs.run_analytics(spark, args.processed, args.out, params, log_path=args.log,
                                  serving_root=args.serving)
-    else:
+    elif args.step == "forecast":
         out = jobs.run_forecast(spark, args.seller_monthly, args.out, params, log_path=args.log)
+    else:
+        out = jobs.run_benchmark(spark, args.processed, args.out, max(3, args.runs), args.jsonl)
     print(json.dumps(out, default=str))
     return 0
 

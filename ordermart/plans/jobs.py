@@ -136,3 +136,28 @@ def run_forecast(spark: SparkSession, seller_monthly_path: str, out_root: str, p
     _log(spark, log_path, "train", "success", row["n_train"] + row["n_test"], row["n_test"],
          time.time() - started)
     return {"model": f"{root}/model", "predictions": f"{root}/predictions", "metrics": row.asDict()}
+
+
+def run_benchmark(spark: SparkSession, processed_path: str, out_root: str, runs: int = 3,
+                  jsonl_path: str | None = None) -> dict:
+    """Time the three SQL-text tasks (and, given the JSON-lines export, the line-oriented
+    ones) over a processed table; append benchmark_results rows and write the report."""
+    from ordermart.operators import text_tasks as T
+    from ordermart.plans import benchmark as B
+    from ordermart.plans.sql_tasks import SQL_TASKS, register_view, run_sql_task
+    root = out_root.rstrip("/")
+    view = register_view(sales_frame(spark, processed_path), "sales")
+    timings = [B.timed(spark, key, lambda k=key: B.noop(run_sql_task(spark, k, view)), runs)
+               for key in SQL_TASKS]
+    if jsonl_path:
+        def guarded():
+            lines = TX.read_jsonl(spark, jsonl_path, T.EXPORT_FIELDS, mode="DROPMALFORMED")
+            return T.guarded_records(lines)
+        line_tasks = {"mr_category_sum": lambda: T.category_sum(guarded()),
+                      "mr_month_sum_count": lambda: T.month_sum_count(guarded()),
+                      "mr_ranked_products": lambda: T.ranked_products(T.product_count(guarded()))}
+        timings += [B.timed(spark, key, lambda f=fn: B.noop(f()), runs) for key, fn in line_tasks.items()]
+    B.append_benchmark_rows(spark, f"{root}/benchmark_results", timings)
+    rows = B.benchmark_rows(spark, timings)
+    TX.write_csv(B.report(rows), f"{root}/benchmark_report", single_file=True)
+    return {t.key: {"min": t.min, "mean": t.mean, "jobs": t.jobs} for t in timings}

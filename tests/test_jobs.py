@@ -44,6 +44,13 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
     assert fc["metrics"]["n_test"] > 0 and fc["metrics"]["feature_json"].startswith("[")
     assert spark.read.parquet(fc["predictions"]).count() == fc["metrics"]["n_test"]
 
+    bench = jobs.run_benchmark(spark, clean["processed"], os.path.join(tmp_dir, "bench"), runs=3,
+                               jsonl_path=clean["jsonl"])
+    assert set(bench) == {"sql_revenue_by_category", "sql_monthly_orders", "sql_top_products",
+                          "mr_category_sum", "mr_month_sum_count", "mr_ranked_products"}
+    assert all(v["min"] > 0 and v["jobs"] >= 1 for v in bench.values())
+    assert spark.read.parquet(os.path.join(tmp_dir, "bench", "benchmark_results")).count() == 6
+
     runs = {r["step"]: r for r in read_log(spark, log, schemas.PIPELINE_RUNS).collect()}
     assert set(runs) == {"clean", "analytics", "train"}
     assert runs["clean"]["status"] == "success" and runs["clean"]["rows_out"] == 1086
