@@ -135,3 +135,10 @@ def derive_calendar(df: DataFrame) -> DataFrame:
 
 def to_processed(df: DataFrame) -> DataFrame:
     return df.select(*schemas.PROCESSED_COLUMNS)
+
+
+def cluster_for_write(df: DataFrame) -> DataFrame:
+    """Local sort (no shuffle) by source, month and seller before a partitioned write: the
+    writer's own sort by the partition column is then already satisfied, and Parquet row groups
+    hold narrow month / seller ranges, so their min/max statistics let filtered scans skip them."""
+    return df.sortWithinPartitions("data_source", "year_month", "seller_id")

@@ -174,7 +174,7 @@ class OrderPipeline:
         if not committed(self.spark, path):
             started = time.time()
             obs = Observation()
-            self.final().observe(obs, F.count(F.lit(1)).alias("rows")) \
+            C.cluster_for_write(self.final().observe(obs, F.count(F.lit(1)).alias("rows"))) \
                 .write.mode("overwrite").partitionBy("data_source").parquet(path)
             self.stage_counts["processed"] = obs.get["rows"]
             self.stage_counts["seconds"] = time.time() - started

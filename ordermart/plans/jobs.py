@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ordermart import schemas
 from ordermart.config import REFERENCE, Params
 from ordermart.functions import category_bucket, product_bucket
+from ordermart.operators import cleaning as C
 from ordermart.operators import forecast as M
 from ordermart.plans.analytics import MART_NAMES, write_marts
 from ordermart.plans.clean import OrderPipeline
@@ -56,7 +57,7 @@ def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Param
         seen = Observation()
         final = pipe.final().observe(seen, F.count(F.lit(1)).alias("rows"))
         processed = f"{out_root.rstrip('/')}/processed"
-        final.write.mode("overwrite").partitionBy("data_source").parquet(processed)
+        C.cluster_for_write(final).write.mode("overwrite").partitionBy("data_source").parquet(processed)
         rows_out = seen.get["rows"]
         out = {"processed": processed, "bounds": pipe.bounds(), "rows_in": rows_in, "rows_out": rows_out}
         if jsonl_export:
