@@ -113,3 +113,12 @@ def test_marts_from_cube_equal_direct_marts(spark):
     cube = spark.read.parquet(paths["seller_monthly"].rsplit("/", 1)[0] + "/_seller_month_cube")
     assert cube.count() >= spark.read.parquet(paths["seller_monthly"]).count()
     assert A.KPI_NAMES
+
+
+def test_partition_pruning_and_month_pushdown_on_processed(spark):
+    df = QUERIES["scan_processed"](spark, SF_SMALL)
+    one_source = df.filter("data_source = 'web' AND year_month = '1998-03'")
+    plan = one_source._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_source" in plan and "web" in plan
+    assert "PushedFilters" in plan and "year_month" in plan
+    assert one_source.count() == df.filter("data_source = 'web' AND year_month = '1998-03'").count()
