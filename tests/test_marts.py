@@ -144,3 +144,19 @@ def test_seller_month_aggregates_before_shuffling(spark):
     assert "partial_" in plan and "Expand" not in plan
     r = out.first()
     assert r["unique_customers"] == 7 and r["active_days"] == 28 and r["monthly_revenue"] == 300.0
+
+
+def test_hot_seller_is_spread_by_customer_in_the_first_shuffle(spark):
+    """One seller holds a third of all rows: the distinct-customer shuffle is keyed by
+    (seller, month, tier, customer), so that seller spreads over reducers; results stay exact."""
+    rows = []
+    for i in range(900):
+        seller = "S001" if i % 3 == 0 else f"S{2 + i % 50:03d}"
+        rows.append((f"o{i}", seller, "completed", f"C{i % 97}", 1.0, f"2023-01-{1 + i % 28:02d}", "x"))
+    sales = _sales(spark, rows).repartition(8)
+    out = A.seller_monthly(sales)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.rfind("Exchange hashpartitioning"):]       # the shuffle closest to the scan
+    assert "customer_id" in first.split("\n")[0]
+    hot = out.filter("seller_id = 'S001'").first()
+    assert hot["monthly_revenue"] == 300.0 and hot["unique_customers"] == 97
