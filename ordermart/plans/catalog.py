@@ -147,11 +147,13 @@ def source_literal(spark, sf_dir):
 
 @register("dedup_orders", W("SELECT * FROM deduped"))
 def dedup_orders(spark, sf_dir):
+    """One row per order id: amount present first, then the latest timestamp."""
     return _p(spark, sf_dir).deduped()
 
 
 @register("valid_window_filter", W("SELECT * FROM valid"))
 def valid_window_filter(spark, sf_dir):
+    """Deduplicated orders inside the date window with a positive amount (P10)."""
     return _p(spark, sf_dir).valid()
 
 
@@ -180,11 +182,13 @@ def iqr_bounds_approx(spark, sf_dir):
 
 @register("outlier_filter", W("SELECT * FROM clean"))
 def outlier_filter(spark, sf_dir):
+    """Valid orders within the exact IQR x3 bounds (P11); bounds reach the scan as literals."""
     return _p(spark, sf_dir).clean()
 
 
 @register("enrich_sellers", W("SELECT * FROM enriched"))
 def enrich_sellers(spark, sf_dir):
+    """Left join with the seller dimension (size-checked broadcast): tier, region fill."""
     return _p(spark, sf_dir).enriched()
 
 
@@ -270,6 +274,7 @@ def mr_guard_filter(spark, sf_dir):
     {O.msum('total_amount')} AS total_revenue FROM processed
     WHERE status = 'completed' AND total_amount > 0 GROUP BY 1"""))
 def mr_category_sum(spark, sf_dir):
+    """Line-oriented task: completed revenue per category from the JSON-lines export."""
     return T.category_sum(_guarded(spark, sf_dir))
 
 
@@ -279,6 +284,7 @@ _MR_MONTH_SQL = f"""SELECT year_month, {O.msum('total_amount')} AS total_revenue
 
 @register("mr_month_sum_count", W(_MR_MONTH_SQL))
 def mr_month_sum_count(spark, sf_dir):
+    """Line-oriented task: completed revenue and count per month key."""
     return T.month_sum_count(_guarded(spark, sf_dir))
 
 
@@ -299,12 +305,14 @@ _MR_PRODUCT_SQL = f"""SELECT {O.product_expr('order_id')} AS product_id, COUNT(*
 
 @register("mr_product_count", W(_MR_PRODUCT_SQL))
 def mr_product_count(spark, sf_dir):
+    """Line-oriented task: completed orders per product."""
     return T.product_count(_guarded(spark, sf_dir))
 
 
 @register("mr_ranked_products", W(f"""SELECT CAST(row_number() OVER (ORDER BY order_count DESC, product_id) AS INTEGER)
     AS rank, product_id, order_count FROM ({_MR_PRODUCT_SQL} ORDER BY order_count DESC, product_id LIMIT 10) t"""))
 def mr_ranked_products(spark, sf_dir):
+    """Line-oriented task: one global top-10 of the product counts."""
     return T.ranked_products(T.product_count(_guarded(spark, sf_dir)))
 
 
@@ -348,6 +356,7 @@ def product_display_name(spark, sf_dir):
 
 @register("revenue_by_category", WM("SELECT * FROM revenue_by_category"))
 def revenue_by_category(spark, sf_dir):
+    """Completed orders per category: exact revenue, order count, average (A1)."""
     return _a(spark, sf_dir).revenue_by_category()
 
 
@@ -358,6 +367,7 @@ def monthly_totals(spark, sf_dir):
 
 @register("monthly_trend", WM("SELECT * FROM monthly_trend"))
 def monthly_trend(spark, sf_dir):
+    """Completed revenue and orders per month with month-over-month growth (A2 + W2)."""
     return _a(spark, sf_dir).monthly_trend()
 
 
@@ -368,27 +378,32 @@ def product_totals(spark, sf_dir):
 
 @register("top_products", WM("SELECT * FROM top_products"))
 def top_products(spark, sf_dir):
+    """Global top-10 products by completed orders, ranked, with display names (O1 + W7)."""
     return _a(spark, sf_dir).top_products()
 
 
 @register("cancel_rate", WM("SELECT * FROM sm_cancel"))
 def cancel_rate(spark, sf_dir):
+    """Cancelled share per seller-month over all statuses (A4)."""
     return A.cancel_rate(_a(spark, sf_dir).sales())
 
 
 @register("seller_month_base", WM("SELECT * FROM sm_base"))
 def seller_month_base(spark, sf_dir):
+    """Completed metrics per seller-month-tier, the reference's first aggregate (A5)."""
     return A.seller_month_base(_a(spark, sf_dir).completed())
 
 
 @register("join_cancel_rate", WM("SELECT * FROM sm_joined"))
 def join_cancel_rate(spark, sf_dir):
+    """A5 left-joined with A4 on (seller, month), as the reference joins them."""
     a = _a(spark, sf_dir)
     return A.join_cancel_rate(A.seller_month_base(a.completed()), A.cancel_rate(a.sales()))
 
 
 @register("seller_monthly", WM("SELECT * FROM seller_monthly"))
 def seller_monthly(spark, sf_dir):
+    """Seller-month features: revenue, AOV, cancel rate, distinct customers/days, lags, MA3, growth, label."""
     return _a(spark, sf_dir).seller_monthly()
 
 
@@ -422,6 +437,7 @@ def year_month_parts(spark, sf_dir):
 
 @register("seller_alerts", WM("SELECT * FROM seller_alerts"))
 def seller_alerts(spark, sf_dir):
+    """Seller-months whose revenue dropped more than 20 % against the previous present month."""
     return _a(spark, sf_dir).seller_alerts()
 
 
@@ -438,6 +454,7 @@ def alert_threshold(spark, sf_dir):
 
 @register("kpi_summary", WM("SELECT * FROM kpi_summary"))
 def kpi_summary(spark, sf_dir):
+    """Six KPI rows from one global aggregation (A10)."""
     return _a(spark, sf_dir).kpi_summary()
 
 
@@ -556,6 +573,7 @@ def kpi_cards(spark, sf_dir):
     COALESCE(CAST(SUM(CAST(avg_revenue AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(avg_revenue) AS DOUBLE), 0.0)
       AS avg_order_value FROM revenue_by_category"""))
 def kpi_fallback(spark, sf_dir):
+    """KPIs recomputed from the category mart when the KPI mart is missing."""
     return V.kpi_fallback(_a(spark, sf_dir).mart("revenue_by_category"))
 
 
@@ -574,6 +592,7 @@ def alert_count(spark, sf_dir):
     '▼ ' || CAST(CAST(ROUND(CAST(drop_pct AS DECIMAL(28,10)), 1) AS DECIMAL(18,1)) AS VARCHAR) || '%' AS drop_pct
     FROM (SELECT * FROM seller_alerts ORDER BY year_month DESC, drop_pct DESC, seller_id LIMIT 10) t"""))
 def recent_alerts(spark, sf_dir):
+    """Ten most recent, largest drops with a '▼ x.x%' label."""
     return V.recent_alerts(_a(spark, sf_dir).mart("seller_alerts"))
 
 
