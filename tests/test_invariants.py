@@ -127,3 +127,19 @@ def test_quantile_head_observed_during_valid_write_equals_separate_pass(spark):
     observed = fresh.bounds()
     separate = iqr_bounds(fresh.valid_table(), "total_amount", 3.0, "exact")
     assert observed == separate
+
+
+def test_results_independent_of_ansi_mode_and_partition_count(spark):
+    keys = ["clean_orders", "seller_monthly", "kpi_summary", "monthly_trend", "recent_alerts",
+            "sql_monthly_orders"]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.shuffle.partitions")}
+    seen = []
+    try:
+        for ansi, parts in (("true", "4"), ("false", "37")):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            seen.append({k: sorted(map(repr, Q[k](spark, SF_SMALL).collect())) for k in keys})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert seen[0] == seen[1]
