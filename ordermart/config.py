@@ -21,6 +21,9 @@ class MartParams:
     top_n: int = 10
     alert_drop_pct: float = 20.0
     alert_type: str = "revenue_drop"
+    # KPI distinct customers: exact (shuffles every distinct id) or an HLL++ sketch with this
+    # relative standard deviation (a few KB per task) for very high cardinality
+    approx_customers_rsd: float | None = None
 
 
 @dataclass(frozen=True)

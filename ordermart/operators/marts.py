@@ -184,10 +184,12 @@ KPI_NAMES = ("total_gmv", "total_orders", "unique_customers", "active_sellers",
              "avg_order_value", "cancel_rate")
 
 
-def _distinct_with_null(c: str, cond):
-    """Distinct values counting NULL as one value (``select(c).distinct().count()``)."""
-    return (F.count_distinct(F.when(cond, F.col(c)))
-            + F.max(F.when(cond & F.col(c).isNull(), 1).otherwise(0)))
+def _distinct_with_null(c: str, cond, approx_rsd: float | None = None):
+    """Distinct values counting NULL as one value (``select(c).distinct().count()``);
+    with ``approx_rsd`` the non-NULL part is an HLL++ estimate."""
+    values = F.when(cond, F.col(c))
+    distinct = F.count_distinct(values) if approx_rsd is None else F.approx_count_distinct(values, approx_rsd)
+    return distinct + F.max(F.when(cond & F.col(c).isNull(), 1).otherwise(0))
 
 
 def kpi_values(sales: DataFrame) -> DataFrame:
@@ -266,7 +268,7 @@ def monthly_trend_from_cube(cube: DataFrame) -> DataFrame:
     return with_mom_growth(totals).select("year_month", "total_revenue", "order_count", "mom_growth_pct")
 
 
-def kpi_summary_from_cube(cube: DataFrame, sales: DataFrame) -> DataFrame:
+def kpi_summary_from_cube(cube: DataFrame, sales: DataFrame, approx_customers_rsd: float | None = None) -> DataFrame:
     """KPIs from the cube; only the global distinct-customer count scans the fact."""
     active = F.col("n_completed_rows") > 0
     sums = cube.agg(
@@ -276,7 +278,7 @@ def kpi_summary_from_cube(cube: DataFrame, sales: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("_all"),
         F.coalesce(F.sum("n_cancelled"), F.lit(0)).alias("_cancelled"))
     done = F.col("status") == COMPLETED
-    customers = sales.agg(_distinct_with_null("customer_id", done).alias("unique_customers"))
+    customers = sales.agg(_distinct_with_null("customer_id", done, approx_customers_rsd).alias("unique_customers"))
     values = sums.select(
         "total_gmv", "total_orders", "active_sellers",
         F.when(F.col("total_orders") > 0, round_half_up(ratio(F.col("total_gmv"), F.col("total_orders")), 2))

@@ -101,7 +101,7 @@ def write_marts(spark, sales: DataFrame, root: str, params, skip_committed: bool
         "revenue_by_category": lambda: A.revenue_by_category_from_cube(cube),
         "monthly_trend": lambda: A.monthly_trend_from_cube(cube),
         "top_products": lambda: A.top_products(A.completed_orders(sales), m.top_n),
-        "kpi_summary": lambda: A.kpi_summary_from_cube(cube, sales),
+        "kpi_summary": lambda: A.kpi_summary_from_cube(cube, sales, m.approx_customers_rsd),
         "seller_alerts": lambda: A.seller_alerts(spark.read.parquet(f"{root}/seller_monthly"),
                                                  m.alert_drop_pct, m.alert_type),
     }

@@ -160,3 +160,17 @@ def test_hot_seller_is_spread_by_customer_in_the_first_shuffle(spark):
     assert "customer_id" in first.split("\n")[0]
     hot = out.filter("seller_id = 'S001'").first()
     assert hot["monthly_revenue"] == 300.0 and hot["unique_customers"] == 97
+
+
+def test_approximate_distinct_customers_option(spark):
+    rows = [(f"o{i}", "S001", "completed", None if i % 50 == 0 else f"C{i % 700}", 1.0, "2023-01-02", "x")
+            for i in range(3000)]
+    sales = _sales(spark, rows)
+    cube = A.seller_month_cube(sales)
+    exact = {r["metric_name"]: r["metric_value"] for r in A.kpi_summary_from_cube(cube, sales).collect()}
+    approx = {r["metric_name"]: r["metric_value"] for r in A.kpi_summary_from_cube(cube, sales, 0.02).collect()}
+    want = len({r[3] for r in rows if r[3] is not None}) + 1          # distinct ids + NULL once
+    assert exact["unique_customers"] == float(want)
+    assert abs(approx["unique_customers"] - want) <= 0.06 * want
+    assert {k: v for k, v in approx.items() if k != "unique_customers"} == \
+        {k: v for k, v in exact.items() if k != "unique_customers"}
