@@ -205,10 +205,13 @@ def op10_query(docs: DataFrame) -> DataFrame:
     return identify(rows, prototypes).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.05) -> DataFrame:
-    """Pipeline stage: documents with a recognised language.  Rejected are those without a letter
-    and those whose best cosine is under ``min_score`` (hardly any n-gram of a known language)."""
+def keep_known(docs: DataFrame, min_score: float = 0.1, min_chars: int = 200) -> DataFrame:
+    """Pipeline stage: documents with a recognised language.  Rejected are those without a letter,
+    and texts of ``min_chars`` or more with a best cosine under ``min_score``: hardly any of their
+    n-grams is of a known language (random vectors alone reach about 0.05; a short text of a known
+    language can have as little, so short texts stay)."""
     lang, score = spare_name(docs.columns, "lang_pred"), spare_name(docs.columns, "lang_score")
     prototypes = learn_prototypes(docs.where(learnable()))
     found = identify(docs, prototypes, lang_col=lang, score_col=score)
-    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(docs.columns)
+    strange = (F.col(score) < min_score) & (F.length("text") >= min_chars)
+    return found.where((F.col(lang) != UNKNOWN) & ~strange).select(docs.columns)

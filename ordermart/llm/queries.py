@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermart.llm import decontam, langid, simhash
+from ordermart.llm import decontam, langid, packing, pii, simhash
 from ordermart.llm.common import read_table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op1_query(read_table(spark, sf_dir, "documents"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op2_query(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op7_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -23,7 +31,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op7_decontamination, op9_simhash, op10_language_id]
+    own = [op1_pii, op2_packing, op7_decontamination, op9_simhash, op10_language_id]
     return {f.__name__: f for f in own}
 
 
