@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermart.llm import decontam, langid, packing, pii, simhash
+from ordermart.llm import decontam, langid, packing, pii, sharding, simhash, warc
 from ordermart.llm.common import read_table
 
 
@@ -18,6 +18,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op2_query(read_table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op3_query(read_table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op6_query(read_table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op7_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -31,9 +39,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_pii, op2_packing, op7_decontamination, op9_simhash, op10_language_id]
+    own = [op1_pii, op2_packing, op3_sharding, op6_warc, op7_decontamination, op9_simhash, op10_language_id]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontamination": decontam.ORACLE}
+    return {"op6_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE}
