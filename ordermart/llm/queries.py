@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermart.llm import decontam, langid, packing, pii, sharding, simhash, warc
+from ordermart.llm import decontam, langid, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity, warc
 from ordermart.llm.common import read_table
 
 
@@ -22,6 +22,14 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op3_query(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op4_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op5_query(read_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op6_query(read_table(spark, sf_dir, "pages"))
 
@@ -30,6 +38,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op7_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op8_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op9_query(read_table(spark, sf_dir, "documents"))
 
@@ -39,7 +51,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_pii, op2_packing, op3_sharding, op6_warc, op7_decontamination, op9_simhash, op10_language_id]
+    own = [op1_pii, op2_packing, op3_sharding, op4_quality_rules,
+           op5_suffix_dedup, op6_warc, op7_decontamination, op8_toxicity, op9_simhash, op10_language_id]
     return {f.__name__: f for f in own}
 
 
