@@ -1,0 +1,102 @@
+import random
+import re
+
+import xxhash
+from pyspark.sql import functions as F
+
+from ordermart.llm import graph, simhash
+
+
+def brute_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    shingles = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    ones = [sum(xxhash.xxh64_intdigest(s.encode(), 42) >> b & 1 for s in shingles) for b in range(64)]
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def brute_classes(fps):
+    """fingerprint -> smallest member of its class, over links of 2 or fewer bits."""
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    items = sorted(fps)
+    for i, a in enumerate(items):
+        for b in items[:i]:
+            if bin((a ^ b) & (2 ** 64 - 1)).count("1") <= 2:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {f: find(f) for f in fps}
+
+
+def test_fingerprints_equal_brute_force(texts, monkeypatch):
+    sample = [t for _, t in texts[:25]] + ["", "one", "One two", "A b\x0bC\x1cd  e", "Äpfel ÄRGER straße x", "q " * 500]
+    for t in sample:
+        assert simhash.fingerprint(t) & (2 ** 64 - 1) == brute_fingerprint(t)
+    monkeypatch.setattr(simhash, "_BLOCK", 40)
+    for t in sample:
+        assert simhash.fingerprint(t) & (2 ** 64 - 1) == brute_fingerprint(t)
+    assert simhash.fingerprint(None) == 0
+
+
+def _classes(spark, fps, longest):
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    found = graph.components(simhash.links(df, longest=longest)).collect()
+    return {f: f for f in fps} | {r.node: r.root for r in found}
+
+
+def test_links_lose_none_in_short_split_and_hot_lists(spark):
+    rng = random.Random(3)
+    signed = lambda x: x - 2 ** 64 if x >= 2 ** 63 else x
+    fps = set()
+    for _ in range(30):                      # chains of one and two flips around random centres
+        x = rng.getrandbits(64)
+        for _ in range(6):
+            fps.add(signed(x))
+            for b in rng.sample(range(64), rng.choice([1, 2, 3])):
+                x ^= 1 << b
+    centre = rng.getrandbits(64)             # many that agree on six bytes, and on four
+    for _ in range(120):
+        y = centre
+        for b in rng.sample(range(16), rng.randint(0, 6)):
+            y ^= 1 << b
+        fps.add(signed(y))
+        fps.add(signed(y ^ (rng.getrandbits(3) << 40)))
+    fps |= {0, -1, 1, 3, 7}
+    want = brute_classes(fps)
+    assert _classes(spark, fps, 64) == want
+    assert _classes(spark, fps, 4) == want   # every way of the index is used
+
+
+def test_long_chain_is_one_component(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert {r.root for r in graph.components(links).collect()} == {0}
+    assert graph.components(links.limit(0)).count() == 0
+
+
+def test_contract_on_awkward_rows(spark, make_docs):
+    long = " ".join(f"w{i}" for i in range(40000))
+    rows = [(5, "a b c d e f g h"), (3, "A B c D e f g h"), (9, None), (8, ""), (7, " \t\n"), (4, "x"), (None, "x"),
+            (None, "only here"), (5, "a b c d e f g h"), (11, long), (10, long)]
+    got = simhash.op9_query(make_docs(rows))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    got = got.collect()
+    assert len(got) == len(rows)
+    comp = {(r.doc_id, r.fingerprint): r.component_id for r in got}
+    text = {t: format(brute_fingerprint(t), "016x") for _, t in rows}
+    assert comp[(5, text[rows[0][1]])] == 3 and comp[(9, "0" * 16)] == 7 and comp[(8, "0" * 16)] == 7
+    assert comp[(None, text["x"])] == 4 and comp[(None, text["only here"])] is None
+    assert comp[(11, text[long])] == 10
+    assert simhash.op9_query(make_docs(rows).limit(0)).count() == 0
+
+
+def test_stage_keeps_one_of_each(spark, make_docs):
+    rows = [(5, "a b c d e f g h"), (3, "a b c d e f g h"), (3, "a b c d e f g h"), (None, "q"), (None, "q"), (6, "other words entirely here")]
+    docs = make_docs(rows).withColumn("fp", F.lit("mine")).withColumn("row_place", F.lit(1))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [
+        ("3", "a b c d e f g h"), ("6", "other words entirely here"), ("None", "q")]
