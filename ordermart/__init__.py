@@ -8,7 +8,6 @@ Layers:
 * ``operators`` — DataFrame -> DataFrame operators (cleaning, quantiles, marts,
                   serving views, forecast).
 * ``plans``     — composite jobs (clean, marts, SQL tasks) and the query catalog.
-* ``streaming`` — intentionally empty: the reference pipeline has no streaming path.
 """
 
 __version__ = "0.1.0"

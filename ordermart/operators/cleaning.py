@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ordermart import schemas
 from ordermart.constants import LOWEST_TIER, N_SELLERS, REGIONS, TIER_LIMITS
 from ordermart.functions import (
-    epoch_seconds_to_ntz, month_of, normalize_status, parse_wall_clock, strip_tz_suffix,
+    epoch_seconds_to_ntz, month_of, normalize_status, padded, parse_wall_clock, strip_tz_suffix,
     year_month, year_of,
 )
 from ordermart.operators.joins import broadcast_if_small
@@ -18,6 +18,26 @@ def _canonical(df: DataFrame) -> DataFrame:
     return df.select(*schemas.ORDER_COLUMNS)
 
 
+def amount_of(raw):
+    """A feed's amount (number or quoted number, as text) as double; NULL if it is neither."""
+    return F.trim(raw.cast("string")).try_cast("double")
+
+
+def epoch_of(raw):
+    """A feed's unix seconds (number, float text or quoted) as bigint; NULL if it is none."""
+    return F.trim(raw.cast("string")).try_cast("decimal(20,6)").try_cast("bigint")
+
+
+def unparsed_numbers(raw_app: DataFrame, raw_web: DataFrame) -> DataFrame:
+    """How many amounts and timestamps are present but no numbers, per feed and field."""
+    def bad(df, column, parse, source):
+        c = F.col(column)
+        return df.agg(F.count(F.when(c.isNotNull() & parse(c).isNull(), 1)).alias("n_unparsed")).select(
+            F.lit(source).alias("data_source"), F.lit(column).alias("field"), "n_unparsed")
+    return (bad(raw_app, "ts", epoch_of, "app").unionByName(bad(raw_app, "tot", amount_of, "app"))
+            .unionByName(bad(raw_web, "total_amount", amount_of, "web")))
+
+
 def drop_flagged_app(raw_app: DataFrame) -> DataFrame:
     """Keep records whose ``_dup`` flag is NULL or false."""
     return raw_app.filter(~F.coalesce(F.col("_dup"), F.lit(False))).drop("_dup")
@@ -36,8 +56,8 @@ def parse_app(raw_app: DataFrame) -> DataFrame:
         normalize_status(F.col("st")).alias("status"),
         F.col("usr.uid").alias("customer_id"),     # NULL struct -> NULL field
         F.col("usr.rgn").alias("region"),
-        F.col("tot").cast("double").alias("total_amount"),
-        epoch_seconds_to_ntz(F.col("ts")).alias("order_ts"),
+        amount_of(F.col("tot")).alias("total_amount"),
+        epoch_seconds_to_ntz(epoch_of(F.col("ts"))).alias("order_ts"),
         F.lit("app").alias("data_source"),
     )
     return _canonical(df.withColumn("order_date", F.to_date("order_ts")))
@@ -52,7 +72,7 @@ def parse_web(raw_web: DataFrame, strip_all_offsets: bool = False) -> DataFrame:
         normalize_status(F.col("status")).alias("status"),
         F.coalesce(F.col("customer_id"), F.lit("UNKNOWN")).alias("customer_id"),
         F.col("region"),
-        F.col("total_amount").cast("double").alias("total_amount"),
+        amount_of(F.col("total_amount")).alias("total_amount"),
         parse_wall_clock(stripped).alias("order_ts"),
         F.lit("web").alias("data_source"),
     )
@@ -113,7 +133,7 @@ def seller_dim(spark: SparkSession, n: int = N_SELLERS) -> DataFrame:
         .when(i <= TIER_LIMITS[1][0], TIER_LIMITS[1][1]).otherwise(LOWEST_TIER)
     region = F.element_at(F.array(*[F.lit(r) for r in REGIONS]), ((i - 1) % len(REGIONS) + 1).cast("int"))
     return spark.range(1, n + 1, numPartitions=1).select(
-        F.concat(F.lit("S"), F.lpad(i.cast("string"), 3, "0")).alias("seller_id"),
+        F.concat(F.lit("S"), padded(i, 3)).alias("seller_id"),
         tier.alias("seller_type"), region.alias("seller_region"))
 
 

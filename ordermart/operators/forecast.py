@@ -8,7 +8,6 @@ grows with rows only linearly and nothing is collected but the small matrix.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -107,19 +106,13 @@ def _metrics(prefix: str, cond, label: str, prediction: str) -> list:
     y = F.col(label)
     n = F.count(F.when(cond, 1))
     sse = F.sum(F.when(cond, e * e))
-    ss_tot = F.sum(F.when(cond, y * y)) - F.sum(F.when(cond, y)) * F.sum(F.when(cond, y)) / n
+    ss_tot = F.var_pop(F.when(cond, y)) * n         # numerically stable, unlike sum(y^2) - sum(y)^2 / n
     return [F.sqrt(ratio(sse, n)).alias(f"{prefix}rmse"),
             ratio(F.sum(F.when(cond, F.abs(e))), n).alias(f"{prefix}mae"),
             (F.lit(1.0) - ratio(sse, ss_tot)).alias(f"{prefix}r2"),
             n.alias(f"{prefix}n")]
 
 
-def regression_metrics(pred: DataFrame, label: str = LABEL_COLUMN,
-                       prediction: str = "predicted_revenue") -> DataFrame:
-    """RMSE, MAE and R^2 in one aggregation pass."""
-    return pred.agg(*_metrics("", F.lit(True), label, prediction))
-
-
 def forecast_metrics(run: ForecastRun) -> DataFrame:
     """Test RMSE/MAE/R^2 and train RMSE from one pass over both prediction sets."""
     cols = ["seller_id", "year_month", LABEL_COLUMN, "predicted_revenue"]
@@ -165,7 +158,3 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def feature_json() -> str:
-    return json.dumps(list(FEATURE_COLUMNS))

@@ -81,7 +81,7 @@ def seller_month_base(completed: DataFrame) -> DataFrame:
         money_sum("total_amount").alias("monthly_revenue"),
         money_avg("total_amount").alias("avg_order_value"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("order_date").alias("active_days"))
+        active_days_expr(F.lit(True)).alias("active_days"))
 
 
 def join_cancel_rate(base: DataFrame, cancels: DataFrame) -> DataFrame:
@@ -167,15 +167,23 @@ def seller_monthly(sales: DataFrame) -> DataFrame:
     return df.select(*SELLER_MONTHLY_COLUMNS)
 
 
+def with_drop_pct(monthly: DataFrame) -> DataFrame:
+    """Adds the revenue drop (in %) against the previous present month (``lag1_revenue``)."""
+    prev, cur = F.col("lag1_revenue"), F.col("monthly_revenue")
+    return monthly.withColumn("drop_pct", F.when(prev.isNotNull() & (prev > 0),
+                                                 round_half_up(ratio(prev - cur, prev) * 100, 2)))
+
+
+def drop_alert(threshold_pct: float):
+    return F.col("drop_pct") > F.lit(float(threshold_pct))
+
+
 def seller_alerts(monthly: DataFrame, threshold_pct: float = 20.0,
                   alert_type: str = "revenue_drop") -> DataFrame:
-    """Revenue drop > threshold vs the previous present month (``lag1_revenue``)."""
-    prev, cur = F.col("lag1_revenue"), F.col("monthly_revenue")
-    drop = F.when(prev.isNotNull() & (prev > 0), round_half_up(ratio(prev - cur, prev) * 100, 2))
-    return (monthly.withColumn("drop_pct", drop)
-            .filter(F.col("drop_pct") > F.lit(float(threshold_pct)))
+    """Seller-months whose revenue dropped by more than the threshold."""
+    return (with_drop_pct(monthly).filter(drop_alert(threshold_pct))
             .select("seller_id", "year_month", F.lit(alert_type).alias("alert_type"),
-                    prev.alias("prev_revenue"), cur.alias("curr_revenue"), "drop_pct"))
+                    F.col("lag1_revenue").alias("prev_revenue"), F.col("monthly_revenue").alias("curr_revenue"), "drop_pct"))
 
 
 # --- KPI summary ---------------------------------------------------------------
@@ -192,27 +200,20 @@ def _distinct_with_null(c: str, cond, approx_rsd: float | None = None):
     return distinct + F.max(F.when(cond & F.col(c).isNull(), 1).otherwise(0))
 
 
-def kpi_values(sales: DataFrame) -> DataFrame:
-    """All six KPIs from one scan of the fact (one row, wide)."""
+def kpi_sums(sales: DataFrame) -> DataFrame:
+    """Revenue, order and row counts from one scan of the fact (one row)."""
     done = F.col("status") == COMPLETED
-    row = sales.agg(
+    return sales.agg(
         F.coalesce(F.sum(F.when(done, money("total_amount"))).cast("double"), F.lit(0.0)).alias("total_gmv"),
         F.count(F.when(done, F.lit(1))).alias("total_orders"),
-        _distinct_with_null("customer_id", done).alias("unique_customers"),
-        _distinct_with_null("seller_id", done).alias("active_sellers"),
         F.count(F.lit(1)).alias("_all"),
         F.count(F.when(F.col("status") == CANCELLED, F.lit(1))).alias("_cancelled"))
-    return row.select(
-        "total_gmv", "total_orders", "unique_customers", "active_sellers",
-        F.when(F.col("total_orders") > 0, round_half_up(ratio(F.col("total_gmv"), F.col("total_orders")), 2))
-         .otherwise(F.lit(0.0)).alias("avg_order_value"),
-        F.when(F.col("_all") > 0, round_half_up(ratio(F.col("_cancelled"), F.col("_all")) * 100, 4))
-         .otherwise(F.lit(0.0)).alias("cancel_rate"))
 
 
-def kpi_summary(sales: DataFrame) -> DataFrame:
-    wide = kpi_values(sales).select(*[F.col(k).cast("double").alias(k) for k in KPI_NAMES])
-    return wide.unpivot([], list(KPI_NAMES), "metric_name", "metric_value")
+def kpi_summary(sales: DataFrame, approx_customers_rsd: float | None = None) -> DataFrame:
+    """The six KPIs: sums over the seller x month aggregate (its distinct columns are pruned), and the
+    distinct customers in an aggregation of their own, so no scan of the fact is expanded."""
+    return kpi_summary_from_cube(seller_month_cube(sales), sales, approx_customers_rsd)
 
 
 # --- shared seller x month aggregate -------------------------------------------------

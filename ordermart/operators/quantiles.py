@@ -15,7 +15,9 @@ data, each pass a small distributed aggregation:
    ``collect_limit`` values) when it is small.
 
 The bracket of step 1 is verified by the counts of step 2; when it does not hold the
-rank (sketch guarantees violated) the interval falls back to [min, max].  Only
+rank (sketch guarantees violated) the interval falls back to [min, max].  Every pass ends or
+strictly narrows each interval (its least and greatest value fall into different bins), so
+the passes end on any data.  Only
 histograms of at most ``intervals x buckets`` rows reach the driver.
 
 ``approx_quantiles`` is the reference's Greenwald-Khanna ``approxQuantile``.
@@ -28,7 +30,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000
+# small on purpose: each task sends its sketch to the driver when it is observed (a few KB)
+SKETCH_ACCURACY = 200
 
 
 def _sketch_probs(probs) -> list[float]:
@@ -106,7 +109,7 @@ def _histograms(values: DataFrame, intervals: list[tuple[float, float]], buckets
 
 
 def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
-                    collect_limit: int = 4096, max_passes: int = 24,
+                    collect_limit: int = 4096,
                     stats: dict | None = None, head: dict | None = None) -> list[float | None]:
     """``stats`` (optional) receives the number of histogram passes and collected values;
     ``head`` (optional) is ``head_aggregates`` already computed over the same values."""
@@ -138,9 +141,6 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
     while state:
         passes += 1
         stats["passes"] = passes
-        if passes > max_passes:
-            _fallback(values, state, found, mn, mx)
-            break
         intervals = _merge(state.values())
         hist = _histograms(values, intervals, buckets)
         to_collect: dict[tuple[float, float], tuple[int, list[tuple[int, int]]]] = {}
@@ -186,22 +186,6 @@ def exact_quantiles(df: DataFrame, column: str, probs, buckets: int = 4096,
     return result
 
 
-def _fallback(values: DataFrame, state: dict, found: dict, mn: float, mx: float) -> None:
-    """Pass budget exhausted (data spanning hundreds of orders of magnitude inside one bin):
-    the value of rank r is the ``percentile_disc`` at (k + 1/2)/cnt of its verified interval,
-    which picks exactly the k-th value (half a rank of margin against rounding)."""
-    for r, (a, b) in state.items():
-        below = values.where(F.col("x") < a).count()
-        inside = values.where(F.col("x").between(a, b))
-        cnt = inside.count()
-        if not (below <= r < below + cnt):              # unverified bracket: use the full range
-            below, inside, cnt = 0, values.where(F.col("x").between(mn, mx)), None
-            cnt = inside.count()
-        p = (r - below + 0.5) / cnt
-        found[r] = inside.agg(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)")).first()[0]
-    state.clear()
-
-
 def approx_quantiles(df: DataFrame, column: str, probs, relative_error: float = 0.01) -> list[float | None]:
     out = df.where(F.col(column).isNotNull()).approxQuantile(column, list(probs), relative_error)
     return list(out) if out else [None for _ in probs]

@@ -125,8 +125,4 @@ def analytics(pipe: OrderPipeline) -> Analytics:
         return _ANALYTICS[key]
 
 
-def empty_like(spark, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
-__all__ = ["Analytics", "analytics", "write_marts", "MART_NAMES", "empty_like"]
+__all__ = ["Analytics", "analytics", "write_marts", "MART_NAMES"]

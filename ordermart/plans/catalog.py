@@ -90,7 +90,8 @@ def nested_user_fields(spark, sf_dir):
 @register("drop_flagged_app", W("""SELECT order_id AS oid, date_diff('second', TIMESTAMP '1970-01-01', ts) AS ts,
     seller_id AS slr, st, amt AS tot FROM raw_app WHERE NOT flag"""))
 def drop_flagged_app(spark, sf_dir):
-    return C.drop_flagged_app(_p(spark, sf_dir).raw_app()).select("oid", "ts", "slr", "st", "tot")
+    return C.drop_flagged_app(_p(spark, sf_dir).raw_app()).select(
+        "oid", C.epoch_of(F.col("ts")).alias("ts"), "slr", "st", C.amount_of(F.col("tot")).alias("tot"))
 
 
 _WEB_TEXT = ("strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN tz < 5 THEN '+07:00' "
@@ -101,7 +102,8 @@ _WEB_TEXT = ("strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN tz < 5 THEN '+07:00
     cust AS customer_id, rgn AS region, amt AS total_amount FROM raw_web WHERE NOT flag"""))
 def drop_retry_web(spark, sf_dir):
     return C.drop_retry_web(_p(spark, sf_dir).raw_web()).select(
-        "order_id", "order_date", "seller_id", "status", "customer_id", "region", "total_amount")
+        "order_id", "order_date", "seller_id", "status", "customer_id", "region",
+        C.amount_of(F.col("total_amount")).alias("total_amount"))
 
 
 @register("strip_tz_suffix", W(f"""SELECT order_id, {_WEB_TEXT} AS order_date_text,
@@ -204,25 +206,12 @@ def derive_calendar(spark, sf_dir):
         ("dedup", "deduped"), ("window_filter", "valid"), ("outliers", "clean"),
         ("enriched", "enriched")))))
 def stage_row_counts(spark, sf_dir):
-    """Rows after each cleaning stage, read from what the stages produced.
-
-    Parse/union/dedup counts come from one aggregation over the parsed feeds (dedup keeps
-    one row per order id, so its count is the number of distinct ids, a NULL id counting
-    once); the later stages are counted on the written valid table and processed fact.
-    """
+    """Rows after each cleaning stage, counted on what each stage itself returns."""
     p = _p(spark, sf_dir)
-    oid = F.col("order_id")
-    feeds = p.combined().agg(
-        F.count(F.when(F.col("data_source") == "app", 1)).alias("parsed_app"),
-        F.count(F.when(F.col("data_source") == "web", 1)).alias("parsed_web"),
-        F.count(F.lit(1)).alias("union"),
-        (F.count_distinct(oid) + F.max(F.when(oid.isNull(), 1).otherwise(0))).alias("dedup"))
-    first = feeds.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("stage"), F.col(s).cast("long").alias("n_rows"))
-        for s in ("parsed_app", "parsed_web", "union", "dedup")])).alias("s")).select("s.*")
-    later = [("window_filter", p.valid_table()), ("outliers", p.processed()), ("enriched", p.processed())]
-    return _union_all([first] + [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(s).alias("stage"), "n_rows")
-                                 for s, df in later])
+    stages = [("parsed_app", p.parsed_app()), ("parsed_web", p.parsed_web()), ("union", p.combined()),
+              ("dedup", p.deduped()), ("window_filter", p.valid()), ("outliers", p.clean()), ("enriched", p.enriched())]
+    return _union_all([df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(s).alias("stage"), "n_rows")
+                       for s, df in stages])
 
 
 # ------------------------------------------------------------------ sources / sinks
@@ -444,12 +433,9 @@ def seller_alerts(spark, sf_dir):
 @register("alert_threshold", WM(f"""SELECT seller_id, year_month, drop_pct,
     COALESCE(drop_pct > {float(FIXTURE.marts.alert_drop_pct)}, FALSE) AS alerted FROM alert_base"""))
 def alert_threshold(spark, sf_dir):
-    m = _a(spark, sf_dir).seller_monthly()
-    prev, cur = F.col("lag1_revenue"), F.col("monthly_revenue")
-    drop = F.when(prev.isNotNull() & (prev > 0),
-                  round_half_up(ratio(prev - cur, prev) * 100, 2))
-    return m.select("seller_id", "year_month", drop.alias("drop_pct")).withColumn(
-        "alerted", F.coalesce(F.col("drop_pct") > F.lit(float(FIXTURE.marts.alert_drop_pct)), F.lit(False)))
+    m = A.with_drop_pct(_a(spark, sf_dir).seller_monthly())
+    return m.select("seller_id", "year_month", "drop_pct",
+                    F.coalesce(A.drop_alert(FIXTURE.marts.alert_drop_pct), F.lit(False)).alias("alerted"))
 
 
 @register("kpi_summary", WM("SELECT * FROM kpi_summary"))
@@ -460,20 +446,24 @@ def kpi_summary(spark, sf_dir):
 
 @register("kpi_gmv", WM("SELECT total_gmv FROM kpi_wide"))
 def kpi_gmv(spark, sf_dir):
-    return A.kpi_values(_a(spark, sf_dir).sales()).select("total_gmv")
+    return A.kpi_sums(_a(spark, sf_dir).sales()).select("total_gmv")
 
 
 @register("kpi_counts", WM("SELECT total_orders, total_all AS total_rows, cancelled AS cancelled_rows FROM kpi"))
 def kpi_counts(spark, sf_dir):
-    s = _a(spark, sf_dir).sales()
-    return s.agg(F.count(F.when(F.col("status") == "completed", 1)).alias("total_orders"),
-                 F.count(F.lit(1)).alias("total_rows"),
-                 F.count(F.when(F.col("status") == "cancelled", 1)).alias("cancelled_rows"))
+    return A.kpi_sums(_a(spark, sf_dir).sales()).select(
+        "total_orders", F.col("_all").alias("total_rows"), F.col("_cancelled").alias("cancelled_rows"))
 
 
 @register("kpi_distinct", WM("SELECT unique_customers, active_sellers FROM kpi"))
 def kpi_distinct(spark, sf_dir):
-    return A.kpi_values(_a(spark, sf_dir).sales()).select("unique_customers", "active_sellers")
+    """Each distinct count is an aggregation of its own, so the fact is never expanded."""
+    long = _a(spark, sf_dir).kpi_summary()
+
+    def value(name):
+        return F.max(F.when(F.col("metric_name") == name, F.col("metric_value"))).cast("long").alias(name)
+
+    return long.agg(value("unique_customers"), value("active_sellers"))
 
 
 @register("build_marts", WM(" UNION ALL ".join(

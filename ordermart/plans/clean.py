@@ -59,9 +59,6 @@ class OrderPipeline:
             self._feeds_root = feeds.ensure_fixture_feeds(self.spark, self.sf_dir)
         return self._feeds_root
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
     def raw_app(self) -> DataFrame:
         return feeds.read_app_feed(self.spark, self.feeds_root)
 
@@ -188,9 +185,6 @@ class OrderPipeline:
         return (df.withColumn("category", category_bucket(F.col("seller_id")))
                   .withColumn("product_id", product_bucket(F.col("order_id"))))
 
-    def completed(self) -> DataFrame:
-        return self.sales().filter(F.col("status") == "completed")
-
 
 _PIPELINES: dict = {}
 

@@ -14,6 +14,7 @@ shared scratch folder named by ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from ordermart.operators import cleaning as C
 from ordermart.operators import forecast as M
 from ordermart.plans.analytics import MART_NAMES, write_marts
 from ordermart.plans.clean import OrderPipeline
-from ordermart.session import fingerprint, scratch_path, size_shuffles_for
+from ordermart.session import delete_path, scratch_path, size_shuffles_for
 from ordermart.sources import tables as TB
 from ordermart.sources import text as TX
 
@@ -47,9 +48,11 @@ def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Param
     the dedup shuffle of a very large feed does not run with too few, oversized partitions.
     """
     started = time.time()
+    partitions = spark.conf.get("spark.sql.shuffle.partitions", "200")
     if size_shuffles:
         size_shuffles_for(spark, feeds_root)
-    pipe = OrderPipeline(spark, "", params, feeds_root=feeds_root)
+    # a tag of its own: a run reads its feeds anew, whatever earlier runs left
+    pipe = OrderPipeline(spark, "", params, feeds_root=feeds_root, run_tag=uuid.uuid4().hex)
     rows_in = rows_out = 0
     try:
         pipe.valid_table()
@@ -68,6 +71,10 @@ def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Param
     except Exception:
         _log(spark, log_path, "clean", "failed", rows_in, rows_out, time.time() - started)
         raise
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        for path in (pipe.valid_path, f"{pipe.valid_path}_bounds"):
+            delete_path(spark, path)
 
 
 def sales_frame(spark: SparkSession, processed_path: str) -> DataFrame:
@@ -106,13 +113,15 @@ def run_analytics(spark: SparkSession, processed_path: str, out_root: str, param
     root = out_root.rstrip("/")
     try:
         sales = sales_frame(spark, processed_path)
-        cube_path = scratch or scratch_path(spark, "cube", fingerprint(processed_path, time.time()))
+        cube_path = scratch or scratch_path(spark, "cube", uuid.uuid4().hex)
         write_marts(spark, sales, root, params, cube_path=cube_path)
         cube = spark.read.parquet(cube_path)
         counts = {n: spark.read.parquet(f"{root}/{n}").count() for n in MART_NAMES}
         rows_in = int(cube.agg(F.sum("n_completed_rows")).first()[0] or 0)
         paths = {n: f"{root}/{n}" for n in MART_NAMES}
         serving = publish_serving(spark, paths, serving_root) if serving_root else {}
+        if not scratch:
+            delete_path(spark, cube_path)
         _log(spark, log_path, "analytics", "success", rows_in, sum(counts.values()), time.time() - started)
         return {"paths": paths, "rows": counts, "serving": serving}
     except Exception:
@@ -125,18 +134,22 @@ def run_forecast(spark: SparkSession, seller_monthly_path: str, out_root: str, p
     """Fit, evaluate, save the model, write predictions (Parquet + one CSV) and metrics."""
     started = time.time()
     root = out_root.rstrip("/")
-    features = M.feature_frame(spark.read.parquet(seller_monthly_path))
-    run = M.fit_forecast(features, params.forecast)
-    preds = M.seller_predictions(run)
-    preds.write.mode("overwrite").parquet(f"{root}/predictions")
-    TX.write_csv(spark.read.parquet(f"{root}/predictions"), f"{root}/predictions_csv", single_file=True)
-    M.save_model(run.model, f"{root}/model")
-    metrics = M.model_metrics_row(M.forecast_metrics(run))
-    metrics.write.mode("append").parquet(metrics_log or f"{root}/model_metrics")
-    row = spark.read.parquet(metrics_log or f"{root}/model_metrics").orderBy(F.desc("run_at")).first()
-    _log(spark, log_path, "train", "success", row["n_train"] + row["n_test"], row["n_test"],
-         time.time() - started)
-    return {"model": f"{root}/model", "predictions": f"{root}/predictions", "metrics": row.asDict()}
+    try:
+        features = M.feature_frame(spark.read.parquet(seller_monthly_path))
+        run = M.fit_forecast(features, params.forecast)
+        preds = M.seller_predictions(run)
+        preds.write.mode("overwrite").parquet(f"{root}/predictions")
+        TX.write_csv(spark.read.parquet(f"{root}/predictions"), f"{root}/predictions_csv", single_file=True)
+        M.save_model(run.model, f"{root}/model")
+        metrics = M.model_metrics_row(M.forecast_metrics(run))
+        metrics.write.mode("append").parquet(metrics_log or f"{root}/model_metrics")
+        row = spark.read.parquet(metrics_log or f"{root}/model_metrics").orderBy(F.desc("run_at")).first()
+        _log(spark, log_path, "train", "success", row["n_train"] + row["n_test"], row["n_test"],
+             time.time() - started)
+        return {"model": f"{root}/model", "predictions": f"{root}/predictions", "metrics": row.asDict()}
+    except Exception:
+        _log(spark, log_path, "train", "failed", 0, 0, time.time() - started)
+        raise
 
 
 def run_benchmark(spark: SparkSession, processed_path: str, out_root: str, runs: int = 3,

@@ -27,6 +27,11 @@ def mavg(expr: str, n: int = 2) -> str:
     return rnd(f"{msum(expr)} / COUNT({expr})", n)
 
 
+def padded(number: str, width: int) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest(length({text}), {width}) AS INTEGER), '0')"
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -68,7 +73,7 @@ def base_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
         ("copies", """SELECT *, 0 AS cp FROM b
                       UNION ALL SELECT *, 1 AS cp FROM b WHERE k % 100 IN (42, 43, 44)"""),
         ("raw", f"""SELECT CAST(k AS VARCHAR) AS order_id, src,
-            'S' || lpad(CAST(idx * 10 + idx % 5 + 1 AS VARCHAR), 3, '0') AS seller_id,
+            'S' || {padded('idx * 10 + idx % 5 + 1', 3)} AS seller_id,
             {_case_list('idx % 5', REGIONS)} AS rgn,
             CASE WHEN k % 50 = 0 THEN NULL
               WHEN h < 68 THEN CASE ck % 5 WHEN 0 THEN 'completed' WHEN 1 THEN 'done'
@@ -80,7 +85,7 @@ def base_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
                    ELSE (CASE WHEN src = 'app' THEN 'CANCEL' ELSE 'cancel' END) END
               WHEN h < 98 THEN CASE ck % 2 WHEN 0 THEN 'returned' ELSE 'refund' END
               ELSE CASE ck % 2 WHEN 0 THEN 'unknown' ELSE 'other' END END AS st,
-            CASE WHEN k % 33 = 5 THEN NULL ELSE 'C' || lpad(CAST(ck AS VARCHAR), 6, '0') END AS cust,
+            CASE WHEN k % 33 = 5 THEN NULL ELSE 'C' || {padded('ck', 6)} END AS cust,
             CASE WHEN k % 25 = 3 OR (cp = 1 AND k % 100 = 43) THEN NULL
                  WHEN k % 100 = 7 THEN -px
                  WHEN k % 200 = 11 THEN CAST(CAST(px AS DECIMAL(18,2)) * 20 AS DOUBLE)
@@ -114,7 +119,7 @@ def base_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
               q3 + {float(c.iqr_factor)} * (q3 - q1) AS upper_bound FROM quartiles"""),
         ("clean", """SELECT * FROM valid WHERE total_amount IS NULL OR total_amount
               BETWEEN (SELECT lower_bound FROM bounds) AND (SELECT upper_bound FROM bounds)"""),
-        ("sellers", f"""SELECT 'S' || lpad(CAST(i AS VARCHAR), 3, '0') AS seller_id, {tier} AS seller_type,
+        ("sellers", f"""SELECT 'S' || {padded('i', 3)} AS seller_id, {tier} AS seller_type,
               {_case_list('(i - 1) % 5', REGIONS)} AS seller_region FROM range(1, {N_SELLERS + 1}) t(i)"""),
         ("enriched", """SELECT c.order_id, c.seller_id, c.status, c.customer_id,
               COALESCE(c.region, s.seller_region) AS region, c.total_amount, c.order_ts, c.order_date,

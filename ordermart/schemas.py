@@ -11,9 +11,9 @@ def _s(*fields):
 
 
 APP_FEED = _s(
-    ("oid", StringType()), ("ts", LongType()), ("slr", StringType()), ("st", StringType()),
+    ("oid", StringType()), ("ts", StringType()), ("slr", StringType()), ("st", StringType()),
     ("usr", _s(("uid", StringType()), ("rgn", StringType()))),
-    ("tot", DoubleType()),
+    ("tot", StringType()),           # numbers are read as text and cast: quoted ones count, too
     ("items", ArrayType(_s(("pid", StringType()), ("q", IntegerType()),
                            ("p", DoubleType()), ("d", DoubleType())))),
     ("_dup", BooleanType()),
@@ -22,7 +22,7 @@ APP_FEED = _s(
 WEB_FEED = _s(
     ("order_id", StringType()), ("order_date", StringType()), ("seller_id", StringType()),
     ("status", StringType()), ("customer_id", StringType()), ("region", StringType()),
-    ("total_amount", DoubleType()),
+    ("total_amount", StringType()),
     ("metadata", _s(("source", StringType()), ("version", StringType()), ("_retry", BooleanType()))),
 )
 
@@ -39,12 +39,6 @@ PROCESSED = _s(
 )
 PROCESSED_COLUMNS = tuple(f.name for f in PROCESSED.fields)
 
-SELLER_DIM = StructType([
-    StructField("seller_id", StringType(), False),
-    StructField("seller_type", StringType(), False),
-    StructField("seller_region", StringType(), False),
-])
-
 REVENUE_BY_CATEGORY = _s(("category", StringType()), ("total_revenue", DoubleType()),
                          ("order_count", LongType()), ("avg_revenue", DoubleType()))
 MONTHLY_TREND = _s(("year_month", StringType()), ("total_revenue", DoubleType()),

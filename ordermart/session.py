@@ -62,6 +62,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ordermart-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -98,13 +100,18 @@ def fingerprint(*items) -> str:
     return h.hexdigest()[:16]
 
 
-def input_signature(path: str):
-    """Path plus size/mtime of a local input, so a changed input gets a new cache key."""
-    try:
-        st = os.stat(path)
-        return (os.path.abspath(path), st.st_size, int(st.st_mtime))
-    except OSError:
+def input_signature(path: str, spark: SparkSession):
+    """Path, and name, size and time of every file under it (through Hadoop's file systems, so on any
+    store): an input that changes gets a new cache key."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
         return (path,)
+    files = fs.listFiles(jpath, True)
+    found = []
+    while files.hasNext():
+        st = files.next()
+        found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return (path, tuple(sorted(found)))
 
 
 # --- Hadoop filesystem access (works for file:, hdfs:, s3a: ... alike) ---------
@@ -132,6 +139,27 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory())
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """True if data files lie under ``path`` (with or without a _SUCCESS marker)."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return False
+    files = fs.listFiles(jpath, True)
+    while files.hasNext():
+        parts = files.next().getPath().toString()[len(fs.getFileStatus(jpath).getPath().toString()):].split("/")
+        if not any(p.startswith(("_", ".")) for p in parts if p):
+            return True
+    return False
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Move a finished folder to a name that must be free (another writer holds it otherwise)."""
+    fs, jsource = _fs(spark, source)
+    _, jtarget = _fs(spark, target)
+    if fs.exists(jtarget) or not fs.rename(jsource, jtarget):
+        raise RuntimeError(f"{target} was written by another writer")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath):

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from ordermart import schemas
 from ordermart.constants import REGIONS
+from ordermart.functions.buckets import padded
 from ordermart.functions.timecols import ntz_to_epoch_seconds
 from ordermart.session import MATERIALIZE_LOCK, committed, fingerprint, input_signature, scratch_path
 
-FEED_RULES_VERSION = 1
+FEED_RULES_VERSION = 2
 COPY_TAGS = (42, 43, 44)     # k % 100: flagged copy, NULL-amount copy, later copy
 
 
@@ -74,11 +75,11 @@ def fixture_raw(orders: DataFrame) -> DataFrame:
     return base.select(
         k.cast("string").alias("order_id"),
         src.alias("src"),
-        F.concat(F.lit("S"), F.lpad((idx * 10 + idx % 5 + 1).cast("string"), 3, "0")).alias("seller_id"),
+        F.concat(F.lit("S"), padded(idx * 10 + idx % 5 + 1, 3)).alias("seller_id"),
         _pick(idx % 5, REGIONS).alias("rgn"),
         status.alias("st"),
         F.when(k % 33 == 5, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("C"), F.lpad(ck.cast("string"), 6, "0"))).alias("cust"),
+         .otherwise(F.concat(F.lit("C"), padded(ck, 6))).alias("cust"),
         amount.alias("amt"),
         F.when(later, F.timestamp_add("HOUR", F.lit(1), F.col("od"))).otherwise(F.col("od")).alias("ts"),
         ((cp == 1) & (k % 100 == 42)).alias("flag"),
@@ -136,7 +137,7 @@ def write_feeds(raw: DataFrame, root: str) -> str:
 def ensure_fixture_feeds(spark: SparkSession, sf_dir: str) -> str:
     """Write (once) the raw JSON feeds derived from ``sf_dir/orders.parquet``."""
     orders_path = f"{sf_dir.rstrip('/')}/orders.parquet"
-    root = scratch_path(spark, "feeds", fingerprint(input_signature(orders_path), FEED_RULES_VERSION))
+    root = scratch_path(spark, "feeds", fingerprint(input_signature(orders_path, spark), FEED_RULES_VERSION))
     with MATERIALIZE_LOCK:
         if not committed(spark, root):
             write_feeds(fixture_raw(spark.read.parquet(orders_path)), root)

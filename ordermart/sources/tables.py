@@ -1,8 +1,8 @@
 """Parquet sinks: marts, the processed fact, versioned snapshot tables, append-only logs.
 
 A *snapshot table* is a folder of versions ``v=000001/``, ``v=000002/`` ...; a write
-never touches the version being read, and readers pick the newest committed one
-(its ``_SUCCESS`` marker exists).  That gives the reference's serving-table verbs
+never touches the version being read, and readers pick the newest one (a version appears
+complete, by a rename).  That gives the reference's serving-table verbs
 without a database:
 
 * ``replace``  — TRUNCATE + INSERT;
@@ -12,6 +12,8 @@ without a database:
 
 from __future__ import annotations
 
+import logging
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ordermart.operators.joins import broadcast_if_small
-from ordermart.session import committed, delete_path, list_dirs
+from ordermart.session import delete_path, has_files, list_dirs, rename_new, scratch_path
 
 VERSION_PREFIX = "v="
 
@@ -31,7 +33,7 @@ def write_mart(df: DataFrame, root: str, name: str) -> str:
 
 
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    if committed(spark, path):
+    if has_files(spark, path):
         return spark.read.parquet(path)
     return spark.createDataFrame([], schema)
 
@@ -47,7 +49,7 @@ class SnapshotTable:
     def versions(self) -> list[int]:
         out = []
         for name in list_dirs(self.spark, self.path):
-            if name.startswith(VERSION_PREFIX) and committed(self.spark, f"{self.path}/{name}"):
+            if name.startswith(VERSION_PREFIX):       # appears by a rename, complete
                 out.append(int(name[len(VERSION_PREFIX):]))
         return sorted(out)
 
@@ -63,22 +65,42 @@ class SnapshotTable:
         return self.spark.createDataFrame([], self.schema)
 
     def _write_next(self, df: DataFrame) -> DataFrame:
+        """Written beside the versions, then renamed: readers see it whole or not at all, and a
+        version that another writer took meanwhile is an error, never overwritten."""
         vs = self.versions()
-        nxt = (vs[-1] + 1) if vs else 1
-        target = self._version_path(nxt)
-        delete_path(self.spark, target)          # leftovers of a failed attempt
-        df.write.mode("overwrite").parquet(target)
+        target = self._version_path((vs[-1] + 1) if vs else 1)
+        aside = f"{self.path}/_writing-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        try:
+            rename_new(self.spark, aside, target)
+        except RuntimeError:
+            delete_path(self.spark, aside)
+            raise
         return self.spark.read.parquet(target)
 
-    def replace(self, df: DataFrame) -> DataFrame:
-        """TRUNCATE + INSERT: the new content becomes the newest version."""
+    def _check_keys(self, df: DataFrame, keys: list[str]) -> None:
+        dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"rows repeat key {[dup[0][k] for k in keys]} of {self.path}")
+
+    def replace(self, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+        """TRUNCATE + INSERT: the new content becomes the newest version.  With ``keys`` a repeated
+        key is an error, as a primary key's would be."""
+        if keys:
+            df = self._stored(df)
+            self._check_keys(df, keys)
         return self._write_next(df)
 
+    def _stored(self, df: DataFrame) -> DataFrame:
+        """The rows, computed once however often they are used."""
+        path = scratch_path(self.spark, "batch", uuid.uuid4().hex)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def upsert(self, batch: DataFrame, keys: list[str]) -> DataFrame:
         """Rows of ``batch`` win on key conflicts; other existing rows stay."""
-        dup = batch.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"upsert batch repeats key {[dup[0][k] for k in keys]} of {self.path}")
+        batch = self._stored(batch)
+        self._check_keys(batch, keys)
         if not self.versions():
             return self._write_next(batch)
         old = self.read()
@@ -131,13 +153,15 @@ def serving_read(spark: SparkSession, name: str, schema: StructType, parquet_roo
     if jdbc_options:
         try:
             return spark.read.format("jdbc").options(dbtable=name, **jdbc_options).load()
-        except Exception:                                   # store unreachable -> fall back
-            pass
+        except Exception as exc:  # noqa: BLE001 - only a database error leads to the copy
+            if "java.sql." not in str(exc) and "SQLException" not in type(exc).__name__:
+                raise
+            logging.getLogger(__name__).warning("serving store not read, using the copy of %s: %s", name, exc)
     if parquet_root:
         path = f"{parquet_root.rstrip('/')}/{name}"
-        if committed(spark, path):
-            return spark.read.parquet(path)
         snap = SnapshotTable(spark, path, schema)
         if snap.versions():
             return snap.read()
+        if has_files(spark, path):
+            return spark.read.parquet(path)
     return spark.createDataFrame([], schema)

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ordermart.operators.joins import bounded_rows
-
-SINGLE_FILE_MAX_ROWS = 1_000_000
 
 
 def write_jsonl(df: DataFrame, path: str) -> str:
@@ -21,9 +18,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType, mode: str = "
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               single_file: bool = False) -> str:
-    """CSV text.  ``single_file`` writes one file (one writer task) only when the frame is
-    proven small; above the bound the rows are written in parallel as several files."""
-    if single_file and bounded_rows(df, SINGLE_FILE_MAX_ROWS) <= SINGLE_FILE_MAX_ROWS:
+    """CSV text, in parallel as several files; ``single_file`` writes one file by one task, which is
+    the caller's choice for a small frame."""
+    if single_file:
         df = df.coalesce(1)
     df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
     return path

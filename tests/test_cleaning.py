@@ -139,3 +139,34 @@ def test_enrich_skips_broadcast_above_bound(spark):
 def test_processed_schema_columns(spark):
     assert schemas.PROCESSED_COLUMNS[-1] == "data_source"
     assert len(schemas.PROCESSED_COLUMNS) == 13
+
+
+def test_ids_are_padded_but_never_cut(spark):
+    from ordermart.functions import padded
+    got = [r.p for r in spark.createDataFrame([(7,), (999999,), (1234561,), (1234562,)], "n long").select(padded(F.col("n"), 6).alias("p")).collect()]
+    assert got == ["000007", "999999", "1234561", "1234562"]
+    dim = C.seller_dim(spark, 1005)
+    assert dim.select("seller_id").distinct().count() == 1005
+    orders = spark.createDataFrame([(i, 1234561 + i % 4, "O", 10.0, dt.date(1996, 5, 1), "1-URGENT") for i in range(1, 41)],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string")
+    from ordermart.sources.feeds import fixture_raw
+    assert fixture_raw(orders).where("cust is not null").select("cust").distinct().count() == 4
+
+
+def test_quoted_and_float_text_numbers_survive(spark, tmp_dir):
+    import json
+    import os
+
+    from ordermart.sources.feeds import read_app_feed, read_web_feed
+    app = [{"oid": "1", "ts": "1682935200", "tot": "12.5"}, {"oid": "2", "ts": 1682935200.0, "tot": 3}, {"oid": "3", "ts": 1682935200, "tot": "x"}]
+    web = [{"order_id": "4", "order_date": "2023-05-01T10:00:00Z", "total_amount": " 7.25 ", "metadata": {"source": "web"}}]
+    for name, rows in (("app", app), ("web", web)):
+        os.makedirs(os.path.join(tmp_dir, f"source={name}"))
+        with open(os.path.join(tmp_dir, f"source={name}", "a.json"), "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+    raw_app, raw_web = read_app_feed(spark, tmp_dir), read_web_feed(spark, tmp_dir)
+    got = {r.order_id: (r.total_amount, str(r.order_date)) for r in C.parse_app(raw_app).collect()}
+    assert got == {"1": (12.5, "2023-05-01"), "2": (3.0, "2023-05-01"), "3": (None, "2023-05-01")}
+    assert C.parse_web(raw_web).first().total_amount == 7.25
+    assert {(r.data_source, r.field): r.n_unparsed for r in C.unparsed_numbers(raw_app, raw_web).collect()} == {
+        ("app", "ts"): 0, ("app", "tot"): 1, ("web", "total_amount"): 0}

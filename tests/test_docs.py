@@ -3,7 +3,7 @@
 import os
 import re
 
-import __spark_entry__ as entry
+from ordermart.plans import catalog
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -11,8 +11,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def test_every_query_key_is_in_the_readme_coverage_map():
     readme = open(os.path.join(ROOT, "README.md"), encoding="utf-8").read()
     listed = set(re.findall(r"`([a-z0-9_]+)`", readme))
-    sql = {k for k in entry.queries() if k.startswith("sql_")}
-    missing = {k for k in entry.queries() if k not in listed} - (sql if "`sql_*`" in readme else set())
+    sql = {k for k in catalog.queries() if k.startswith("sql_")}
+    missing = {k for k in catalog.queries() if k not in listed} - (sql if "`sql_*`" in readme else set())
     missing -= {k for k in sql if k in listed}
     assert not missing, f"README coverage map misses: {sorted(missing)}"
 
@@ -20,4 +20,4 @@ def test_every_query_key_is_in_the_readme_coverage_map():
 def test_every_query_is_in_plans_md():
     plans = open(os.path.join(ROOT, "PLANS.md"), encoding="utf-8").read()
     rows = set(re.findall(r"^\| ([a-z0-9_]+) \|", plans, flags=re.M))
-    assert set(entry.queries()) <= rows
+    assert set(catalog.queries()) <= rows

@@ -18,8 +18,7 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
     clean = jobs.run_clean(spark, feeds_root, os.path.join(tmp_dir, "out"), FIXTURE, log_path=log)
-    assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= int(before)   # sized, never lowered
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before     # the caller's setting is put back
     assert clean["rows_in"] == 1530 and clean["rows_out"] == 1086
     assert spark.read.parquet(clean["processed"]).count() == 1086
     assert spark.read.json(clean["jsonl"]).count() == 1086
@@ -54,3 +53,15 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
     runs = {r["step"]: r for r in read_log(spark, log, schemas.PIPELINE_RUNS).collect()}
     assert set(runs) == {"clean", "analytics", "train"}
     assert runs["clean"]["status"] == "success" and runs["clean"]["rows_out"] == 1086
+
+
+def test_clean_reads_feeds_that_grew(spark, tmp_dir):
+    raw = feeds.feed_records(feeds.fixture_raw(spark.read.parquet(f"{SF_SMALL}/orders.parquet")))
+    root = os.path.join(tmp_dir, "raw")
+    half = "coalesce(oid, order_id) % 2 = 0"
+    raw.where(half).write.partitionBy("source").json(root)
+    first = jobs.run_clean(spark, root, os.path.join(tmp_dir, "a"), FIXTURE, jsonl_export=False)
+    raw.where(f"NOT ({half})").write.mode("append").partitionBy("source").json(root)
+    again = jobs.run_clean(spark, root, os.path.join(tmp_dir, "b"), FIXTURE, jsonl_export=False)
+    assert 0 < first["rows_in"] < 1530
+    assert (again["rows_in"], again["rows_out"]) == (1530, 1086)

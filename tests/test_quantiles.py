@@ -97,17 +97,19 @@ def test_wrong_sketch_bracket_is_detected_and_recovered(spark, monkeypatch):
     assert stats["passes"] >= 2
 
 
-def test_fallback_path_is_exact(spark, monkeypatch):
+def test_wrong_brackets_and_many_magnitudes_are_exact(spark, monkeypatch):
     from pyspark.sql import functions as F
 
     from ordermart.operators import quantiles as Q
     xs = [float(v) for v in range(37)] + [5.0, 5.0, 30.0]
-    got = Q.exact_quantiles(_frame(spark, xs), "x", [0.1, 0.25, 0.5, 0.75, 0.9], max_passes=0)
-    assert got == [_linear(xs, p) for p in (0.1, 0.25, 0.5, 0.75, 0.9)]
+    wide = [2.0 ** e for e in range(-600, 600, 7)] + [0.0, 1e300]
+    for data in (xs, wide):
+        got = Q.exact_quantiles(_frame(spark, data), "x", [0.1, 0.25, 0.5, 0.75, 0.9], collect_limit=1, buckets=64)
+        assert got == [_linear(data, p) for p in (0.1, 0.25, 0.5, 0.75, 0.9)]
 
-    def bad_sketch(col, probs, accuracy):               # unverified brackets reach the fallback
+    def bad_sketch(col, probs, accuracy):               # brackets that hold no wanted rank
         return F.array(*[F.lit(-1e9 - i) for i in range(len(probs))])
 
     monkeypatch.setattr(Q.F, "percentile_approx", bad_sketch)
-    got = Q.exact_quantiles(_frame(spark, xs), "x", [0.25, 0.75], max_passes=0)
+    got = Q.exact_quantiles(_frame(spark, xs), "x", [0.25, 0.75])
     assert got == [_linear(xs, 0.25), _linear(xs, 0.75)]

@@ -78,12 +78,33 @@ def test_text_roundtrips(spark, tmp_dir):
     assert TX.read_jsonl(spark, js, schemas.SELLER_ALERTS).collect() == df.collect()
 
 
-def test_single_file_csv_only_below_bound(spark, tmp_dir, monkeypatch):
-    monkeypatch.setattr(TX, "SINGLE_FILE_MAX_ROWS", 3)
+def test_single_file_csv_is_the_callers_choice(spark, tmp_dir):
     df = spark.range(10, numPartitions=4).select(F.col("id").cast("string").alias("x"))
-    out = TX.write_csv(df, os.path.join(tmp_dir, "big"), single_file=True)
-    assert len([f for f in os.listdir(out) if f.endswith(".csv")]) > 1      # parallel above the bound
-    assert spark.read.csv(out, header=True).count() == 10                    # nothing dropped
+    for single, files in ((True, 1), (False, 4)):
+        out = TX.write_csv(df, os.path.join(tmp_dir, f"csv{single}"), single_file=single)
+        assert len([f for f in os.listdir(out) if f.endswith(".csv")]) == files
+        assert spark.read.csv(out, header=True).count() == 10
+
+
+def test_serving_read_needs_no_success_marker(spark, tmp_dir):
+    df = spark.createDataFrame([("books", 1.0, 1, 1.0)], schemas.REVENUE_BY_CATEGORY)
+    path = TB.write_mart(df, tmp_dir, "revenue_by_category")
+    os.remove(os.path.join(path, "_SUCCESS"))
+    assert TB.serving_read(spark, "revenue_by_category", schemas.REVENUE_BY_CATEGORY, tmp_dir).count() == 1
+
+
+def test_snapshot_versions_are_never_overwritten_and_keys_are_checked(spark, tmp_dir, monkeypatch):
+    import pytest
+    df = spark.createDataFrame([("a", 1.0, 1, 1.0), ("b", 2.0, 1, 2.0)], schemas.REVENUE_BY_CATEGORY)
+    table = TB.SnapshotTable(spark, os.path.join(tmp_dir, "t"), schemas.REVENUE_BY_CATEGORY)
+    table.replace(df, keys=["category"])
+    with pytest.raises(ValueError):
+        table.replace(df.union(df), keys=["category"])
+    monkeypatch.setattr(TB.SnapshotTable, "versions", lambda self: [])      # another writer took version 1
+    with pytest.raises(RuntimeError):
+        table.replace(df.limit(0))
+    monkeypatch.undo()
+    assert table.versions() == [1] and table.read().count() == 2
 
 
 def test_shuffle_sizing(spark, tmp_dir):
