@@ -89,6 +89,23 @@ def predictions_for_sellers(predictions: DataFrame, sellers_dim: DataFrame, tier
     return df
 
 
+def forecast_view(metrics: DataFrame, importance: DataFrame, residuals: DataFrame) -> DataFrame:
+    """section ``metric`` (name, value), ``importance`` (feature, coefficient) and ``prediction``
+    (seller, month, tier, predicted value, actual, residual %)."""
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def rows(df, section, name, value, seller=text, month=text, tier=text, actual=number, residual=number):
+        return df.select(F.lit(section).alias("section"), name.alias("name"), seller.alias("seller_id"), month.alias("year_month"),
+                         tier.alias("seller_type"), value.cast("double").alias("value"), actual.alias("actual_revenue"),
+                         residual.alias("residual_pct"))
+
+    cards = metrics.select("rmse", "mae", "r2", "train_rmse").unpivot([], ["rmse", "mae", "r2", "train_rmse"], "name", "value")
+    return (rows(cards, "metric", F.col("name"), F.col("value"))
+            .unionByName(rows(importance, "importance", F.col("feature"), F.col("coefficient")))
+            .unionByName(rows(residuals, "prediction", text, F.col("predicted_revenue"), F.col("seller_id"), F.col("year_month"),
+                              F.col("seller_type"), F.col("actual_revenue"), F.col("residual_pct"))))
+
+
 def latest_model_metrics(metrics_log: DataFrame) -> DataFrame:
     """Newest metrics row (``ORDER BY run_at DESC`` first row) without a global sort."""
     cols = [c for c in metrics_log.columns if c != "run_at"]

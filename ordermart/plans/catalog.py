@@ -8,6 +8,7 @@ rows-only check.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +17,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from ordermart import schemas
 from ordermart.config import FIXTURE
-from ordermart.constants import FEATURE_COLUMNS, N_SELLERS
+from ordermart.constants import FEATURE_COLUMNS, LOWEST_TIER, N_SELLERS, TIER_LIMITS
 from ordermart.functions import (
     category_bucket, money_sum, parse_wall_clock, product_name, ratio, round_half_up, strip_tz_suffix,
 )
@@ -675,6 +676,9 @@ def fill_feature_nulls(spark, sf_dir):
     return M.fill_feature_nulls(_a(spark, sf_dir).mart("seller_monthly"))
 
 
+_FEATURE_JSON = json.dumps(list(FEATURE_COLUMNS), separators=(",", ":"))
+
+
 @register("labelled_rows", WM("""SELECT (SELECT COUNT(*) FROM seller_monthly) AS n_rows,
     (SELECT COUNT(*) FROM features) AS n_labelled""", [("features", _FEATURE_SQL)]))
 def labelled_rows(spark, sf_dir):
@@ -758,17 +762,45 @@ def _metrics_log(spark, sf_dir) -> str:
 
 @register("append_model_metrics")
 def append_model_metrics(spark, sf_dir):
-    """Append this run's metrics row to the model_metrics log and return it."""
-    row = M.model_metrics_row(M.forecast_metrics(_a(spark, sf_dir).forecast()))
-    row.write.mode("append").parquet(_metrics_log(spark, sf_dir))
-    return row
+    """Append this run's metrics row to the model_metrics log and return it as stored there."""
+    path = _metrics_log(spark, sf_dir)
+    M.model_metrics_row(M.forecast_metrics(_a(spark, sf_dir).forecast())).write.mode("append").parquet(path)
+    return V.latest_model_metrics(spark.read.parquet(path))
+
+
+@register("model_metrics_counts", WM(f"""SELECT COUNT(CASE WHEN year < {_SPLIT} THEN 1 END) AS n_train,
+    COUNT(CASE WHEN year = {_SPLIT} THEN 1 END) AS n_test, '{_FEATURE_JSON}' AS feature_json FROM features""",
+    [("features", _FEATURE_SQL)]))
+def model_metrics_counts(spark, sf_dir):
+    """The parts of the stored metrics row that SQL can recompute, read back from the log."""
+    return append_model_metrics(spark, sf_dir).select("n_train", "n_test", "feature_json")
+
+
+@register("prediction_actuals", WM(f"""SELECT seller_id, year_month, next_month_revenue AS actual_revenue,
+    TRUE AS predicted FROM features WHERE year = {_SPLIT}""", [("features", _FEATURE_SQL)]))
+def prediction_actuals(spark, sf_dir):
+    """Keys and actual revenue of all predictions, and that each has a prediction (M6)."""
+    return _a(spark, sf_dir).predictions().select(
+        "seller_id", "year_month", "actual_revenue", F.col("predicted_revenue").isNotNull().alias("predicted"))
+
+
+@register("predictions_by_tier", WM(f"""SELECT s.seller_type, COUNT(*) AS n_predictions,
+    COUNT(DISTINCT f.seller_id) AS n_sellers FROM features f JOIN sellers s ON f.seller_id = s.seller_id
+    WHERE f.year = {_SPLIT} GROUP BY s.seller_type""", [("features", _FEATURE_SQL)]))
+def predictions_by_tier(spark, sf_dir):
+    """The tier selector of the forecast view: predictions and sellers left for each tier (P25)."""
+    preds = _a(spark, sf_dir).predictions()
+    dim = C.seller_dim(spark, N_SELLERS)
+    tiers = [t for _, t in TIER_LIMITS] + [LOWEST_TIER]
+    return _union_all([V.predictions_for_sellers(preds, dim, tier=t, dim_rows=N_SELLERS) for t in tiers]).groupBy(
+        "seller_type").agg(F.count(F.lit(1)).alias("n_predictions"), F.count_distinct("seller_id").alias("n_sellers"))
 
 
 @register("latest_model_metrics")
 def latest_model_metrics(spark, sf_dir):
     path = _metrics_log(spark, sf_dir)
     if not path_exists(spark, path):
-        append_model_metrics(spark, sf_dir).collect()
+        append_model_metrics(spark, sf_dir)
     return V.latest_model_metrics(spark.read.parquet(path))
 
 
@@ -796,10 +828,10 @@ def predictions_for_sellers(spark, sf_dir):
 
 @register("forecast_view")
 def forecast_view(spark, sf_dir):
-    """Forecast tab data: actual vs predicted and residual % for the default seller selection
-    (the metrics cards are ``latest_model_metrics``)."""
-    sel = predictions_for_sellers(spark, sf_dir)
-    return M.residual_pct(sel)
+    """The whole forecast tab as one long table: metrics cards, feature importance, and actual,
+    predicted and residual % of the default sellers with their tier."""
+    return V.forecast_view(latest_model_metrics(spark, sf_dir), feature_importance(spark, sf_dir),
+                           M.residual_pct(predictions_for_sellers(spark, sf_dir)))
 
 
 def queries() -> dict:

@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from ordermart.plans import catalog  # noqa: E402
 from ordermart.session import build_session  # noqa: E402
 
 
@@ -45,7 +45,7 @@ def main():
     print("| query | shuffles | broadcasts | bhj | smj | scans | partial | sort agg | top-k | "
           "window limit | pushed | python |")
     print("|---|---|---|---|---|---|---|---|---|---|---|---|")
-    for key, fn in entry.queries().items():
+    for key, fn in catalog.queries().items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
