@@ -15,8 +15,11 @@ window and the bytes before the anchors agree back to its start.  About 1 byte i
 2. Suffixes (with the bytes before them) are range-partitioned by their leading bytes with sampled
    splitters.  Each bucket sorts its suffixes by multikey quicksort (eight bytes a key), takes the
    common prefix of neighbours, and finds for every window the earliest suffix that shares it.
-3. Windows that reach the suffix at either end of a bucket may go on in other buckets: the first of
-   each in its bucket is compared across boundaries, by hash, in a Spark aggregation.
+3. Windows that agree with the suffix at either end of a bucket may go on in other buckets.  The
+   suffixes that are first in their bucket for such a window are compared across boundaries: range-
+   partitioned and sorted again, now by the bytes before them.  What reaches a bucket's end in both
+   orders is shared by very many or has few bytes before its anchor; it is compared by the window's
+   hash in a Spark aggregation.
 4. The spans of each document are gathered and cut out.
 
 Scale: hot passages shrink to one row per task in 1, to one suffix in 2, and a gram with very many
@@ -282,47 +285,59 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py().ljust(width, b"\0") for x in column), np.uint8).reshape(-1, width)
 
 
-_COMPARED = "row long, begin long, stop long, window binary, age long"
+_COMPARED = _SPAN + ", window binary, " + _SUFFIX.replace("row long", "owner long")
 
 
-def compare_bucket(suffix: np.ndarray, before: np.ndarray, age, row, at, least, most, length: int):
-    """Within one bucket: (rows, distances) of windows with an earlier equal one here; and of windows
-    that are the first here but may occur in other buckets."""
+def _classes(order: np.ndarray, prefix: np.ndarray, depth: int) -> np.ndarray:
+    """A number per row, equal for rows that agree in their first ``depth`` bytes."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(prefix < depth)
+    return out
+
+
+def compare_bucket(suffix: np.ndarray, before: np.ndarray, age, row, at, least, most, length: int, by_suffix: bool = True):
+    """Within one bucket, of suffixes that lie between two others in the order of ``suffix`` (or of
+    ``before``): (rows, distances) of windows with an earlier equal one here; and of windows that are
+    the first here but may occur in other buckets."""
     n, back = len(suffix), before.shape[1]
-    order = multikey_quicksort(suffix)
-    prefix = common_prefix(suffix, order)
+    right = multikey_quicksort(suffix)
+    right_prefix = common_prefix(suffix, right)
     left = multikey_quicksort(before)
     left_prefix = common_prefix(before, left)
+    ends = (right if by_suffix else left)[[0, -1]]
     rank = np.empty(n, np.int64)
     rank[np.lexsort((at, row, age))] = np.arange(n)
     again, first = [], []
     for o in range(back + 1):
-        group = np.empty(n, np.int64)
-        group[order] = np.cumsum(prefix < length - o)
-        edge = (group[order[0]], group[order[-1]])
         here = np.flatnonzero((least <= o) & (o <= most))
         if not len(here):
             continue
-        counts = np.bincount(group[here], minlength=group.max() + 1)
-        open_ = (counts[group[here]] > 1) | (group[here] == edge[0]) | (group[here] == edge[1])
-        here = here[open_]
+        behind, ahead = _classes(left, left_prefix, o), _classes(right, right_prefix, length - o)
+        main = ahead if by_suffix else behind
+        touches = (main == main[ends[0]]) | (main == main[ends[1]])
+        here = here[(np.bincount(ahead[here], minlength=n + 1)[ahead[here]] > 1) | touches[here]]
+        here = here[np.lexsort((rank[here], behind[here], ahead[here]))]
         if not len(here):
             continue
-        behind = np.empty(n, np.int64)
-        behind[left] = np.cumsum(left_prefix < o) if o else 0
-        o_order = np.lexsort((rank[here], behind[here], group[here]))
-        here = here[o_order]
-        new = np.concatenate(([True], (group[here][1:] != group[here][:-1]) | (behind[here][1:] != behind[here][:-1])))
+        new = np.concatenate(([True], (ahead[here][1:] != ahead[here][:-1]) | (behind[here][1:] != behind[here][:-1])))
         again.append((here[~new], np.full((~new).sum(), o)))
-        outer = new & ((group[here] == edge[0]) | (group[here] == edge[1]))
+        outer = new & touches[here]
         first.append((here[outer], np.full(outer.sum(), o)))
-    join = lambda parts: [np.concatenate(c) if parts else np.empty(0, np.int64) for c in (zip(*parts) if parts else ((), ()))]
+    join = lambda parts: [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 2
     return join(again), join(first)
 
 
-def _compare(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
-    """Spans found in each bucket (window null), and windows to compare across boundaries."""
+def _compare(suffixes: DataFrame, length: int, gram: int, by_suffix: bool) -> DataFrame:
+    """Spans found in each bucket, and what to compare across boundaries: suffixes (with the range of
+    windows in question) after the order of the suffixes, hashes of windows after that of the bytes
+    before them."""
     back = length - gram
+    names = [c.split(" ")[0] for c in _COMPARED.split(", ")]
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 3 + [pa.int64()] * 3 + [pa.int32()] * 2
+
+    def out(n, **columns):
+        return pa.RecordBatch.from_arrays(
+            [columns[c] if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)], names=names)
 
     def run(batches):
         parts = [b for b in batches if b.num_rows]
@@ -331,24 +346,29 @@ def _compare(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
         table = pa.Table.from_batches(parts)
         suffix, before = _matrix(table.column("suffix"), length), _matrix(table.column("before"), back)
         age, row, at, least, most = (table.column(c).to_numpy() for c in ("age", "row", "at", "least", "most"))
-        (i, o), (j, q) = compare_bucket(suffix, before, age, row, at, least, most, length)
+        (i, o), (j, q) = compare_bucket(suffix, before, age, row, at, least, most, length, by_suffix)
         # consecutive windows of one suffix are one span
         order = np.lexsort((-o, i))
         i, start = i[order], (at[i] - o)[order]
         if len(i):
             new = np.concatenate(([True], (i[1:] != i[:-1]) | (start[1:] != start[:-1] + 1)))
             begin, stop = start[new], start[np.concatenate((new[1:], [True]))] + length
-            m = len(begin)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[i[new]]), pa.array(begin), pa.array(stop), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())],
-                names=["row", "begin", "stop", "window", "age"])
-        for b in range(0, len(j), 1 << 16):
+            yield out(len(begin), row=pa.array(row[i[new]]), begin=pa.array(begin), stop=pa.array(stop))
+        if by_suffix and len(j):
+            asked, lows = np.unique(j, return_inverse=True)
+            low, high = np.full(len(asked), back), np.zeros(len(asked), np.int64)
+            np.minimum.at(low, lows, q)
+            np.maximum.at(high, lows, q)
+            picked = table.take(pa.array(asked)).combine_chunks()
+            column = lambda c: picked.column(c).combine_chunks()
+            yield out(len(asked), suffix=column("suffix"), before=column("before"), age=column("age"), owner=column("row"),
+                      at=column("at"), least=pa.array(low, pa.int32()), most=pa.array(high, pa.int32()))
+        for b in range(0, 0 if by_suffix else len(j), 1 << 16):
             jj, qq = j[b:b + (1 << 16)], q[b:b + (1 << 16)]
             digest = [xxhash.xxh3_128_digest(before[x, :d][::-1].tobytes() + suffix[x, :length - d].tobytes())
                       for x, d in zip(jj.tolist(), qq.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[jj]), pa.array(at[jj] - qq), pa.array(at[jj] - qq + length), pa.array(digest, pa.binary()),
-                 pa.array(age[jj])], names=["row", "begin", "stop", "window", "age"])
+            yield out(len(jj), row=pa.array(row[jj]), begin=pa.array(at[jj] - qq), stop=pa.array(at[jj] - qq + length),
+                      window=pa.array(digest, pa.binary()), age=pa.array(age[jj]))
 
     return suffixes.mapInArrow(run, _COMPARED)
 
@@ -362,15 +382,20 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     sifted = stored(_sift(sent, length), "stretches")
     wanted = sifted.where("kind = 1").select("row", "age", "packed")
     suffixes = stored(_suffixes(rows, wanted, length, gram), "suffixes")
-    buckets = max(1, math.ceil(suffixes.count() / BUCKET_SUFFIXES))
-    compared = stored(_compare(suffixes.repartitionByRange(buckets, "suffix", "before"), length, gram), "compared")
-    outer = compared.where("window IS NOT NULL")
+    def buckets(of):
+        return max(1, math.ceil(of.count() / BUCKET_SUFFIXES))
+
+    compared = stored(_compare(suffixes.repartitionByRange(buckets(suffixes), "suffix", "before"), length, gram, True), "compared")
+    crossing = compared.where("suffix IS NOT NULL").select("suffix", "before", "age", F.col("owner").alias("row"), "at", "least", "most")
+    second = stored(_compare(crossing.repartitionByRange(buckets(crossing), "before", "suffix"), length, gram, False), "compared")
+    outer = second.where("window IS NOT NULL").select("window", "age", "row", "begin", "stop")
     earliest = outer.groupBy("window").agg(F.min(F.struct("age", "row", "begin")).alias("first"), F.count("*").alias("n")).where("n > 1")
     across = outer.join(earliest, "window").where(F.struct("age", "row", "begin") != F.col("first"))
     spans = ["row", "begin", "stop"]
     return (_stretches(rows, length, gram, repeats=True).select(spans)
             .union(sifted.where("kind = 0").select(spans))
-            .union(compared.where("window IS NULL").select(spans)).union(across.select(spans)))
+            .union(compared.where("suffix IS NULL").select(spans))
+            .union(second.where("window IS NULL").select(spans)).union(across.select(spans)))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
