@@ -6,10 +6,10 @@ inner products of the latent vectors of each pair of its terms, so that two harm
 group's name, an insult's half) can count as much as one bad one; the pairs are summed in time
 proportional to the terms.
 
-Training: on at most ``TRAIN_ROWS`` labelled documents (all toxic ones first, then the rest, by
-hash), whose terms with at least ``LEAST_DF`` documents are kept, by mini-batches of AdaGrad with
-fixed order and seed.  The sample is bounded, so it is fitted on the driver; the model has
-``BUCKETS`` x (1 + ``FACTORS``) numbers at most, whatever the corpus holds.  Scoring is one scan
+Training: on at most ``TRAIN_ROWS`` labelled documents (up to half of them toxic, by hash of the id),
+over the terms that tell classes apart or are very common, by mini-batches of AdaGrad with fixed
+order and seed.  The sample is bounded, so it is fitted on the driver; the model has ``BUCKETS`` x
+(1 + ``FACTORS``) numbers at most, whatever the corpus holds.  Scoring is one scan
 without a shuffle.
 """
 
