@@ -92,37 +92,50 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _starts(gaps: Column, hits: Column) -> Column:
-    """Where each hit begins: the lengths of gaps and hits before it, added up in runs so that the
-    work grows in proportion to the hits."""
-    both = F.transform(hits, lambda h, i: F.length(F.element_at(gaps, i + 1)) + F.length(h))
-    n = F.size(hits)
-    runs = F.aggregate(
-        F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _RUN).cast("int")),
-                    lambda r: F.aggregate(F.slice(both, r * _RUN + 1, F.lit(_RUN)), F.lit(0), lambda a, x: a + x)),
-        F.array(F.lit(0)), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
-    return F.transform(hits, lambda h, i: F.element_at(runs, F.floor(i / _RUN).cast("int") + 1)
-                       + F.aggregate(F.slice(both, F.floor(i / _RUN).cast("int") * _RUN + 1, i % _RUN),
-                                     F.lit(0), lambda a, x: a + x)
-                       + F.length(F.element_at(gaps, i + 1)))
+def _found(df: DataFrame, text: str, patterns: dict[str, str], out: str) -> DataFrame:
+    """``df`` with a column per kind: array of (start, value) of all matches.
+
+    A match begins after the lengths of the gaps and matches before it.  They are added up in runs of
+    ``_RUN``, each step in a column of its own (a lambda evaluates what it refers to once per
+    element), so that the work grows in proportion to the matches.
+    """
+    def name(what, k):
+        return f"{out}_{what}_{k}"
 
+    def step(what, of):
+        return df.withColumns({name(what, k): F.when(F.size(name("hits", k)) > 0, of(k)) for k in KINDS})
 
-def _found(df: DataFrame, text: str, patterns: dict[str, str], out: str) -> DataFrame:
-    """``df`` with a column per kind: array of (start, value) of all matches."""
-    hits = {k: f"{out}_hits_{k}" for k in KINDS}
-    df = df.withColumns({hits[k]: F.when(F.col(text).rlike(NEEDS[k]), F.regexp_extract_all(text, F.lit(patterns[k]), F.lit(0)))
-                         for k in KINDS})
-    df = df.withColumns({f"{out}_gaps_{k}": F.when(F.size(hits[k]) > 0, F.split(text, patterns[k], -1)) for k in KINDS})
-    df = df.withColumns({f"{out}_at_{k}": F.when(F.size(hits[k]) > 0, _starts(F.col(f"{out}_gaps_{k}"), F.col(hits[k])))
-                         for k in KINDS})
-    none = F.array().cast("array<struct<start:int,value:string>>")
+    def lengths(k):
+        return F.transform(name("hits", k), lambda h, i: F.length(F.element_at(F.col(name("gaps", k)), i + 1)) + F.length(h))
+
+    def run_sums(k):
+        both = F.col(name("both", k))
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(both) - 1) / _RUN).cast("int")),
+                           lambda r: F.aggregate(F.slice(both, r * _RUN + 1, F.lit(_RUN)), F.lit(0), lambda a, x: a + x))
+
+    def run_starts(k):
+        return F.aggregate(name("sums", k), F.array(F.lit(0)), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
+
+    def pairs(k):
+        both, runs, gaps = (F.col(name(w, k)) for w in ("both", "runs", "gaps"))
+
+        def pair(h, i):
+            r = F.floor(i / _RUN).cast("int")
+            inside = F.aggregate(F.slice(both, r * _RUN + 1, i % _RUN), F.lit(0), lambda a, x: a + x)
+            return F.struct((F.element_at(runs, r + 1) + inside + F.length(F.element_at(gaps, i + 1))).alias("start"),
+                            h.alias("value"))
 
-    def paired(k):
-        return F.transform(f"{out}_at_{k}", lambda s, i: F.struct(
-            s.alias("start"), F.element_at(F.col(hits[k]), i + 1).alias("value")))
+        none = F.array().cast("array<struct<start:int,value:string>>")
+        return F.coalesce(F.when(F.size(name("hits", k)) > 0, F.transform(name("hits", k), pair)), none)
 
-    df = df.withColumns({f"{out}_{k}": F.coalesce(paired(k), none) for k in KINDS})
-    return df.drop(*hits.values(), *[f"{out}_gaps_{k}" for k in KINDS], *[f"{out}_at_{k}" for k in KINDS])
+    df = df.withColumns({name("hits", k): F.when(F.col(text).rlike(NEEDS[k]), F.regexp_extract_all(
+        text, F.lit(patterns[k]), F.lit(0))) for k in KINDS})
+    df = step("gaps", lambda k: F.split(text, patterns[k], -1))
+    df = step("both", lengths)
+    df = step("sums", run_sums)
+    df = step("runs", run_starts)
+    df = df.withColumns({f"{out}_{k}": pairs(k) for k in KINDS})
+    return df.drop(*[name(w, k) for w in ("hits", "gaps", "both", "sums", "runs") for k in KINDS])
 
 
 def _flag(condition: Column) -> Column:
@@ -155,9 +168,10 @@ def _features(kind: str, c: Column, text: Column) -> Column:
 
 def scan(docs: DataFrame, text: str, base: str, cands: str) -> DataFrame:
     """``docs`` with its base spans (start, end, kind) and its candidates that no base span covers or
-    that are labelled (start, end, kind, label, f).  A null text has none."""
+    that are labelled (start, end, kind, label, f, and h, a hash of text and place).  A null text has none."""
     mine = spare_name(docs.columns, "pii_text")
-    df = docs.withColumn(mine, F.coalesce(F.col(text).cast("string"), F.lit("")))
+    mark = spare_name(docs.columns, "pii_mark")
+    df = docs.withColumn(mine, F.coalesce(F.col(text).cast("string"), F.lit(""))).withColumn(mark, F.xxhash64(mine))
     taken = set(df.columns)
     prefix_base, prefix_cand = spare_name([c.split("_")[0] for c in taken], "b"), spare_name([c.split("_")[0] for c in taken], "c")
     df = _found(df, mine, BASE, prefix_base)
@@ -177,7 +191,8 @@ def scan(docs: DataFrame, text: str, base: str, cands: str) -> DataFrame:
     return df.withColumn(cands, F.transform(cands, lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"),
         F.when(F.exists(F.col(base), lambda b: (b["kind"] == c["kind"]) & (b["start"] <= c["start"]) & (b["end"] >= c["end"])), 1)
-        .when(c["failed"], 0).otherwise(-1).alias("label"), c["f"].alias("f")))).select(*docs.columns, base, cands)
+        .when(c["failed"], 0).otherwise(-1).alias("label"), c["f"].alias("f"),
+        F.xxhash64(F.col(mark), c["start"]).alias("h")))).select(*docs.columns, base, cands)
 
 
 def _tree_sql(node, f: Column) -> Column:
@@ -207,14 +222,14 @@ class Scorer:
 
 
 def fit(found: DataFrame, cands: str, train_rows: int = TRAIN_ROWS, precision: float = PRECISION) -> Scorer:
-    """Trees from labelled candidates of three quarters of their feature values, thresholds from the
+    """Trees from three quarters of the labelled candidates (by hash of text and place), thresholds from the
     others: per kind the lowest score at which the share of positives stays at least ``precision``.
 
     A kind whose calibration fold has no negative candidate gets 0.5; one without a positive, none.
     """
     labelled = (found.select(F.explode(cands).alias("c")).where("c.label >= 0")
                 .select(F.col("c.label").cast("double").alias("label"), F.col("c.kind").alias("kind"), F.col("c.f").alias("f"),
-                        F.xxhash64("c.f", "c.start").alias("h")))
+                        F.col("c.h").alias("h")))
     # bounded: the smallest hashes, so the same rows however the table is partitioned
     sample = stored(labelled.orderBy("h", "f", "label").limit(train_rows).coalesce(1), "pii-sample")
     learn, test = sample.where(F.pmod("h", F.lit(4)) != 0), sample.where(F.pmod("h", F.lit(4)) == 0)
@@ -224,7 +239,7 @@ def fit(found: DataFrame, cands: str, train_rows: int = TRAIN_ROWS, precision: f
                           minInstancesPerNode=5).fit(learn.select("label", array_to_vector("f").alias("v")))
     trees = [t._call_java("rootNode") for t in model.trees]
     scorer = Scorer(trees, list(model.treeWeights), {})
-    ranked = (test.select("kind", "label", F.round(scorer.score(F.col("f")), 4).alias("p"))
+    ranked = (test.select("kind", "label", (F.floor(scorer.score(F.col("f")) * 1000) / 1000).alias("p"))
               .groupBy("kind", "p").agg(F.sum("label").alias("pos"), F.count("*").alias("n")).collect())
     for kind in range(len(KINDS)):
         rows = sorted(((r["p"], r["pos"], r["n"]) for r in ranked if r["kind"] == kind), reverse=True)
