@@ -45,8 +45,9 @@ def records_of(pages: DataFrame, least: int = LEAST) -> DataFrame:
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256)).withColumn(
         "n_bytes", F.octet_length("payload").cast("long"))
-    light = rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(
-        F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written first, so that its size is known: where few payloads repeat, no page is shuffled
+    light = stored(rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(
+        F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
     return rows.join(light, "digest", "left").withColumn(
         "first", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")))
 
