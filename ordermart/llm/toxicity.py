@@ -7,8 +7,8 @@ group's name, an insult's half) can count as much as one bad one; the pairs are
 proportional to the terms.
 
 Training: on at most ``TRAIN_ROWS`` labelled documents (up to half of them toxic, by hash of the id),
-over the terms that tell classes apart or are very common, by mini-batches of AdaGrad with fixed
-order and seed.  The sample is bounded, so it is fitted on the driver; the model has ``BUCKETS`` x
+over all terms that ``LEAST_DF`` of them hold, weighed by their evidence, by mini-batches of AdaGrad
+with fixed order and seed.  The sample is bounded, so it is fitted on the driver; the model has ``BUCKETS`` x
 (1 + ``FACTORS``) numbers at most, whatever the corpus holds.  Scoring is one scan
 without a shuffle.
 """
@@ -31,7 +31,7 @@ FACTORS = 4
 TRAIN_ROWS = 16_000
 LEAST_DF = 3
 CHI2 = 15.0
-COMMON = 200
+SHRINK = 300
 EPOCHS = 12
 BATCH = 64
 RATE = 0.1
@@ -94,40 +94,38 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.margin(terms_of(text)), -30, 30))))
 
 
-def _telling(hits: np.ndarray, df: np.ndarray, bad: int, rows: int) -> np.ndarray:
-    """Terms to learn: those whose share of toxic documents differs clearly from the average (chi
-    square), and the ``COMMON`` most frequent, which matter in pairs.  Of the many rare terms, that
-    only tell single training documents apart, none is left."""
+def _evidence(hits: np.ndarray, df: np.ndarray, bad: int, rows: int) -> np.ndarray:
+    """Per term the value, over 0 to 1, with which it enters a document's sums.  It is 1 where the share
+    of toxic documents alone differs clearly from the average (chi square ``CHI2``) and falls with its
+    square; but at least df / (df + ``SHRINK``), as a neutral term may count in pairs.  So the many rare
+    terms that only tell single training documents apart learn slowly, and no term is left out."""
     expect = df * bad / rows
     spread = np.maximum(expect * (1 - bad / rows) * (1 - df / rows), 1e-9)
-    keep = (np.abs(hits - expect) - 0.5) ** 2 / spread >= CHI2
-    keep &= df >= LEAST_DF
-    often = np.argsort(-df, kind="stable")[:COMMON]
-    keep[often] |= df[often] >= rows * 0.02
-    return keep
+    chi2 = np.maximum(np.abs(hits - expect) - 0.5, 0) ** 2 / spread
+    return np.maximum(df / (df + SHRINK), np.minimum(chi2 / CHI2, 1) ** 2)
 
 
 def train(rows: list[tuple[np.ndarray, int]]) -> Machine:
-    """Fit on (term buckets, label 0/1) in the given order; one class alone gives a constant score."""
+    """Fit on (term buckets, label 0/1) in the given order, over all terms that ``LEAST_DF`` of the
+    documents hold; one class alone gives a constant score."""
     y = np.array([t for _, t in rows], np.float64)
     rate = min(max((y.mean() if len(y) else 0.0), 1e-3), 1 - 1e-3)
     start = float(np.log(rate / (1 - rate)))
     none = Machine(start, np.empty(0, np.int64), np.empty(0), np.empty((0, FACTORS)))
     if not len(rows) or y.min() == y.max():
         return none
-    buckets, df = np.unique(np.concatenate([t for t, _ in rows]), return_counts=True)
-    hits = np.zeros(BUCKETS)
-    bad = [t for t, label in rows if label]
-    found, n = np.unique(np.concatenate(bad), return_counts=True)
-    hits[found] = n
-    buckets = buckets[_telling(hits[buckets], df, len(bad), len(rows))]
+    df, hits = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for terms, label in rows:
+        df[terms] += 1
+        if label:
+            hits[terms] += 1
+    buckets = np.flatnonzero(df >= LEAST_DF)
     if not len(buckets):
         return none
-    docs = []
-    for terms, _ in rows:
-        place = np.searchsorted(buckets, terms)
-        place[place == len(buckets)] = 0
-        docs.append(place[buckets[place] == terms])
+    value = _evidence(hits[buckets], df[buckets], int(y.sum()), len(rows))
+    at = np.full(BUCKETS, -1, np.int32)
+    at[buckets] = np.arange(len(buckets))
+    docs = [at[terms][at[terms] >= 0] for terms, _ in rows]
     rng = np.random.default_rng(SEED)
     bias, w = start, np.zeros(len(buckets))
     v = rng.normal(0, 0.01, (len(buckets), FACTORS))
@@ -139,15 +137,15 @@ def train(rows: list[tuple[np.ndarray, int]]) -> Machine:
             size = np.array([len(docs[i]) for i in some])
             flat = np.concatenate([docs[i] for i in some])
             owner = np.repeat(np.arange(len(some)), size)
-            vf = v[flat]
-            sums = np.zeros((len(some), FACTORS))
-            np.add.at(sums, owner, vf)
+            x = value[flat]
+            vf = v[flat] * x[:, None]
+            sums = np.stack([np.bincount(owner, vf[:, f], minlength=len(some)) for f in range(FACTORS)], axis=1)
             squares = np.bincount(owner, (vf ** 2).sum(axis=1), minlength=len(some))
-            z = bias + np.bincount(owner, w[flat], minlength=len(some)) + 0.5 * ((sums ** 2).sum(axis=1) - squares)
+            z = bias + np.bincount(owner, w[flat] * x, minlength=len(some)) + 0.5 * ((sums ** 2).sum(axis=1) - squares)
             err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[some]) / len(some)
             used, local = np.unique(flat, return_inverse=True)
-            dw = np.bincount(local, err[owner], minlength=len(used)) + L2 * w[used]
-            per = err[owner][:, None] * (sums[owner] - vf)
+            dw = np.bincount(local, err[owner] * x, minlength=len(used)) + L2 * w[used]
+            per = (err[owner] * x)[:, None] * (sums[owner] - vf)
             dv = np.stack([np.bincount(local, per[:, f], minlength=len(used)) for f in range(FACTORS)], axis=1) + L2 * v[used]
             db = err.sum()
             gw[used] += dw ** 2 * len(some) ** 2
@@ -156,7 +154,7 @@ def train(rows: list[tuple[np.ndarray, int]]) -> Machine:
             w[used] -= RATE * dw * len(some) / np.sqrt(gw[used])
             v[used] -= RATE * dv * len(some) / np.sqrt(gv[used])
             bias -= RATE * db * len(some) / np.sqrt(gb)
-    return Machine(bias, buckets, w, v)
+    return Machine(bias, buckets, w * value, v * value[:, None])
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
@@ -185,7 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     found = map_batches(texts, terms, f"doc_id {kind}, toxic {label}, terms array<int>")
     # repeated rows of one id: one of them
     found = found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms")).orderBy(*order)
-    sample = [(np.array(r["terms"], np.int64), int(r["toxic"])) for r in found.toLocalIterator()]
+    sample = [(np.array(r["terms"], np.int32), int(r["toxic"])) for r in found.toLocalIterator()]
     machine = train(sample)
     seen, toxic = sum(shares.values()), shares.get(1, 0)
     mine = sum(t for _, t in sample)

@@ -17,6 +17,32 @@ def test_pairs_count_that_single_terms_miss():
     assert right / len(rows) > 0.95
 
 
+def _rare_pair(seed):
+    """Half of 6,000 documents toxic by word 30, or by 10 and 20 together (54 documents each way, so
+    that each alone is neutral and in under 2 %), 12 by word 40."""
+    rng = np.random.default_rng(seed)
+    share = 1 / np.arange(1, 4001)
+    rows = [set((1000 + rng.choice(4000, 60, p=share / share.sum())).tolist()) for _ in range(6000)]
+    for i, row in enumerate(rows):
+        if i < 3000:
+            row |= {10, 20} if i < 54 else {40} if i < 66 else {30}
+        elif i < 3108:
+            row |= {10} if i < 3054 else {20}
+    order = rng.permutation(6000)
+    return [(np.array(sorted(rows[i])), int(i < 3000)) for i in order]
+
+
+def test_rare_terms_count_that_are_neutral_alone():
+    m = X.train(_rare_pair(0))
+    test = [(set(t.tolist()), m.margin(t)) for t, _ in _rare_pair(1)]
+    both = np.mean([z > 0 for t, z in test if {10, 20} <= t])
+    one = np.mean([z > 0 for t, z in test if len(t & {10, 20}) == 1])
+    assert both > 0.6 and one < 0.05
+    # a word found in 12 toxic documents alone
+    clean = [t for t, _ in _rare_pair(1) if not {10, 20, 30, 40} & set(t.tolist())]
+    assert all(m.margin(np.append(t, 40)) > m.margin(t) + 1 for t in clean[:100])
+
+
 def test_one_class_or_nothing_gives_a_constant():
     assert X.train([]).score("x") < 0.01
     assert X.train([(np.array([1]), 1)]).score(None) > 0.9
