@@ -9,7 +9,8 @@ whose score reaches their kind's calibrated threshold become spans if no base sp
 
 The trees learn without hand labels: candidates inside a verified base span are positive, candidates
 that fail their kind's hard check (checksum, range, glued to letters or digits) negative, all others
-unlabelled.  They are fitted on at most ``TRAIN_ROWS`` labelled candidates, the thresholds on others.
+unlabelled.  They are fitted on about ``TRAIN_ROWS`` labelled candidates at most, in equal parts by kind
+and label; the thresholds on all of another quarter.
 
 Everything runs in the JVM (SQL functions and Spark's own GBTClassifier; the fitted trees become one
 SQL expression).  The texts are read once and nothing is shuffled but aggregates; a document's
@@ -50,7 +51,7 @@ CANDIDATES = {
 #: What must occur in a text for a pattern to be tried.
 NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"[0-9]"}
 
-TRAIN_ROWS = 20_000       # most labelled candidates that the trees learn from
+TRAIN_ROWS = 20_000       # labelled candidates that the trees learn from, about, at most
 CONTEXT = 24              # characters before a candidate whose words count
 TREES = 12
 DEPTH = 3
@@ -221,25 +222,47 @@ class Scorer:
         return self.score(c["f"]) >= least
 
 
+def _shares(sizes: dict[tuple, int], most: int) -> dict[tuple, float]:
+    """The share to take of each group so that about ``most`` are taken in all: small groups whole, the
+    others the same number each."""
+    left, out = most, {}
+    for i, (group, n) in enumerate(sorted(sizes.items(), key=lambda g: (g[1], g[0]))):
+        take = min(n, left / (len(sizes) - i))
+        left -= take
+        out[group] = take / n
+    return out
+
+
 def fit(found: DataFrame, cands: str, train_rows: int = TRAIN_ROWS, precision: float = PRECISION) -> Scorer:
-    """Trees from three quarters of the labelled candidates (by hash of text and place), thresholds from the
-    others: per kind the lowest score at which the share of positives stays at least ``precision``.
+    """Trees from three quarters of the labelled candidates (by hash of text and place), thresholds from
+    all others: per kind the lowest score at which the share of positives stays at least ``precision``.
+    Copies of a text count once in both.
 
+    Of the three quarters about ``train_rows`` are taken, by the hash, so the same rows however the table is
+    partitioned; each kind and label has an equal part, or all it has, so a frequent kind displaces no other.
     A kind whose calibration fold has no negative candidate gets 0.5; one without a positive, none.
     """
     labelled = (found.select(F.explode(cands).alias("c")).where("c.label >= 0")
                 .select(F.col("c.label").cast("double").alias("label"), F.col("c.kind").alias("kind"), F.col("c.f").alias("f"),
                         F.col("c.h").alias("h")))
-    # bounded: the smallest hashes, so the same rows however the table is partitioned
-    sample = stored(labelled.orderBy("h", "f", "label").limit(train_rows).coalesce(1), "pii-sample")
-    learn, test = sample.where(F.pmod("h", F.lit(4)) != 0), sample.where(F.pmod("h", F.lit(4)) == 0)
-    if learn.select("label").distinct().count() < 2:
+    learn, test = labelled.where(F.pmod("h", F.lit(4)) != 0), labelled.where(F.pmod("h", F.lit(4)) == 0)
+    sizes = {(r["kind"], r["label"]): r["n"]
+             for r in learn.groupBy("kind", "label").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    if len({label for _, label in sizes}) < 2:
+        return Scorer([], [], {})
+    place = F.col("h") / F.lit(2.0 ** 64) + 0.5
+    taken = F.lit(False)
+    for (kind, label), share in _shares(sizes, train_rows).items():
+        taken = taken | ((F.col("kind") == kind) & (F.col("label") == label) & (place <= share))
+    sample = stored(learn.where(taken).groupBy("kind", "label", "h").agg(F.min("f").alias("f"))
+                    .repartition(1).sortWithinPartitions("h", "kind", "label"), "pii-sample")
+    if sample.select("label").distinct().count() < 2:
         return Scorer([], [], {})
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=17, featuresCol="v", labelCol="label",
-                          minInstancesPerNode=5).fit(learn.select("label", array_to_vector("f").alias("v")))
+                          minInstancesPerNode=5).fit(sample.select("label", array_to_vector("f").alias("v")))
     trees = [t._call_java("rootNode") for t in model.trees]
     scorer = Scorer(trees, list(model.treeWeights), {})
-    ranked = (test.select("kind", "label", (F.floor(scorer.score(F.col("f")) * 1000) / 1000).alias("p"))
+    ranked = (test.select("kind", "label", "h", (F.floor(scorer.score(F.col("f")) * 1000) / 1000).alias("p")).distinct()
               .groupBy("kind", "p").agg(F.sum("label").alias("pos"), F.count("*").alias("n")).collect())
     for kind in range(len(KINDS)):
         rows = sorted(((r["p"], r["pos"], r["n"]) for r in ranked if r["kind"] == kind), reverse=True)

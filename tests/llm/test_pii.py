@@ -78,6 +78,22 @@ def test_trees_add_spans_that_base_patterns_lose(make_docs):
     assert got[1001].spans == ""
 
 
+def test_a_frequent_kind_or_text_displaces_no_other(make_docs):
+    """Bounded to 100 candidates: 6,000 addresses and 300 copies of a text leave the phone numbers theirs."""
+    rows = [(i, " ".join(f"10.{i}.{j}.7 300.{i}.{j}.7" for j in range(100))) for i in range(30)]
+    rows += [(100 + i, "mail a@b.co or 10.0.0.1, call +1 (555) 765-4321") for i in range(300)]
+    rows += [(500 + i, f"call +1 (555) {i:03d}-{4000 + i} now, or the id x{i:03d}-{i:03d}-{4000 + i}") for i in range(40)]
+    found = pii.scan(make_docs(rows), "text", "base", "cands").persist()
+    scorer = pii.fit(found, "cands", train_rows=100)
+    assert {pii.KINDS.index("ip"), pii.KINDS.index("phone")} <= set(scorer.thresholds)
+    found.unpersist()
+
+
+def test_shares_of_the_sample():
+    assert pii._shares({"a": 10, "b": 1000, "c": 100}, 150) == {"a": 1.0, "c": 0.7, "b": 0.07}
+    assert pii._shares({"a": 10, "b": 20}, 150) == {"a": 1.0, "b": 1.0}
+
+
 def test_redaction_and_clashing_columns(spark, make_docs):
     docs = make_docs([(1, "mail a@b.co or 10.0.0.1!"), (2, None), (3, "clean"), (1, "mail a@b.co or 10.0.0.1!")])
     docs = docs.withColumn("pii_text", F.lit("keep")).withColumn("base", F.lit(1)).withColumn("pii_candidates", F.lit(2))
