@@ -43,13 +43,15 @@ BASE = {
 #: Candidate patterns.
 CANDIDATES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z]{2,24})++",
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])",
+    "ip": r"(?<![0-9])[0-9]{1,3}(\.|\[\.\]|\(\.\)| \. | ?\[dot\] ?| ?\(dot\) ?)[0-9]{1,3}(?:\1[0-9]{1,3}){2}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{12,19}|[0-9]{4}(?:[ -][0-9]{4}){2,3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
-    "phone": r"\(?(?<![0-9])[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"\(?(?<![0-9])(?:[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|[0-9]{3}\) ?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{10}"
+             r"|(?:\+|00)[1-9][0-9]{0,2}(?:[ .-][0-9]{2,4}){2,5}|0[1-9](?:[ .-][0-9]{2}){4}|0[0-9]{2,4}\)?[ /-][0-9]{5,8}"
+             r"|[6-9][0-9]{2}(?:[ .-][0-9]{3}){2}|[6-9][0-9]{2}(?:[ .-][0-9]{2}){3})(?![0-9])",
 }
 
 #: What must occur in a text for a pattern to be tried.
-NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"[0-9]"}
+NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9](?:\.[0-9]| \.| ?[\[(])", "card": r"[0-9][ -]?[0-9]", "phone": r"[0-9]"}
 
 TRAIN_ROWS = 20_000       # labelled candidates that the trees learn from, about, at most
 CONTEXT = 24              # characters before a candidate whose words count
@@ -63,7 +65,7 @@ CUES = {"email": "mail|contact|write", "ip": "ip|host|server|address", "card": "
         "phone": "phone|tel|call|fax|mobile|whatsapp"}
 
 FEATURES = (["is_" + k for k in KINDS] + ["length", "digits", "groups", "brackets", "checksum", "wide_part",
-            "letter_before", "digit_before", "letter_after", "digit_after", "quote_before", "distinct_digits"]
+            "letter_before", "digit_before", "letter_after", "digit_after", "quote_before", "distinct_digits", "sentence_end", "plain_digits"]
             + ["cue_" + k for k in KINDS])
 
 
@@ -146,21 +148,25 @@ def _flag(condition: Column) -> Column:
 def _features(kind: str, c: Column, text: Column) -> Column:
     """(start, end, kind, label, features) of a candidate; label -1 is unknown."""
     start, value = c["start"], c["value"]
-    digits = _digits(value)
+    bare = F.regexp_replace(value, r"^(?:\+|00)", "") if kind == "phone" else value
+    digits = _digits(bare)
     begin = F.greatest(start - CONTEXT, F.lit(0))
     context = F.lower(F.substring(text, begin + 1, start - begin))
     before = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise("")
     after = F.substring(text, start + F.length(value) + 1, F.lit(1))
     checked = valid(kind, value) if kind == "card" else F.lit(False)
-    wide = ~valid("ip", value) if kind == "ip" else F.lit(False)
+    wide = ~valid("ip", F.regexp_replace(value, "[^0-9]+", ".")) if kind == "ip" else F.lit(False)
+    sentence = value.rlike(r"[^ ]\. ") if kind == "email" else F.lit(False)      # 'we met @ noon. Then'
+    plain = value.rlike("^[0-9]+$") if kind == "phone" else F.lit(False)
+    numbered = before.rlike(r"[=#:/_.,$-]")
     glued = before.rlike(r"[\p{L}0-9]") | after.rlike(r"[\p{L}0-9]")
-    failed = {"card": ~checked, "ip": wide, "phone": glued, "email": F.lit(False)}[kind]
+    failed = {"card": ~checked, "ip": wide, "phone": glued | (plain & numbered), "email": value.rlike(r"[^ ]\. ?[A-Z][a-z]") & sentence}[kind]
     numbers = ([1.0 if k == kind else 0.0 for k in KINDS]
-               + [F.length(value), F.length(digits), F.size(F.split(value, "[^0-9A-Za-z]+")),
+               + [F.length(bare), F.length(digits), F.size(F.split(bare, "[^0-9A-Za-z]+")),
                   _flag(value.contains("(") | value.contains("[")), _flag(checked), _flag(wide),
                   _flag(before.rlike(r"\p{L}")), _flag(before.rlike("[0-9]")), _flag(after.rlike(r"\p{L}")),
                   _flag(after.rlike("[0-9]")), _flag(before.rlike("[\"'=]")),
-                  F.size(F.array_distinct(F.split(digits, "")))]
+                  F.size(F.array_distinct(F.split(digits, ""))), _flag(sentence), _flag(plain)]
                + [_flag(context.rlike(CUES[k])) for k in KINDS])
     return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lit(KINDS.index(kind)).alias("kind"),
                     failed.alias("failed"),

@@ -78,6 +78,28 @@ def test_trees_add_spans_that_base_patterns_lose(make_docs):
     assert got[1001].spans == ""
 
 
+def test_each_kind_adds_spans_in_other_layouts(make_docs):
+    rows = []
+    for i in range(150):
+        d, e = f"{i:03d}", f"{i % 100:02d}"
+        rows.append((i, f"call +1 (555) {d}-{4000 + i} or +33 01 {e} 45 67 89, +44 20 7946 0{d}, +1 5557{d}{200 + i}, not the id x{d}-{d}-{4000 + i}; "
+                        f"server 10.{i}.0.7 not 999.{i}.0.7; write u{i}@h{i}.org or first.last{i}@mail.example.org, we met @ h{i}. Then"
+                        f" pay 4111 1111 1111 1111, not 4111 1111 1111 {4112 + i}; pay 5500000000000004 or not 550000000000{1005 + i}"))
+    new = ["(555)123-4567", "01 23 45 67 89", "030 1234567", "0044 20 7946 0958", "612 345 678"]
+    want = {1000 + i: ("phone", t) for i, t in enumerate(new)}
+    want |= {1100: ("ip", "10[.]1[.]0[.]9"), 1101: ("ip", "10 . 1 . 0 . 9"), 1102: ("email", "me (at) there.org"),
+             1103: ("ip", "10[dot]1[dot]0[dot]9"), 1104: ("card", "4111111111111111")}
+    before = {"phone": "call ", "ip": "server ", "email": "write ", "card": "pay "}
+    rows += [(i, before[k] + t + " now") for i, (k, t) in want.items()]
+    rows[-1] = (1104, "pay 12 4111111111111111 now")
+    rows += [(1200, "server 10[.]1[.]0[.]999 now"), (1201, "we met @ noon. Then")]
+    got = {r.doc_id: (r.spans, t) for r, t in ((r, dict(rows)[r.doc_id]) for r in pii.op1_query(make_docs(rows)).collect())}
+    for i, (kind, value) in want.items():
+        a = got[i][1].index(value)
+        assert f"{kind}:{a}:{a + len(value)}" in got[i][0].split(","), got[i]
+    assert got[1200][0] == "" and got[1201][0] == ""
+
+
 def test_a_frequent_kind_or_text_displaces_no_other(make_docs):
     """Bounded to 100 candidates: 6,000 addresses and 300 copies of a text leave the phone numbers theirs."""
     rows = [(i, " ".join(f"10.{i}.{j}.7 300.{i}.{j}.7" for j in range(100))) for i in range(30)]
