@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermart.llm import decontam, importance, langid, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity, warc
+from ordermart.llm import alignment, ann, decontam, importance, langid, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity, warc
 from ordermart.llm.common import read_table
 
 
@@ -54,9 +54,18 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.op11_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.op12_query(read_table(spark, sf_dir, "documents"))
+
+
+def op13_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.op13_query(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_pii, op2_packing, op3_sharding, op4_quality_rules,
-           op5_suffix_dedup, op6_warc, op7_decontamination, op8_toxicity, op9_simhash, op10_language_id, op11_importance]
+           op5_suffix_dedup, op6_warc, op7_decontamination, op8_toxicity, op9_simhash, op10_language_id, op11_importance, op12_alignment,
+           op13_ann]
     return {f.__name__: f for f in own}
 
 
