@@ -79,6 +79,24 @@ def feature_scaling_stats(train: DataFrame) -> DataFrame:
     return train.agg(*aggs).select(F.explode(rows).alias("s")).select("s.*")
 
 
+def gram_terms() -> list[tuple[str, str]]:
+    """The pairs of the Gram matrix: intercept (``one``), features and label, each with each."""
+    names = ["one", *FEATURE_COLUMNS, LABEL_COLUMN]
+    return [(a, b) for i, a in enumerate(names) for b in names[i:]]
+
+
+def gram_matrix(rows: DataFrame) -> DataFrame:
+    """(row_term, col_term, n, mean_product) of all ``gram_terms``, summed exactly in one scan: all
+    that the normal equations of the regression need, whatever the number of rows."""
+    def term(name):
+        return (F.lit(1) if name == "one" else F.col(name)).cast("decimal(18,4)")
+    pairs = gram_terms()
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(term(a) * term(b)).alias(f"{a}*{b}") for a, b in pairs])
+    out = F.array(*[F.struct(F.lit(a).alias("row_term"), F.lit(b).alias("col_term"), F.col("n"), round_half_up(
+        ratio(F.col(f"`{a}*{b}`"), F.col("n")), 2).alias("mean_product")) for a, b in pairs])
+    return sums.select(F.explode(out).alias("x")).select("x.*")
+
+
 @dataclass
 class ForecastRun:
     model: PipelineModel
@@ -127,8 +145,8 @@ def forecast_metrics(run: ForecastRun) -> DataFrame:
 def model_metrics_row(metrics: DataFrame) -> DataFrame:
     """Log row: rounding 4/4/6/4, JSON feature list, run timestamp."""
     return metrics.select(
-        F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"),
-        F.round("train_rmse", 4).alias("train_rmse"), F.col("n_train").cast("long"),
+        round_half_up(F.col("rmse"), 4).alias("rmse"), round_half_up(F.col("mae"), 4).alias("mae"),
+        round_half_up(F.col("r2"), 6).alias("r2"), round_half_up(F.col("train_rmse"), 4).alias("train_rmse"), F.col("n_train").cast("long"),
         F.col("n_test").cast("long"),
         F.to_json(F.array(*[F.lit(c) for c in FEATURE_COLUMNS])).alias("feature_json"),
         F.current_timestamp().alias("run_at"))
@@ -137,7 +155,7 @@ def model_metrics_row(metrics: DataFrame) -> DataFrame:
 def seller_predictions(run: ForecastRun) -> DataFrame:
     return (run.test_predictions.select(
                 "seller_id", "year_month", F.col(LABEL_COLUMN).alias("actual_revenue"),
-                F.round("predicted_revenue", 2).alias("predicted_revenue"))
+                round_half_up(F.col("predicted_revenue"), 2).alias("predicted_revenue"))
             .orderBy("seller_id", "year_month"))
 
 

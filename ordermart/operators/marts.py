@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.functions import (
-    money, money_avg, money_sum, month_from_ym, product_name, ratio, round_half_up, year_from_ym,
+    in_cents, money, money_avg, money_sum, month_from_ym, product_name, ratio, round_half_up, year_from_ym,
 )
 
 COMPLETED = "completed"
@@ -100,7 +100,7 @@ def seller_month_features(sales: DataFrame) -> DataFrame:
     done = F.col("status") == COMPLETED
     amount = F.when(done, money("total_amount"))
     return (sales.groupBy("seller_id", "year_month", "seller_type").agg(
-                F.sum(amount).cast("double").alias("monthly_revenue"),
+                in_cents(F.sum(amount)).alias("monthly_revenue"),
                 round_half_up(F.try_divide(F.sum(amount).cast("double"),
                                            F.count(amount).cast("double")), 2).alias("avg_order_value"),
                 _cancel_rate_expr().alias("cancel_rate"),
@@ -186,6 +186,11 @@ def seller_alerts(monthly: DataFrame, threshold_pct: float = 20.0,
                     F.col("lag1_revenue").alias("prev_revenue"), F.col("monthly_revenue").alias("curr_revenue"), "drop_pct"))
 
 
+def as_text(c, kind: str):
+    """A column as text that does not depend on the engine: numbers with four decimals."""
+    return c.cast("string") if kind == "text" else F.round(c.cast("decimal(28,10)"), 4).cast("decimal(28,4)").cast("string")
+
+
 # --- KPI summary ---------------------------------------------------------------
 
 KPI_NAMES = ("total_gmv", "total_orders", "unique_customers", "active_sellers",
@@ -204,18 +209,12 @@ def kpi_sums(sales: DataFrame) -> DataFrame:
     """Revenue, order and row counts from one scan of the fact (one row)."""
     done = F.col("status") == COMPLETED
     return sales.agg(
-        F.coalesce(F.sum(F.when(done, money("total_amount"))).cast("double"), F.lit(0.0)).alias("total_gmv"),
+        F.coalesce(in_cents(F.sum(F.when(done, money("total_amount")))), F.lit(0.0)).alias("total_gmv"),
         F.count(F.when(done, F.lit(1))).alias("total_orders"),
         F.count(F.lit(1)).alias("_all"),
         F.count(F.when(F.col("status") == CANCELLED, F.lit(1))).alias("_cancelled"))
 
 
-def kpi_summary(sales: DataFrame, approx_customers_rsd: float | None = None) -> DataFrame:
-    """The six KPIs: sums over the seller x month aggregate (its distinct columns are pruned), and the
-    distinct customers in an aggregation of their own, so no scan of the fact is expanded."""
-    return kpi_summary_from_cube(seller_month_cube(sales), sales, approx_customers_rsd)
-
-
 # --- shared seller x month aggregate -------------------------------------------------
 #
 # Category, month, seller-month and most KPI figures are sums over seller-months
@@ -245,7 +244,7 @@ def _active(cube: DataFrame) -> DataFrame:
 def seller_monthly_from_cube(cube: DataFrame) -> DataFrame:
     df = _active(cube).select(
         "seller_id", "year_month", "seller_type",
-        F.col("revenue").cast("double").alias("monthly_revenue"),
+        in_cents(F.col("revenue")).alias("monthly_revenue"),
         round_half_up(ratio(F.col("revenue").cast("double"), F.col("n_amounts")), 2).alias("avg_order_value"),
         round_half_up(ratio(F.col("n_cancelled"), F.col("n_orders")) * 100, 4).alias("cancel_rate"),
         "unique_customers", "active_days",
@@ -257,29 +256,88 @@ def seller_monthly_from_cube(cube: DataFrame) -> DataFrame:
 def revenue_by_category_from_cube(cube: DataFrame) -> DataFrame:
     from ordermart.functions import category_bucket
     return (_active(cube).groupBy(category_bucket(F.col("seller_id")).alias("category")).agg(
-        F.sum("revenue").cast("double").alias("total_revenue"),
+        in_cents(F.sum("revenue")).alias("total_revenue"),
         F.sum("n_completed").alias("order_count"),
         round_half_up(ratio(F.sum("revenue").cast("double"), F.sum("n_amounts")), 2).alias("avg_revenue")))
 
 
 def monthly_trend_from_cube(cube: DataFrame) -> DataFrame:
     totals = _active(cube).groupBy("year_month").agg(
-        F.sum("revenue").cast("double").alias("total_revenue"),
+        in_cents(F.sum("revenue")).alias("total_revenue"),
         F.sum("n_completed").alias("order_count"))
     return with_mom_growth(totals).select("year_month", "total_revenue", "order_count", "mom_growth_pct")
 
 
-def kpi_summary_from_cube(cube: DataFrame, sales: DataFrame, approx_customers_rsd: float | None = None) -> DataFrame:
-    """KPIs from the cube; only the global distinct-customer count scans the fact."""
+# --- exact distinct customers that add up ----------------------------------------------
+#
+# A distinct count of a month says nothing about the year.  Customers therefore get numbers once, and
+# each month keeps the set of its customers as bitmaps of 32,768 numbers each.  Sets of any span are
+# the OR of its months' bitmaps: exact, without the fact and without a shuffle of customers.  The sets
+# are kept by month, not by seller and month: a bitmap always takes 4 KB, and a seller's few customers
+# lie far apart.
+
+def numbered_customers(fact: DataFrame) -> DataFrame:
+    """(customer_id, number): each customer of the fact, NULL included, with a number of its own.  To be
+    written once: the numbers follow the partitions of the rows."""
+    return fact.select("customer_id").distinct().withColumn("number", F.monotonically_increasing_id())
+
+
+def customer_bitmaps(completed: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(year_month, bucket, bitmap, has_null): the customers of each month's completed orders.  A hot
+    customer reaches the join as one row a month."""
+    seen = completed.select("year_month", "customer_id").distinct()
+    same = seen["customer_id"].eqNullSafe(numbers["customer_id"])
+    numbered = seen.join(numbers, same).select("year_month", seen["customer_id"].isNull().alias("is_null"), "number")
+    return numbered.groupBy("year_month", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"), F.max("is_null").alias("has_null"))
+
+
+def customers_of(bitmaps: DataFrame, *by) -> DataFrame:
+    """Distinct customers (``n``, NULL counted as one) and whether NULL is among them, for each group of
+    months ``by``."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"), F.max("has_null").alias("has_null"))
+    names = [c for c in merged.columns if c not in ("bucket", "bitmap", "has_null")]
+    return merged.groupBy(*names).agg(F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias("n"),
+                                      F.coalesce(F.max("has_null"), F.lit(False)).alias("has_null"))
+
+
+def customers_by_span(bitmaps: DataFrame) -> DataFrame:
+    """(year, year_month or NULL for the whole year, n_customers): distinct customers, NULL not counted."""
+    year = F.substring("year_month", 1, 4).alias("year")
+    months = customers_of(bitmaps, year, "year_month")
+    years = customers_of(bitmaps, year).withColumn("year_month", F.lit(None).cast("string"))
+    return months.unionByName(years).select(
+        "year", "year_month", (F.col("n") - F.col("has_null").cast("int")).alias("n_customers"))
+
+
+def distinct_counts(cube: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """One row: unique_customers and active_sellers of completed orders."""
+    sellers = cube.agg(_distinct_with_null("seller_id", F.col("n_completed_rows") > 0).alias("active_sellers"))
+    both = customers_of(bitmaps).select(F.col("n").alias("unique_customers")).unionByName(
+        sellers.withColumn("active_sellers", F.coalesce("active_sellers", F.lit(0))), allowMissingColumns=True)
+    return both.agg(F.max("unique_customers").alias("unique_customers"), F.max("active_sellers").alias("active_sellers"))
+
+
+def kpi_summary(sales: DataFrame, approx_customers_rsd: float | None = None) -> DataFrame:
+    """The six KPIs straight from the fact (two scans); ``kpi_summary_from_cube`` reads stored tables."""
+    return kpi_summary_from_cube(seller_month_cube(sales), approx_customers(sales, approx_customers_rsd))
+
+
+def approx_customers(sales: DataFrame, rsd: float | None) -> DataFrame:
+    """Distinct customers (``n``) of completed orders by a sketch; exact without ``rsd``."""
+    done = F.col("status") == COMPLETED
+    return sales.agg(F.coalesce(_distinct_with_null("customer_id", done, rsd), F.lit(0)).alias("n"))
+
+
+def kpi_summary_from_cube(cube: DataFrame, customers: DataFrame) -> DataFrame:
+    """The six KPIs from the seller x month aggregate and the number of distinct customers (``n``)."""
     active = F.col("n_completed_rows") > 0
     sums = cube.agg(
-        F.coalesce(F.sum(F.when(active, F.col("revenue"))).cast("double"), F.lit(0.0)).alias("total_gmv"),
+        F.coalesce(in_cents(F.sum(F.when(active, F.col("revenue")))), F.lit(0.0)).alias("total_gmv"),
         F.coalesce(F.sum("n_completed_rows"), F.lit(0)).alias("total_orders"),
         _distinct_with_null("seller_id", active).alias("active_sellers"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("_all"),
         F.coalesce(F.sum("n_cancelled"), F.lit(0)).alias("_cancelled"))
-    done = F.col("status") == COMPLETED
-    customers = sales.agg(_distinct_with_null("customer_id", done, approx_customers_rsd).alias("unique_customers"))
     values = sums.select(
         "total_gmv", "total_orders", "active_sellers",
         F.when(F.col("total_orders") > 0, round_half_up(ratio(F.col("total_gmv"), F.col("total_orders")), 2))
@@ -289,6 +347,5 @@ def kpi_summary_from_cube(cube: DataFrame, sales: DataFrame, approx_customers_rs
     long = values.select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("metric_name"), F.col(k).cast("double").alias("metric_value"))
         for k in KPI_NAMES if k != "unique_customers"])).alias("m")).select("m.*")
-    cust = customers.select(F.lit("unique_customers").alias("metric_name"),
-                            F.col("unique_customers").cast("double").alias("metric_value"))
-    return long.unionByName(cust)
+    return long.unionByName(customers.select(F.lit("unique_customers").alias("metric_name"),
+                                             F.col("n").cast("double").alias("metric_value")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.functions import money, round_half_up
+from ordermart.functions import money, money_sum, round_half_up
 from ordermart.operators.joins import broadcast_if_small
 from ordermart.operators.marts import KPI_NAMES
 
@@ -27,7 +27,7 @@ def kpi_fallback(revenue_by_category: DataFrame) -> DataFrame:
     reference's fallback computes it; seller/customer counts are unknown there (0).
     """
     return revenue_by_category.agg(
-        F.coalesce(F.sum(money("total_revenue")).cast("double"), F.lit(0.0)).alias("total_gmv"),
+        F.coalesce(money_sum("total_revenue"), F.lit(0.0)).alias("total_gmv"),
         F.coalesce(F.sum("order_count"), F.lit(0)).cast("double").alias("total_orders"),
         F.lit(0.0).alias("active_sellers"),
         F.lit(0.0).alias("unique_customers"),
@@ -38,7 +38,7 @@ def kpi_fallback(revenue_by_category: DataFrame) -> DataFrame:
 def yearly_trend(monthly_trend: DataFrame) -> DataFrame:
     """Monthly revenue stacked per calendar year."""
     return (monthly_trend.groupBy(F.substring("year_month", 1, 4).alias("year"))
-            .agg(F.sum(money("total_revenue")).cast("double").alias("total_revenue"),
+            .agg(money_sum("total_revenue").alias("total_revenue"),
                  F.sum("order_count").alias("order_count"),
                  F.count(F.lit(1)).alias("months")))
 
@@ -64,6 +64,11 @@ def ranked_products_view(top_products: DataFrame) -> DataFrame:
     return top_products.orderBy("rank")
 
 
+def products_by_count(top_products: DataFrame) -> DataFrame:
+    """The top products by rising order count (ties: product id), as the bar view shows them."""
+    return top_products.orderBy("order_count", "product_id").select("product_name", "order_count", "rank")
+
+
 def seller_pick_lists(seller_monthly: DataFrame) -> DataFrame:
     """Distinct (tier, seller) pairs for the selectors, sorted."""
     return (seller_monthly.select("seller_type", "seller_id").distinct()

@@ -27,12 +27,13 @@ from ordermart.operators import forecast as M
 from ordermart.operators import marts as A
 from ordermart.operators import text_tasks as T
 from ordermart.operators import views as V
-from ordermart.operators.quantiles import iqr_bounds
+from ordermart.operators.quantiles import iqr_bounds, rank_errors
 from ordermart.plans import oracle as O
-from ordermart.plans.analytics import MART_NAMES, analytics
+from ordermart.plans.analytics import analytics
 from ordermart.plans.clean import pipeline
 from ordermart.plans.sql_tasks import SQL_TASKS, register_view, run_sql_task
 from ordermart.session import committed, fingerprint, path_exists, scratch_path
+from ordermart.sources import feeds
 from ordermart.sources import tables as TB
 from ordermart.sources import text as TX
 
@@ -174,13 +175,21 @@ def iqr_bounds_q(spark, sf_dir):
     return _bounds_frame(spark, _p(spark, sf_dir).bounds())
 
 
-@register("iqr_bounds_approx")
+@register("iqr_bounds_approx", W(" UNION ALL ".join(
+    f"SELECT '{m}' AS method, COUNT(*) AS n_values, TRUE AS q1_within, TRUE AS q3_within FROM valid WHERE total_amount > 0"
+    for m in ("approx", "kll"))))
 def iqr_bounds_approx(spark, sf_dir):
-    """The reference's approxQuantile(relativeError=0.01) variant: engine specific -> rows only."""
+    """Quartiles by the reference's approxQuantile(0.01) and by a KLL sketch: whether the true ranks of
+    the answers, counted over all values, lie within 1 % of the wanted ones (A9b)."""
     p = _p(spark, sf_dir)
-    c = p.params.clean
-    return _bounds_frame(spark, iqr_bounds(p.valid_table(), "total_amount", c.iqr_factor,
-                                           "approx", c.approx_relative_error))
+    c, amount = p.params.clean, "total_amount"
+    out = []
+    for method in ("approx", "kll"):
+        b = iqr_bounds(p.valid_table(), amount, c.iqr_factor, method, c.approx_relative_error)
+        errors = rank_errors(p.valid_table().where(F.col(amount) > 0), amount, {0.25: b["q1"], 0.75: b["q3"]})
+        out.append(errors.select(F.lit(method).alias("method"), F.col("n").alias("n_values"),
+                                 (F.col("error0") <= 0.01).alias("q1_within"), (F.col("error1") <= 0.01).alias("q3_within")))
+    return _union_all(out)
 
 
 @register("outlier_filter", W("SELECT * FROM clean"))
@@ -207,12 +216,22 @@ def derive_calendar(spark, sf_dir):
         ("dedup", "deduped"), ("window_filter", "valid"), ("outliers", "clean"),
         ("enriched", "enriched")))))
 def stage_row_counts(spark, sf_dir):
-    """Rows after each cleaning stage, counted on what each stage itself returns."""
+    """Rows after each cleaning stage, all from one pass over the feeds."""
+    return _p(spark, sf_dir).funnel()
+
+
+@register("malformed_records", W(f"""SELECT src AS data_source, COUNT(CASE WHEN cp <> 2 THEN 1 END) AS n_sound,
+    COUNT(CASE WHEN cp = 2 THEN 1 END) AS n_malformed, CAST(0 AS BIGINT) AS n_without_id,
+    COUNT(CASE WHEN cp = 2 THEN 1 END) AS n_quarantined
+    FROM (SELECT src, cp FROM copies UNION ALL SELECT src, 2 FROM b WHERE k % 250 = {feeds.BROKEN_TAG}) t GROUP BY src"""))
+def malformed_records(spark, sf_dir):
+    """Sound and broken lines of each feed, and the broken ones as the quarantine holds them."""
     p = _p(spark, sf_dir)
-    stages = [("parsed_app", p.parsed_app()), ("parsed_web", p.parsed_web()), ("union", p.combined()),
-              ("dedup", p.deduped()), ("window_filter", p.valid()), ("outliers", p.clean()), ("enriched", p.enriched())]
-    return _union_all([df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(s).alias("stage"), "n_rows")
-                       for s, df in stages])
+    path = scratch_path(spark, "quarantine", fingerprint(p.feeds_root))
+    if not committed(spark, path):
+        TX.write_jsonl(C.malformed_lines(p.app_lines(), p.web_lines()), path)
+    kept = TX.read_jsonl(spark, path, schemas.MALFORMED).groupBy("data_source").agg(F.count("line").alias("n_quarantined"))
+    return C.feed_quality(p.app_lines(), p.web_lines()).join(F.broadcast(kept), "data_source", "left").fillna(0, ["n_quarantined"])
 
 
 # ------------------------------------------------------------------ sources / sinks
@@ -249,9 +268,17 @@ def jsonl_roundtrip(spark, sf_dir):
     return TX.read_jsonl(spark, _export_path(spark, sf_dir), schemas.PROCESSED)
 
 
+def _task_lines(spark, sf_dir) -> DataFrame:
+    """The lines that the line-oriented tasks read: the export, with records of an older layout that
+    lack ``year_month`` and with broken lines in between."""
+    path = scratch_path(spark, "task_lines", fingerprint(_p(spark, sf_dir).processed_path))
+    if not committed(spark, path):
+        TX.write_lines(T.older_layout(_p(spark, sf_dir).processed()), path)
+    return TX.read_jsonl(spark, path, T.EXPORT_FIELDS, mode="DROPMALFORMED")
+
+
 def _guarded(spark, sf_dir) -> DataFrame:
-    lines = TX.read_jsonl(spark, _export_path(spark, sf_dir), T.EXPORT_FIELDS, mode="DROPMALFORMED")
-    return T.guarded_records(lines)
+    return T.guarded_records(_task_lines(spark, sf_dir))
 
 
 @register("mr_guard_filter", W("""SELECT order_id, seller_id, status, total_amount, year_month AS month_key
@@ -279,12 +306,11 @@ def mr_month_sum_count(spark, sf_dir):
 
 
 @register("month_key_fallback", W("""SELECT year_month AS month_key, COUNT(*) AS n_records,
-    CAST(0 AS BIGINT) AS n_from_order_date FROM processed
+    COUNT(CASE WHEN CAST(order_id AS BIGINT) % 9 = 4 THEN 1 END) AS n_from_order_date FROM processed
     WHERE status = 'completed' AND total_amount > 0 GROUP BY year_month"""))
 def month_key_fallback(spark, sf_dir):
     """Month key per guarded record: ``year_month``, else the first 7 characters of ``order_date``."""
-    lines = TX.read_jsonl(spark, _export_path(spark, sf_dir), T.EXPORT_FIELDS, mode="DROPMALFORMED")
-    return (T.month_key_sources(lines).groupBy("month_key")
+    return (T.month_key_sources(_task_lines(spark, sf_dir)).groupBy("month_key")
             .agg(F.count(F.lit(1)).alias("n_records"),
                  F.count(F.when(F.col("from_order_date"), 1)).alias("n_from_order_date")))
 
@@ -306,6 +332,12 @@ def mr_ranked_products(spark, sf_dir):
     return T.ranked_products(T.product_count(_guarded(spark, sf_dir)))
 
 
+@register("mr_ranked_products_bounded", ORACLES["mr_ranked_products"])
+def mr_ranked_products_bounded(spark, sf_dir):
+    """The same top-10, moving only the counts that can be among the best."""
+    return T.ranked_products_bounded(_guarded(spark, sf_dir))
+
+
 _TSV_SCHEMA = StructType([StructField("year_month", StringType()),
                           StructField("total_revenue", DoubleType()),
                           StructField("order_count", LongType())])
@@ -397,6 +429,19 @@ def seller_monthly(spark, sf_dir):
     return _a(spark, sf_dir).seller_monthly()
 
 
+@register("seller_monthly_bucketed", WM("SELECT * FROM seller_monthly"))
+def seller_monthly_bucketed(spark, sf_dir):
+    """The same features over the fact bucketed by seller: no exchange above the scan."""
+    return A.seller_monthly(_a(spark, sf_dir).sales_by_seller())
+
+
+@register("enrich_sellers_salted", W("SELECT * FROM enriched"))
+def enrich_sellers_salted(spark, sf_dir):
+    """Enrichment above the broadcast bound: a shuffle join that deals out the orders of hot sellers."""
+    p = _p(spark, sf_dir)
+    return C.enrich_sellers(p.clean(), p.sellers(), dim_rows=N_SELLERS, max_broadcast_rows=0)
+
+
 @register("seller_lags", WM("""SELECT seller_id, year_month, monthly_revenue, lag1_revenue, lag2_revenue,
     lag3_revenue FROM seller_monthly"""))
 def seller_lags(spark, sf_dir):
@@ -441,7 +486,7 @@ def alert_threshold(spark, sf_dir):
 
 @register("kpi_summary", WM("SELECT * FROM kpi_summary"))
 def kpi_summary(spark, sf_dir):
-    """Six KPI rows from one global aggregation (A10)."""
+    """Six KPI rows from the stored seller-month aggregate and customer bitmaps; no scan of the fact (A10)."""
     return _a(spark, sf_dir).kpi_summary()
 
 
@@ -458,35 +503,63 @@ def kpi_counts(spark, sf_dir):
 
 @register("kpi_distinct", WM("SELECT unique_customers, active_sellers FROM kpi"))
 def kpi_distinct(spark, sf_dir):
-    """Each distinct count is an aggregation of its own, so the fact is never expanded."""
-    long = _a(spark, sf_dir).kpi_summary()
+    """Distinct customers from the bitmaps, distinct sellers from the seller-month aggregate."""
+    a = _a(spark, sf_dir)
+    return A.distinct_counts(a.cube(), a.customer_bitmaps())
+
 
-    def value(name):
-        return F.max(F.when(F.col("metric_name") == name, F.col("metric_value"))).cast("long").alias(name)
+@register("customers_by_span", WM("""SELECT substr(year_month, 1, 4) AS year, CASE WHEN grouping(year_month) = 1 THEN NULL
+    ELSE year_month END AS year_month, COUNT(DISTINCT customer_id) AS n_customers FROM completed
+    GROUP BY GROUPING SETS ((substr(year_month, 1, 4), year_month), (substr(year_month, 1, 4)))"""))
+def customers_by_span(spark, sf_dir):
+    """Distinct customers of each month and of each year, exactly, from the stored monthly bitmaps."""
+    return A.customers_by_span(_a(spark, sf_dir).customer_bitmaps())
 
-    return long.agg(value("unique_customers"), value("active_sellers"))
+
+def _content(columns, name: str, key: str) -> str:
+    """SQL rows (mart, row_key, field, value) of a table, one a field, all as text."""
+    fields = ", ".join(f"({O.q(c)}, {O.text(c, kind)})" for c, kind in columns)
+    return (f"SELECT {O.q(name)} AS mart, {key} AS row_key, f.field AS field, f.val AS val FROM {name}, "
+            f"LATERAL (VALUES {fields}) f(field, val)")
+
+
+def _content_rows(df: DataFrame, name: str, columns, key) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), A.as_text(F.col(c), kind).alias("val")) for c, kind in columns])
+    return df.select(F.lit(name).alias("mart"), key.alias("row_key"), F.explode(pairs).alias("x")).select("mart", "row_key", "x.*")
+
+
+#: Every mart's columns as they are compared, and the columns that name a row.
+MART_FIELDS = {
+    "seller_monthly": ([("seller_type", "text"), *[(c, "number") for c in A.SELLER_MONTHLY_COLUMNS[3:]]], ("seller_id", "year_month")),
+    "revenue_by_category": ([(c, "number") for c in ("total_revenue", "order_count", "avg_revenue")], ("category",)),
+    "monthly_trend": ([(c, "number") for c in ("total_revenue", "order_count", "mom_growth_pct")], ("year_month",)),
+    "top_products": ([("product_name", "text"), ("order_count", "number"), ("total_revenue", "number"), ("rank", "number")], ("product_id",)),
+    "kpi_summary": ([("metric_value", "number")], ("metric_name",)),
+    "seller_alerts": ([("alert_type", "text"), *[(c, "number") for c in ("prev_revenue", "curr_revenue", "drop_pct")]],
+                      ("seller_id", "year_month")),
+}
 
 
 @register("build_marts", WM(" UNION ALL ".join(
-    f"SELECT '{n}' AS mart, COUNT(*) AS n_rows FROM {n}" for n in MART_NAMES)))
+    _content(columns, n, " || '/' || ".join(key)) for n, (columns, key) in MART_FIELDS.items())))
 def build_marts(spark, sf_dir):
-    """Write the six step-2 marts (Parquet) and report their row counts from the files."""
-    a = _a(spark, sf_dir)
-    paths = a.build()
-    return _union_all([spark.read.parquet(paths[n]).agg(F.count(F.lit(1)).alias("n_rows"))
-                       .select(F.lit(n).alias("mart"), "n_rows") for n in MART_NAMES])
+    """Write the six step-2 marts (Parquet) and return their whole content as read from the files, a
+    row for each field."""
+    paths = _a(spark, sf_dir).build()
+    return _union_all([_content_rows(spark.read.parquet(paths[n]), n, columns, F.concat_ws("/", *key))
+                       for n, (columns, key) in MART_FIELDS.items()])
+
+
+def _serving_path(spark, sf_dir, name: str) -> str:
+    return scratch_path(spark, "serving", fingerprint(_a(spark, sf_dir).marts_root), name)
 
 
 @register("mart_truncate_insert", WM("SELECT * FROM revenue_by_category"))
 def mart_truncate_insert(spark, sf_dir):
-    """TRUNCATE + INSERT twice into a snapshot table: only the last content is visible."""
-    a = _a(spark, sf_dir)
-    table = TB.SnapshotTable(spark, scratch_path(spark, "serving", fingerprint(a.marts_root), "revenue_by_category"),
-                             schemas.REVENUE_BY_CATEGORY)
-    table.replace(a.mart("revenue_by_category").limit(0))
-    out = table.replace(a.mart("revenue_by_category"))
-    table.vacuum(keep=1)
-    return out
+    """TRUNCATE + INSERT twice into a serving table: only the last content is visible."""
+    mart, path = _a(spark, sf_dir).mart("revenue_by_category"), _serving_path(spark, sf_dir, "revenue_by_category")
+    TB.replace_table(mart.limit(0), path)
+    return TB.replace_table(mart, path, ["category"])
 
 
 _UPSERT_FROM = 1999
@@ -501,24 +574,22 @@ _UPSERT_FROM = 1999
     + [("old_sm", "SELECT * FROM hist_monthly"),
        ("new_sm", f"SELECT * FROM seller_monthly WHERE year >= {_UPSERT_FROM}")]))
 def mart_upsert(spark, sf_dir):
-    """Monthly refresh: history snapshot (data up to 1999), then the recomputed 1999-2000
-    seller-months upserted on (seller_id, year_month)."""
-    a = _a(spark, sf_dir)
-    table = TB.SnapshotTable(spark, scratch_path(spark, "serving", fingerprint(a.marts_root), "seller_monthly"))
+    """Monthly refresh: history (data up to 1999), then the recomputed 1999-2000 seller-months upserted
+    on (seller_id, year_month); earlier months are neither read nor rewritten (S10)."""
+    a, path = _a(spark, sf_dir), _serving_path(spark, sf_dir, "seller_monthly")
     history = A.seller_monthly(a.sales().filter(F.col("year") <= _UPSERT_FROM))
-    table.replace(history)
-    out = table.upsert(a.mart("seller_monthly").filter(F.col("year") >= _UPSERT_FROM), ["seller_id", "year_month"])
-    table.vacuum(keep=1)
-    return out
+    TB.replace_table(history, path, partition_by="year_month")
+    return TB.upsert_table(a.mart("seller_monthly").filter(F.col("year") >= _UPSERT_FROM), path,
+                           ["seller_id", "year_month"], "year_month")
 
 
 @register("csv_roundtrip", WM("SELECT * FROM seller_alerts"))
 def csv_roundtrip(spark, sf_dir):
-    """Small mart as one CSV file with header, read back with its schema."""
+    """The alerts as CSV files with header, written in parallel, read back with their schema."""
     a = _a(spark, sf_dir)
     path = scratch_path(spark, "csv", fingerprint(a.marts_root), "seller_alerts")
     if not committed(spark, path):
-        TX.write_csv(a.mart("seller_alerts"), path, header=True, single_file=True)
+        TX.write_csv(a.mart("seller_alerts"), path, header=True)
     return TX.read_csv(spark, path, schemas.SELLER_ALERTS, header=True)
 
 
@@ -538,13 +609,19 @@ for _task, _sql in SQL_TASKS.items():
     register(_task, W(_sql.format(view="sales")))(_make(_task))
 
 
-@register("spark_sql_tasks", W(" UNION ALL ".join(
-    f"SELECT '{t}' AS task, COUNT(*) AS result_rows FROM ({s.format(view='sales')}) x"
-    for t, s in SQL_TASKS.items())))
+_TASK_FIELDS = {"sql_revenue_by_category": ("category", ("total_revenue", "items")),
+                "sql_monthly_orders": ("year_month", ("orders", "total_revenue")),
+                "sql_top_products": ("product_id", ("total_revenue", "order_count"))}
+
+
+@register("spark_sql_tasks", O.with_chain(" UNION ALL ".join(
+    _content([(c, "number") for c in columns], t, key).replace("AS mart", "AS task")
+    for t, (key, columns) in _TASK_FIELDS.items()), [(t, s.format(view="sales")) for t, s in SQL_TASKS.items()]))
 def spark_sql_tasks(spark, sf_dir):
+    """The whole results of the three SQL-text tasks, a row for each field."""
     view = _sales_view(spark, sf_dir)
-    return _union_all([run_sql_task(spark, t, view).agg(F.count(F.lit(1)).alias("result_rows"))
-                       .select(F.lit(t).alias("task"), "result_rows") for t in SQL_TASKS])
+    return _union_all([_content_rows(run_sql_task(spark, t, view), t, [(c, "number") for c in columns], F.col(key))
+                       for t, (key, columns) in _TASK_FIELDS.items()]).withColumnRenamed("mart", "task")
 
 
 # ------------------------------------------------------------------ serving views
@@ -561,7 +638,7 @@ def kpi_cards(spark, sf_dir):
 @register("kpi_fallback", WM(f"""SELECT COALESCE({O.msum('total_revenue')}, 0.0) AS total_gmv,
     CAST(COALESCE(SUM(order_count), 0) AS DOUBLE) AS total_orders, CAST(0.0 AS DOUBLE) AS active_sellers,
     CAST(0.0 AS DOUBLE) AS unique_customers,
-    COALESCE(CAST(SUM(CAST(avg_revenue AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(avg_revenue) AS DOUBLE), 0.0)
+    COALESCE(CAST(SUM(CAST(avg_revenue AS DECIMAL(28,6))) AS DOUBLE) / CAST(COUNT(avg_revenue) AS DOUBLE), 0.0)
       AS avg_order_value FROM revenue_by_category"""))
 def kpi_fallback(spark, sf_dir):
     """KPIs recomputed from the category mart when the KPI mart is missing."""
@@ -592,6 +669,12 @@ def ranked_products_view(spark, sf_dir):
     return V.ranked_products_view(_a(spark, sf_dir).mart("top_products"))
 
 
+@register("products_by_count", WM("SELECT product_name, order_count, rank FROM top_products ORDER BY order_count, product_id"))
+def products_by_count(spark, sf_dir):
+    """The best products by rising count, as horizontal bars are drawn."""
+    return V.products_by_count(_a(spark, sf_dir).mart("top_products"))
+
+
 @register("seller_pick_lists", WM("SELECT DISTINCT seller_type, seller_id FROM seller_monthly"))
 def seller_pick_lists(spark, sf_dir):
     return V.seller_pick_lists(_a(spark, sf_dir).mart("seller_monthly"))
@@ -639,14 +722,8 @@ def sales_overview(spark, sf_dir):
 
 # ------------------------------------------------------------------------- step 3
 
-_FEATURE_SQL = """SELECT *, CAST(CASE seller_type WHEN 'high_performer' THEN 2.0 WHEN 'average_seller' THEN 1.0
-    ELSE 0.0 END AS DOUBLE) AS seller_type_enc FROM (SELECT * REPLACE (
-      COALESCE(lag1_revenue, 0.0) AS lag1_revenue, COALESCE(lag2_revenue, 0.0) AS lag2_revenue,
-      COALESCE(lag3_revenue, 0.0) AS lag3_revenue, COALESCE(revenue_ma3, 0.0) AS revenue_ma3,
-      COALESCE(growth_rate, 0.0) AS growth_rate, COALESCE(cancel_rate, 0.0) AS cancel_rate)
-    FROM seller_monthly) s WHERE next_month_revenue IS NOT NULL AND month IS NOT NULL
-      AND monthly_revenue IS NOT NULL AND avg_order_value IS NOT NULL AND unique_customers IS NOT NULL
-      AND active_days IS NOT NULL"""
+_FEATURE_SQL = O.FEATURE_SQL
+WF = O.with_forecast
 
 
 @register("feature_frame", WM("SELECT * FROM features", [("features", _FEATURE_SQL)]))
@@ -732,40 +809,85 @@ def feature_scaling_stats(spark, sf_dir):
     return M.feature_scaling_stats(train)
 
 
-@register("train_forecast")
+@register("gram_matrix", WF(" UNION ALL ".join(
+    f"SELECT '{a}' AS row_term, '{b}' AS col_term, COUNT(*) AS n, " + O.rnd(
+        f"CAST(SUM(CAST({O.gram_term(a)} AS DECIMAL(19,4)) * CAST({O.gram_term(b)} AS DECIMAL(19,4))) AS DOUBLE) / COUNT(*)", 2)
+    + " AS mean_product FROM train" for a, b in M.gram_terms())))
+def gram_matrix(spark, sf_dir):
+    """Mean products of all pairs of features, label and intercept over the training years, one scan."""
+    train, _ = M.temporal_split(_a(spark, sf_dir).features(), _SPLIT)
+    return M.gram_matrix(train)
+
+
+def _coefficients(spark, sf_dir) -> DataFrame:
+    return spark.createDataFrame(M.coefficients(_a(spark, sf_dir).forecast().model), "feature string, coefficient double")
+
+
+@register("train_forecast", WF(f"""SELECT feature, coefficient FROM importance
+    UNION ALL SELECT 'intercept', {O.rnd(f'mean_{len(FEATURE_COLUMNS)}', 4)} FROM model"""))
 def train_forecast(spark, sf_dir):
-    """Fit the ridge regression; one row per coefficient plus the intercept."""
+    """Fit the ridge regression; one row per coefficient plus the intercept, to 4 decimals (M4)."""
     run = _a(spark, sf_dir).forecast()
-    lr = run.model.stages[-1]
-    rows = M.coefficients(run.model) + [("intercept", float(lr.intercept))]
-    return spark.createDataFrame(rows, "feature string, coefficient double")
+    rows = [("intercept", float(run.model.stages[-1].intercept))]
+    both = _coefficients(spark, sf_dir).unionByName(spark.createDataFrame(rows, "feature string, coefficient double"))
+    return both.withColumn("coefficient", round_half_up(F.col("coefficient"), 4))
 
 
-@register("forecast_metrics")
+@register("forecast_metrics", WF("SELECT * FROM metrics"))
 def forecast_metrics(spark, sf_dir):
-    return M.forecast_metrics(_a(spark, sf_dir).forecast())
+    """RMSE, MAE, R2 of the test year and RMSE of the training years, as they are logged (M5)."""
+    return M.model_metrics_row(M.forecast_metrics(_a(spark, sf_dir).forecast())).drop("feature_json", "run_at")
 
 
-@register("seller_predictions")
+@register("seller_predictions", WF("SELECT * FROM predictions"))
 def seller_predictions(spark, sf_dir):
     return _a(spark, sf_dir).predictions()
 
 
-@register("predictions_sorted")
+@register("predictions_sorted", WF("SELECT * FROM predictions ORDER BY seller_id, year_month"))
 def predictions_sorted(spark, sf_dir):
     return _a(spark, sf_dir).predictions().orderBy("seller_id", "year_month")
 
 
+@register("model_roundtrip", WF("SELECT seller_id, year_month, predicted_revenue, TRUE AS as_fitted FROM predictions"))
+def model_roundtrip(spark, sf_dir):
+    """Predictions of the saved and reloaded model, and whether the fitted one gives the same."""
+    a = _a(spark, sf_dir)
+    run = a.forecast()
+    path = scratch_path(spark, "models", fingerprint(a.marts_root, "forecast"))
+    if not path_exists(spark, path):
+        M.save_model(run.model, path)
+    again = run.model.transform(run.test).withColumnRenamed("predicted_revenue", "fitted").drop("features_raw", "features")
+    loaded = M.load_model(path).transform(again)
+    return loaded.select("seller_id", "year_month", round_half_up(F.col("predicted_revenue"), 2).alias("predicted_revenue"),
+                         (F.col("predicted_revenue") == F.col("fitted")).alias("as_fitted"))
+
+
 def _metrics_log(spark, sf_dir) -> str:
     return scratch_path(spark, "logs", fingerprint(_a(spark, sf_dir).marts_root), "model_metrics")
 
 
-@register("append_model_metrics")
-def append_model_metrics(spark, sf_dir):
-    """Append this run's metrics row to the model_metrics log and return it as stored there."""
+_STORED = WF(f"SELECT m.*, '{_FEATURE_JSON}' AS feature_json, TRUE AS is_latest FROM metrics m")
+
+
+def _append_metrics(spark, sf_dir) -> str:
     path = _metrics_log(spark, sf_dir)
     M.model_metrics_row(M.forecast_metrics(_a(spark, sf_dir).forecast())).write.mode("append").parquet(path)
-    return V.latest_model_metrics(spark.read.parquet(path))
+    return path
+
+
+def _latest(spark, path) -> DataFrame:
+    """The newest stored row, and that its time is the latest of the log."""
+    log = spark.read.parquet(path)
+    newest = log.agg(F.max("run_at").alias("last"))
+    return (V.latest_model_metrics(log).join(F.broadcast(newest), F.col("run_at") == F.col("last"), "left")
+            .withColumn("is_latest", F.col("last").isNotNull()).drop("run_at", "last"))
+
+
+@register("append_model_metrics", _STORED)
+def append_model_metrics(spark, sf_dir):
+    """Append this run's metrics row to the model_metrics log and return it as stored there."""
+    return _latest(spark, _append_metrics(spark, sf_dir))
 
 
 @register("model_metrics_counts", WM(f"""SELECT COUNT(CASE WHEN year < {_SPLIT} THEN 1 END) AS n_train,
@@ -773,7 +895,7 @@ def append_model_metrics(spark, sf_dir):
     [("features", _FEATURE_SQL)]))
 def model_metrics_counts(spark, sf_dir):
     """The parts of the stored metrics row that SQL can recompute, read back from the log."""
-    return append_model_metrics(spark, sf_dir).select("n_train", "n_test", "feature_json")
+    return _latest(spark, _append_metrics(spark, sf_dir)).select("n_train", "n_test", "feature_json")
 
 
 @register("prediction_actuals", WM(f"""SELECT seller_id, year_month, next_month_revenue AS actual_revenue,
@@ -796,37 +918,59 @@ def predictions_by_tier(spark, sf_dir):
         "seller_type").agg(F.count(F.lit(1)).alias("n_predictions"), F.count_distinct("seller_id").alias("n_sellers"))
 
 
-@register("latest_model_metrics")
+@register("latest_model_metrics", _STORED)
 def latest_model_metrics(spark, sf_dir):
+    """The newest row of the model_metrics log."""
     path = _metrics_log(spark, sf_dir)
     if not path_exists(spark, path):
-        append_model_metrics(spark, sf_dir)
-    return V.latest_model_metrics(spark.read.parquet(path))
+        _append_metrics(spark, sf_dir)
+    return _latest(spark, path)
 
 
-@register("feature_importance")
+@register("feature_importance", WF("SELECT * FROM importance"))
 def feature_importance(spark, sf_dir):
-    """Standardised coefficients ranked by magnitude."""
-    coefs = spark.createDataFrame(M.coefficients(_a(spark, sf_dir).forecast().model),
-                                  "feature string, coefficient double")
-    return coefs.withColumn("abs_rank", F.row_number().over(
+    """Standardised coefficients ranked by magnitude (M7)."""
+    ranked = _coefficients(spark, sf_dir).withColumn("abs_rank", F.row_number().over(
         Window.orderBy(F.abs("coefficient").desc(), "feature")))
+    return ranked.withColumn("coefficient", round_half_up(F.col("coefficient"), 4))
 
 
-@register("residual_pct")
+@register("residual_pct", WF("SELECT * FROM residuals"))
 def residual_pct(spark, sf_dir):
+    """Residual of each prediction in % of the actual revenue (M8)."""
     return M.residual_pct(_a(spark, sf_dir).predictions())
 
 
-@register("predictions_for_sellers")
-def predictions_for_sellers(spark, sf_dir):
-    """Default dashboard selection: the first three sellers, tier attached from the dimension."""
+def _chosen(spark, sf_dir, seller_ids: list[str] | None = None, tier: str | None = None) -> DataFrame:
     preds = _a(spark, sf_dir).predictions()
-    chosen = preds.join(V.default_sellers(preds), "seller_id", "left_semi")
-    return V.predictions_for_sellers(chosen, C.seller_dim(spark, N_SELLERS), dim_rows=N_SELLERS)
+    if seller_ids is None and tier is None:
+        preds = preds.join(V.default_sellers(preds), "seller_id", "left_semi")
+    return V.predictions_for_sellers(preds, C.seller_dim(spark, N_SELLERS), tier, seller_ids, dim_rows=N_SELLERS)
+
+
+@register("predictions_for_sellers", WF("SELECT seller_id, year_month, actual_revenue, predicted_revenue, seller_type FROM chosen"))
+def predictions_for_sellers(spark, sf_dir):
+    """Default dashboard selection: the first three sellers, tier attached from the dimension (P25)."""
+    return _chosen(spark, sf_dir)
+
+
+_PICKED = ("S003", "S061", "S120", "S161", "S200")
+
+
+@register("predictions_of_chosen_sellers", WF(f"""SELECT p.*, s.seller_type FROM predictions p
+    LEFT JOIN sellers s ON p.seller_id = s.seller_id WHERE p.seller_id IN {_PICKED} AND s.seller_type = 'average_seller'"""))
+def predictions_of_chosen_sellers(spark, sf_dir):
+    """A choice of five sellers and of one tier among them (P25)."""
+    return _chosen(spark, sf_dir, list(_PICKED), "average_seller")
 
 
-@register("forecast_view")
+@register("forecast_view", WF("""SELECT 'metric' AS section, name, CAST(NULL AS VARCHAR) AS seller_id,
+    CAST(NULL AS VARCHAR) AS year_month, CAST(NULL AS VARCHAR) AS seller_type, value, CAST(NULL AS DOUBLE) AS actual_revenue,
+    CAST(NULL AS DOUBLE) AS residual_pct FROM (SELECT 'rmse' AS name, rmse AS value FROM metrics UNION ALL
+      SELECT 'mae', mae FROM metrics UNION ALL SELECT 'r2', r2 FROM metrics UNION ALL SELECT 'train_rmse', train_rmse FROM metrics) m
+    UNION ALL SELECT 'importance', feature, NULL, NULL, NULL, coefficient, NULL, NULL FROM importance
+    UNION ALL SELECT 'prediction', NULL, seller_id, year_month, seller_type, predicted_revenue, actual_revenue, residual_pct
+      FROM chosen"""))
 def forecast_view(spark, sf_dir):
     """The whole forecast tab as one long table: metrics cards, feature importance, and actual,
     predicted and residual % of the default sellers with their tier."""

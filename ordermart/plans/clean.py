@@ -59,12 +59,20 @@ class OrderPipeline:
             self._feeds_root = feeds.ensure_fixture_feeds(self.spark, self.sf_dir)
         return self._feeds_root
 
-    def raw_app(self) -> DataFrame:
+    def app_lines(self) -> DataFrame:
+        """The app feed with its broken lines."""
         return feeds.read_app_feed(self.spark, self.feeds_root)
 
-    def raw_web(self) -> DataFrame:
+    def web_lines(self) -> DataFrame:
+        """The web feed with its broken lines."""
         return feeds.read_web_feed(self.spark, self.feeds_root)
 
+    def raw_app(self) -> DataFrame:
+        return C.sound_rows(self.app_lines())
+
+    def raw_web(self) -> DataFrame:
+        return C.sound_rows(self.web_lines())
+
     # --- lazy stages ----------------------------------------------------------
     def parsed_app(self) -> DataFrame:
         return C.parse_app(self.raw_app())
@@ -85,6 +93,12 @@ class OrderPipeline:
     def sellers(self) -> DataFrame:
         return C.seller_dim(self.spark, N_SELLERS)
 
+    def funnel(self) -> DataFrame:
+        """Rows after each stage, from one pass over the feeds (given the outlier bounds)."""
+        p, b = self.params.clean, self.bounds()
+        return C.stage_funnel(self.combined(), self.sellers(), p.start_date, p.end_date, b["lower"], b["upper"],
+                              N_SELLERS, p.max_broadcast_rows)
+
     # --- materialised stages ------------------------------------------------------
     @property
     def valid_path(self) -> str:

@@ -41,7 +41,7 @@ def _log(spark: SparkSession, log_path: str | None, step: str, status: str, rows
 
 def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Params = REFERENCE,
               jsonl_export: bool = True, log_path: str | None = None,
-              size_shuffles: bool = True) -> dict:
+              size_shuffles: bool = True, quarantine: bool = True) -> dict:
     """feeds (``source=app/``, ``source=web/``) -> ``out_root/processed`` (by data_source).
 
     ``size_shuffles`` raises the shuffle partition count to the measured feed size first, so
@@ -63,6 +63,11 @@ def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Param
         C.cluster_for_write(final).write.mode("overwrite").partitionBy("data_source").parquet(processed)
         rows_out = seen.get["rows"]
         out = {"processed": processed, "bounds": pipe.bounds(), "rows_in": rows_in, "rows_out": rows_out}
+        if quarantine:              # broken feed lines, as they were read
+            out["quarantine"] = TX.write_jsonl(C.malformed_lines(pipe.app_lines(), pipe.web_lines()),
+                                               f"{out_root.rstrip('/')}/quarantine")
+            out["malformed"] = {r.data_source: r.n for r in TX.read_jsonl(spark, out["quarantine"], schemas.MALFORMED)
+                                .groupBy("data_source").agg(F.count("line").alias("n")).collect()}
         if jsonl_export:
             out["jsonl"] = TX.write_jsonl(spark.read.parquet(processed),
                                           f"{out_root.rstrip('/')}/processed_jsonl")
@@ -89,18 +94,14 @@ SERVING_REPLACE = ("revenue_by_category", "top_products", "kpi_summary", "seller
 
 
 def publish_serving(spark: SparkSession, mart_paths: dict, serving_root: str) -> dict:
-    """Marts -> serving snapshot tables: truncate-insert for four, keyed upsert for two."""
+    """Marts -> serving tables: truncate-insert for four, upsert of the touched months for two."""
     out = {}
     for name in SERVING_REPLACE:
-        t = TB.SnapshotTable(spark, f"{serving_root.rstrip('/')}/{name}")
-        t.replace(spark.read.parquet(mart_paths[name]))
-        t.vacuum(keep=2)
-        out[name] = t.path
+        out[name] = f"{serving_root.rstrip('/')}/{name}"
+        TB.replace_table(spark.read.parquet(mart_paths[name]), out[name])
     for name, keys in SERVING_UPSERT_KEYS.items():
-        t = TB.SnapshotTable(spark, f"{serving_root.rstrip('/')}/{name}")
-        t.upsert(spark.read.parquet(mart_paths[name]), keys)
-        t.vacuum(keep=2)
-        out[name] = t.path
+        out[name] = f"{serving_root.rstrip('/')}/{name}"
+        TB.upsert_table(spark.read.parquet(mart_paths[name]), out[name], keys, "year_month")
     return out
 
 
@@ -108,7 +109,7 @@ def run_analytics(spark: SparkSession, processed_path: str, out_root: str, param
                   scratch: str | None = None, log_path: str | None = None,
                   serving_root: str | None = None) -> dict:
     """Six marts under ``out_root/<mart>`` from three scans of the fact; with ``serving_root``
-    also the serving tables (snapshot truncate-insert / upsert)."""
+    also the serving tables (truncate-insert / upsert)."""
     started = time.time()
     root = out_root.rstrip("/")
     try:
@@ -130,8 +131,9 @@ def run_analytics(spark: SparkSession, processed_path: str, out_root: str, param
 
 
 def run_forecast(spark: SparkSession, seller_monthly_path: str, out_root: str, params: Params = REFERENCE,
-                 log_path: str | None = None, metrics_log: str | None = None) -> dict:
-    """Fit, evaluate, save the model, write predictions (Parquet + one CSV) and metrics."""
+                 log_path: str | None = None, metrics_log: str | None = None, single_csv: bool = False) -> dict:
+    """Fit, evaluate, save the model, write predictions (Parquet and CSV, in parallel unless
+    ``single_csv``) and metrics."""
     started = time.time()
     root = out_root.rstrip("/")
     try:
@@ -139,7 +141,7 @@ def run_forecast(spark: SparkSession, seller_monthly_path: str, out_root: str, p
         run = M.fit_forecast(features, params.forecast)
         preds = M.seller_predictions(run)
         preds.write.mode("overwrite").parquet(f"{root}/predictions")
-        TX.write_csv(spark.read.parquet(f"{root}/predictions"), f"{root}/predictions_csv", single_file=True)
+        TX.write_csv(spark.read.parquet(f"{root}/predictions"), f"{root}/predictions_csv", single_file=single_csv)
         M.save_model(run.model, f"{root}/model")
         metrics = M.model_metrics_row(M.forecast_metrics(run))
         metrics.write.mode("append").parquet(metrics_log or f"{root}/model_metrics")

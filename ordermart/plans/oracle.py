@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from ordermart.config import FIXTURE, Params
 from ordermart.constants import (
-    CATEGORIES, LOWEST_TIER, N_PRODUCTS, N_SELLERS, REGIONS, STATUS_ALIASES, TIER_LIMITS,
+    CATEGORIES, FEATURE_COLUMNS, LABEL_COLUMN, LOWEST_TIER, N_PRODUCTS, N_SELLERS, REGIONS, STATUS_ALIASES, TIER_LIMITS,
     UNKNOWN_STATUS,
 )
 
@@ -20,11 +20,15 @@ def rnd(expr: str, n: int) -> str:
 
 
 def msum(expr: str) -> str:
-    return f"CAST(SUM(CAST(({expr}) AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(ROUND({exact_sum(expr)}, 2) AS DOUBLE)"
+
+
+def exact_sum(expr: str) -> str:
+    return f"SUM(CAST(({expr}) AS DECIMAL(28,6)))"
 
 
 def mavg(expr: str, n: int = 2) -> str:
-    return rnd(f"{msum(expr)} / COUNT({expr})", n)
+    return rnd(f"CAST({exact_sum(expr)} AS DOUBLE) / COUNT({expr})", n)
 
 
 def padded(number: str, width: int) -> str:
@@ -57,6 +61,13 @@ def product_expr(col: str) -> str:
     return (f"'P' || lpad(CAST(('0x' || substr(md5({col}), 1, 8))::UBIGINT % {N_PRODUCTS} + 1 AS VARCHAR), 5, '0')")
 
 
+def text(expr: str, kind: str) -> str:
+    """A column as text that does not depend on the engine: numbers with four decimals."""
+    if kind == "text":
+        return f"CAST({expr} AS VARCHAR)"
+    return f"CAST(CAST(ROUND(CAST({expr} AS DECIMAL(28,10)), 4) AS DECIMAL(28,4)) AS VARCHAR)"
+
+
 def base_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
     c = params.clean
     tier = (f"CASE WHEN i <= {TIER_LIMITS[0][0]} THEN {q(TIER_LIMITS[0][1])} "
@@ -67,14 +78,15 @@ def base_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
         ("b", """SELECT o_orderkey AS k, o_custkey AS ck, CAST(o_orderdate AS TIMESTAMP) AS od,
                  CAST(o_totalprice AS DOUBLE) AS px,
                  CASE WHEN o_orderkey % 5 < 3 THEN 'app' ELSE 'web' END AS src,
-                 (o_orderkey * 7 + o_custkey) % 20 AS idx,
+                 CASE WHEN o_orderkey % 10 = 9 THEN 201 + o_custkey // 3
+                   ELSE 1 + (o_orderkey * 7 + o_custkey) % 200 END AS seller_no,
                  (o_orderkey * 31 + o_custkey) % 100 AS h
                  FROM orders"""),
         ("copies", """SELECT *, 0 AS cp FROM b
                       UNION ALL SELECT *, 1 AS cp FROM b WHERE k % 100 IN (42, 43, 44)"""),
         ("raw", f"""SELECT CAST(k AS VARCHAR) AS order_id, src,
-            'S' || {padded('idx * 10 + idx % 5 + 1', 3)} AS seller_id,
-            {_case_list('idx % 5', REGIONS)} AS rgn,
+            'S' || {padded('seller_no', 3)} AS seller_id,
+            {_case_list('(seller_no - 1) % 5', REGIONS)} AS rgn,
             CASE WHEN k % 50 = 0 THEN NULL
               WHEN h < 68 THEN CASE ck % 5 WHEN 0 THEN 'completed' WHEN 1 THEN 'done'
                    WHEN 2 THEN 'success' WHEN 3 THEN 'paid'
@@ -89,6 +101,7 @@ def base_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
             CASE WHEN k % 25 = 3 OR (cp = 1 AND k % 100 = 43) THEN NULL
                  WHEN k % 100 = 7 THEN -px
                  WHEN k % 200 = 11 THEN CAST(CAST(px AS DECIMAL(18,2)) * 20 AS DOUBLE)
+                 WHEN k % 16 = 5 THEN CAST(CAST(px AS DECIMAL(28,6)) + CAST(0.0049 AS DECIMAL(28,6)) AS DOUBLE)
                  ELSE px END AS amt,
             CASE WHEN cp = 1 AND k % 100 <> 42 THEN od + INTERVAL 1 HOUR ELSE od END AS ts,
             (cp = 1 AND k % 100 = 42) AS flag,
@@ -144,11 +157,10 @@ def with_chain(select_sql: str, extra: list[tuple[str, str]] | None = None,
 # --- mart chains (the reference's own formulation, independent of the Spark folding) ---
 
 def seller_monthly_ctes(src: str = "sales", p: str = "sm") -> list[tuple[str, str]]:
-    amt = "CAST(total_amount AS DECIMAL(18,2))"
     return [
         (f"{p}_base", f"""SELECT seller_id, year_month, seller_type,
-              CAST(SUM({amt}) AS DOUBLE) AS monthly_revenue,
-              {rnd(f'CAST(SUM({amt}) AS DOUBLE) / CAST(COUNT(total_amount) AS DOUBLE)', 2)} AS avg_order_value,
+              {msum('total_amount')} AS monthly_revenue,
+              {mavg('total_amount')} AS avg_order_value,
               COUNT(DISTINCT customer_id) AS unique_customers,
               COUNT(DISTINCT order_date) AS active_days
             FROM {src} WHERE status = 'completed' GROUP BY seller_id, year_month, seller_type"""),
@@ -200,7 +212,7 @@ def mart_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
         ("seller_alerts", f"""SELECT seller_id, year_month, {q(m.alert_type)} AS alert_type, prev_revenue,
               curr_revenue, drop_pct FROM alert_base WHERE drop_pct > {float(m.alert_drop_pct)}"""),
         ("kpi", f"""SELECT
-              COALESCE(CAST(SUM(CASE WHEN status = 'completed' THEN CAST(total_amount AS DECIMAL(18,2)) END) AS DOUBLE), 0.0) AS total_gmv,
+              COALESCE({msum("CASE WHEN status = 'completed' THEN total_amount END")}, 0.0) AS total_gmv,
               COUNT(CASE WHEN status = 'completed' THEN 1 END) AS total_orders,
               (SELECT COUNT(*) FROM (SELECT DISTINCT customer_id FROM completed) d) AS unique_customers,
               (SELECT COUNT(*) FROM (SELECT DISTINCT seller_id FROM completed) d) AS active_sellers,
@@ -221,3 +233,76 @@ def mart_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
 def with_marts(select_sql: str, extra: list[tuple[str, str]] | None = None,
                params: Params = FIXTURE) -> str:
     return with_chain(select_sql, mart_ctes(params) + list(extra or []), params)
+
+
+# --- forecast: the ridge regression solved in SQL ----------------------------------------
+
+FEATURE_SQL = """SELECT *, CAST(CASE seller_type WHEN 'high_performer' THEN 2.0 WHEN 'average_seller' THEN 1.0
+    ELSE 0.0 END AS DOUBLE) AS seller_type_enc FROM (SELECT * REPLACE (
+      COALESCE(lag1_revenue, 0.0) AS lag1_revenue, COALESCE(lag2_revenue, 0.0) AS lag2_revenue,
+      COALESCE(lag3_revenue, 0.0) AS lag3_revenue, COALESCE(revenue_ma3, 0.0) AS revenue_ma3,
+      COALESCE(growth_rate, 0.0) AS growth_rate, COALESCE(cancel_rate, 0.0) AS cancel_rate)
+    FROM seller_monthly) s WHERE next_month_revenue IS NOT NULL AND month IS NOT NULL
+      AND monthly_revenue IS NOT NULL AND avg_order_value IS NOT NULL AND unique_customers IS NOT NULL
+      AND active_days IS NOT NULL"""
+
+
+def forecast_ctes(params: Params = FIXTURE) -> list[tuple[str, str]]:
+    """Features, their moments on the training years, the normal equations of the ridge regression on
+    standardised columns (one aggregate of all products), their solution by elimination (12 recursive
+    steps), coefficients, test predictions and metrics."""
+    f, y, p = FEATURE_COLUMNS, LABEL_COLUMN, params.forecast
+    n = len(f)
+    moments = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mean_{i}, stddev_pop(CAST({c} AS DOUBLE)) AS std_{i}"
+                        for i, c in enumerate([*f, y]))
+    scaled = ", ".join(f"COALESCE((CAST({c} AS DOUBLE) - mean_{i}) / NULLIF(std_{i}, 0), 0.0) AS z{i}"
+                       for i, c in enumerate([*f, y]))
+    rows = ", ".join("[" + ", ".join(
+        f"SUM(z{i} * z{j}) / COUNT(*)" + (f" + {p.reg_param} / MAX(std_{n})" if i == j else "") for j in range(n + 1)) + "]"
+        for i in range(n))
+    step = ("list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k]) "
+            "ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END)")
+    weights = ", ".join(f"w[{i + 1}] AS w{i}" for i in range(n))
+    predicted = f"mean_{n} + std_{n} * (" + " + ".join(
+        f"w{i} * COALESCE((CAST({c} AS DOUBLE) - mean_{i}) / NULLIF(std_{i}, 0), 0.0)" for i, c in enumerate(f)) + ")"
+    coefficients = " UNION ALL ".join(
+        f"SELECT {i} AS place, {q(c)} AS feature, CASE WHEN std_{i} > 0 THEN w{i} * std_{n} * sqrt(n / (n - 1.0)) ELSE 0.0 END "
+        f"AS exact FROM model" for i, c in enumerate(f))
+
+    def metrics(where: str, name: str) -> str:
+        e = f"predicted - {y}"
+        return (f"SELECT sqrt(avg(({e}) * ({e}))) AS {name}rmse, avg(abs({e})) AS {name}mae, "
+                f"1 - SUM(({e}) * ({e})) / (var_pop(CAST({y} AS DOUBLE)) * COUNT(*)) AS {name}r2, COUNT(*) AS {name}n "
+                f"FROM scored WHERE {where}")
+    return [
+        ("features", FEATURE_SQL),
+        ("train", f"SELECT * FROM features WHERE year < {p.split_year}"),
+        ("moments", f"SELECT {moments}, CAST(COUNT(*) AS DOUBLE) AS n FROM train"),
+        ("scaled", f"SELECT {scaled}, std_{n} FROM train, moments"),
+        ("gram", f"SELECT [{rows}] AS m FROM scaled"),
+        ("solved", f"SELECT 1 AS k, m FROM gram UNION ALL SELECT k + 1, {step} FROM solved WHERE k <= {n}"),
+        ("model", f"SELECT {weights}, moments.* FROM (SELECT list_transform(m, lambda r: r[{n + 1}]) AS w FROM solved "
+                  f"WHERE k = {n + 1}) s, moments"),
+        ("coefficients", coefficients),
+        ("scored", f"SELECT features.*, {predicted} AS predicted FROM features, model"),
+        ("predictions", f"""SELECT seller_id, year_month, {y} AS actual_revenue, {rnd('predicted', 2)} AS predicted_revenue
+            FROM scored WHERE year = {p.split_year}"""),
+        ("metrics", f"""SELECT {rnd('rmse', 4)} AS rmse, {rnd('mae', 4)} AS mae, {rnd('r2', 6)} AS r2,
+            {rnd('train_rmse', 4)} AS train_rmse, train_n AS n_train, n AS n_test
+            FROM ({metrics(f'year = {p.split_year}', '')}) a, ({metrics(f'year < {p.split_year}', 'train_')}) b"""),
+        ("importance", f"""SELECT feature, {rnd('exact', 4)} AS coefficient,
+            CAST(row_number() OVER (ORDER BY abs(exact) DESC, feature) AS INTEGER) AS abs_rank FROM coefficients"""),
+        ("residuals", """SELECT *, (predicted_revenue - actual_revenue) / NULLIF(actual_revenue, 0) * 100 AS residual_pct
+            FROM predictions"""),
+        ("chosen", """SELECT r.*, s.seller_type FROM residuals r LEFT JOIN sellers s ON r.seller_id = s.seller_id
+            WHERE r.seller_id IN (SELECT DISTINCT seller_id FROM predictions ORDER BY seller_id LIMIT 3)"""),
+    ]
+
+
+def gram_term(name: str) -> str:
+    """A column of the Gram matrix in SQL; the intercept's is 1."""
+    return "1" if name == "one" else name
+
+
+def with_forecast(select_sql: str, params: Params = FIXTURE) -> str:
+    return with_marts(select_sql, forecast_ctes(params), params).replace("WITH ", "WITH RECURSIVE ", 1)

@@ -1,6 +1,6 @@
 """The three SQL-text tasks over a ``sales`` view (all statuses, as in the reference).
 
-Sums are exact (DECIMAL(18,2)) so results do not depend on partitioning; top-n ties
+Sums are exact (DECIMAL(28,6), rounded once) so results do not depend on partitioning; top-n ties
 break on product id.  Timings must materialise the full result (``noop`` sink), not
 ``count()``, which lets the optimizer drop the SUM and ORDER BY.
 """
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 VIEW = "sales"
 
-MONEY_SUM = "CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
+MONEY_SUM = "CAST(ROUND(SUM(CAST(total_amount AS DECIMAL(28,6))), 2) AS DOUBLE)"
 
 SQL_TASKS = {
     "sql_revenue_by_category": f"""

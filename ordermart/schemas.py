@@ -26,6 +26,11 @@ WEB_FEED = _s(
     ("metadata", _s(("source", StringType()), ("version", StringType()), ("_retry", BooleanType()))),
 )
 
+# lines of a feed that do not fit its schema
+CORRUPT = "_corrupt_record"
+FILE = "_feed_file"             # where a line stands
+MALFORMED = _s(("data_source", StringType()), ("order_id", StringType()), ("line", StringType()), ("file", StringType()))
+
 # canonical order row after parsing (before enrichment)
 ORDER_COLUMNS = ("order_id", "seller_id", "status", "customer_id", "region",
                  "total_amount", "order_ts", "order_date", "data_source")

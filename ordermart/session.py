@@ -132,13 +132,6 @@ def committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, jpath = _fs(spark, path)
-    if not fs.exists(jpath):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory())
-
-
 def has_files(spark: SparkSession, path: str) -> bool:
     """True if data files lie under ``path`` (with or without a _SUCCESS marker)."""
     fs, jpath = _fs(spark, path)
@@ -152,14 +145,6 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def rename_new(spark: SparkSession, source: str, target: str) -> None:
-    """Move a finished folder to a name that must be free (another writer holds it otherwise)."""
-    fs, jsource = _fs(spark, source)
-    _, jtarget = _fs(spark, target)
-    if fs.exists(jtarget) or not fs.rename(jsource, jtarget):
-        raise RuntimeError(f"{target} was written by another writer")
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath):

@@ -4,22 +4,29 @@ The reference's generator is not rebuilt (it is a single-process simulator); ins
 the same defect kinds are injected by rules over the driver's ``orders`` table, so the
 feeds grow with the data and an SQL engine can reproduce them row for row:
 
-* 3:2 app/web split; 20 sellers with tiers from the 200-seller dimension;
+* 3:2 app/web split; the 200 sellers of the dimension, and for every tenth order a small seller that
+  is not in it, whose number grows with the customers (so seller tables grow with the input);
 * status aliases incl. mixed case, 2 % NULL status, 3 % NULL customer;
-* 4 % NULL amount, 1 % negative, 0.5 % x20 outliers;
+* 4 % NULL amount, 1 % negative, 0.5 % x20 outliers, 6 % with fractions of a cent;
 * per 100 orders one flagged duplicate, one unflagged later copy with NULL amount
   (original must win) and one unflagged copy one hour later (the copy must win);
-* web timestamps as ISO text with ``+07:00`` / ``+08:00`` / ``Z`` suffixes.
-
-Both layouts are written in one distributed pass, partitioned by ``source`` into
-``source=app/`` and ``source=web/``; NULL fields are omitted from the JSON lines,
-so e.g. ``_dup`` is present only on duplicates.
+* web timestamps as ISO text with ``+07:00`` / ``+08:00`` / ``Z`` suffixes;
+* per 250 orders one broken line besides its record: cut off, no JSON at all, or a flag that is no
+  boolean.
+
+Both layouts are written in one distributed pass as text lines, partitioned by ``source`` into
+``source=app/`` and ``source=web/``; NULL fields are omitted from the JSON, so e.g. ``_dup`` is
+present only on duplicates.  Readers keep a line that does not fit the schema in
+``_corrupt_record``; ``cleaning.sound_rows`` and ``cleaning.malformed_lines`` tell the two apart.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ordermart import schemas
 from ordermart.constants import REGIONS
@@ -27,8 +34,9 @@ from ordermart.functions.buckets import padded
 from ordermart.functions.timecols import ntz_to_epoch_seconds
 from ordermart.session import MATERIALIZE_LOCK, committed, fingerprint, input_signature, scratch_path
 
-FEED_RULES_VERSION = 2
+FEED_RULES_VERSION = 3
 COPY_TAGS = (42, 43, 44)     # k % 100: flagged copy, NULL-amount copy, later copy
+BROKEN_TAG = 77              # k % 250: a broken line follows
 
 
 def _pick(key: Column, values) -> Column:
@@ -47,11 +55,12 @@ def fixture_raw(orders: DataFrame) -> DataFrame:
         F.col("o_totalprice").cast("double").alias("px"),
         # one scan: every order emits itself, tagged orders also a copy
         F.explode(F.when((k % 100).isin(*COPY_TAGS), F.array(F.lit(0), F.lit(1)))
+                  .when(k % 250 == BROKEN_TAG, F.array(F.lit(0), F.lit(2)))
                   .otherwise(F.array(F.lit(0)))).alias("cp"),
     )
     k, ck, cp = F.col("k"), F.col("ck"), F.col("cp")
     src = F.when(k % 5 < 3, "app").otherwise("web")
-    idx = (k * 7 + ck) % 20
+    seller = F.when(k % 10 == 9, F.lit(201) + F.floor(ck / 3).cast("bigint")).otherwise(F.lit(1) + (k * 7 + ck) % 200)
     h = (k * 31 + ck) % 100
     is_app = src == "app"
     status = (
@@ -69,14 +78,15 @@ def fixture_raw(orders: DataFrame) -> DataFrame:
         F.when((k % 25 == 3) | ((cp == 1) & (k % 100 == 43)), F.lit(None).cast("double"))
         .when(k % 100 == 7, -F.col("px"))
         .when(k % 200 == 11, (F.col("px").cast("decimal(18,2)") * 20).cast("double"))
+        .when(k % 16 == 5, (F.col("px").cast("decimal(28,6)") + F.lit(Decimal("0.0049"))).cast("double"))
         .otherwise(F.col("px"))
     )
     later = (cp == 1) & (k % 100 != 42)
     return base.select(
         k.cast("string").alias("order_id"),
         src.alias("src"),
-        F.concat(F.lit("S"), padded(idx * 10 + idx % 5 + 1, 3)).alias("seller_id"),
-        _pick(idx % 5, REGIONS).alias("rgn"),
+        F.concat(F.lit("S"), padded(seller, 3)).alias("seller_id"),
+        _pick((seller - 1) % 5, REGIONS).alias("rgn"),
         status.alias("st"),
         F.when(k % 33 == 5, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("C"), padded(ck, 6))).alias("cust"),
@@ -85,52 +95,41 @@ def fixture_raw(orders: DataFrame) -> DataFrame:
         ((cp == 1) & (k % 100 == 42)).alias("flag"),
         (ck % 10).alias("tz"),
         F.col("px"),
+        F.when(cp == 2, F.floor(k / 250) % 3).cast("int").alias("broken"),      # kind of broken line
     )
 
 
-def feed_records(raw: DataFrame) -> DataFrame:
-    """Both JSON layouts in one frame; fields of the other layout stay NULL (omitted on write)."""
+def feed_lines(raw: DataFrame) -> DataFrame:
+    """(value, source): one JSON text line per record in the layout of its source, NULL fields left
+    out, and the broken lines."""
     app = F.col("src") == "app"
-    web = ~app
-
-    def on(cond, c):
-        return F.when(cond, c)
-
+    flagged = F.when(F.col("flag"), F.lit(True))
     offset = F.when(F.col("tz") < 5, "+07:00").when(F.col("tz") < 7, "+08:00").otherwise("Z")
     user = F.when(F.col("cust").isNotNull(),
                   F.struct(F.col("cust").alias("uid"), F.col("rgn").alias("rgn")))
+    key = F.col("order_id").cast("bigint")
     items = F.array(F.struct(
-        F.when(F.col("order_id").cast("bigint") % 200 != 17,
-               F.concat(F.lit("I"), (F.col("order_id").cast("bigint") % 997).cast("string"))).alias("pid"),
-        (F.col("order_id").cast("bigint") % 3 + 1).cast("int").alias("q"),
-        F.col("px").alias("p"),
-        F.lit(0.0).alias("d")))
-    return raw.select(
-        # app layout
-        on(app, F.col("order_id")).alias("oid"),
-        on(app, ntz_to_epoch_seconds(F.col("ts"))).alias("ts"),
-        on(app, F.col("seller_id")).alias("slr"),
-        on(app, F.col("st")).alias("st"),
-        on(app, user).alias("usr"),
-        on(app, F.col("amt")).alias("tot"),
-        on(app, items).alias("items"),
-        on(app & F.col("flag"), F.lit(True)).alias("_dup"),
-        # web layout
-        on(web, F.col("order_id")).alias("order_id"),
-        on(web, F.concat(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss"), offset)).alias("order_date"),
-        on(web, F.col("seller_id")).alias("seller_id"),
-        on(web, F.col("st")).alias("status"),
-        on(web, F.col("cust")).alias("customer_id"),
-        on(web, F.col("rgn")).alias("region"),
-        on(web, F.col("amt")).alias("total_amount"),
-        on(web, F.struct(F.lit("web").alias("source"), F.lit("2.1").alias("version"),
-                         F.when(F.col("flag"), F.lit(True)).alias("_retry"))).alias("metadata"),
-        F.col("src").alias("source"),
-    )
+        F.when(key % 200 != 17, F.concat(F.lit("I"), (key % 997).cast("string"))).alias("pid"),
+        (key % 3 + 1).cast("int").alias("q"), F.col("px").alias("p"), F.lit(0.0).alias("d")))
+    app_line = F.to_json(F.struct(
+        F.col("order_id").alias("oid"), ntz_to_epoch_seconds(F.col("ts")).alias("ts"), F.col("seller_id").alias("slr"),
+        "st", user.alias("usr"), F.col("amt").alias("tot"), items.alias("items"), flagged.alias("_dup")))
+    web_line = F.to_json(F.struct(
+        "order_id", F.concat(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss"), offset).alias("order_date"), "seller_id",
+        F.col("st").alias("status"), F.col("cust").alias("customer_id"), F.col("rgn").alias("region"),
+        F.col("amt").alias("total_amount"),
+        F.struct(F.lit("web").alias("source"), F.lit("2.1").alias("version"), flagged.alias("_retry")).alias("metadata")))
+    line = F.when(app, app_line).otherwise(web_line)
+    no_flag = F.when(app, F.concat(F.lit('{"oid":"'), "order_id", F.lit('","_dup":"maybe"}'))).otherwise(
+        F.concat(F.lit('{"order_id":"'), "order_id", F.lit('","metadata":{"_retry":"maybe"}}')))
+    broken = (F.when(F.col("broken") == 0, F.substr(line, F.lit(1), F.floor(F.length(line) / 2).cast("int")))
+              .when(F.col("broken") == 1, F.concat(F.lit("no record at order "), "order_id"))
+              .otherwise(no_flag))
+    return raw.select(F.when(F.col("broken").isNull(), line).otherwise(broken).alias("value"), F.col("src").alias("source"))
 
 
 def write_feeds(raw: DataFrame, root: str) -> str:
-    feed_records(raw).write.mode("overwrite").partitionBy("source").json(root)
+    feed_lines(raw).write.mode("overwrite").partitionBy("source").text(root)
     return root
 
 
@@ -144,11 +143,21 @@ def ensure_fixture_feeds(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """JSON lines by the whole schema, whichever columns a query goes on to use: a line is sound or
+    broken for all queries alike (the JSON source would only look at the columns asked for)."""
+    whole = StructType([*schema.fields, StructField(schemas.CORRUPT, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.from_json("value", whole, options).alias("record"), F.col("_metadata.file_name").alias(schemas.FILE)) \
+        .select("record.*", schemas.FILE)
+
+
 def read_app_feed(spark: SparkSession, root: str) -> DataFrame:
-    return (spark.read.schema(schemas.APP_FEED).option("mode", "PERMISSIVE")
-            .option("multiLine", "false").json(f"{root}/source=app"))
+    """The app feed; a line that does not fit the schema stands in ``_corrupt_record``."""
+    return _read(spark, f"{root}/source=app", schemas.APP_FEED)
 
 
 def read_web_feed(spark: SparkSession, root: str) -> DataFrame:
-    return (spark.read.schema(schemas.WEB_FEED).option("mode", "PERMISSIVE")
-            .option("multiLine", "false").json(f"{root}/source=web"))
+    """The web feed; a line that does not fit the schema stands in ``_corrupt_record``."""
+    return _read(spark, f"{root}/source=web", schemas.WEB_FEED)

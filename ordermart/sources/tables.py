@@ -1,13 +1,12 @@
-"""Parquet sinks: marts, the processed fact, versioned snapshot tables, append-only logs.
+"""Parquet sinks: marts, the processed fact, serving tables, append-only logs; JDBC sinks.
 
-A *snapshot table* is a folder of versions ``v=000001/``, ``v=000002/`` ...; a write
-never touches the version being read, and readers pick the newest one (a version appears
-complete, by a rename).  That gives the reference's serving-table verbs
-without a database:
+Serving tables are plain Parquet folders, written by Spark's own committers:
 
-* ``replace``  — TRUNCATE + INSERT;
-* ``upsert``   — INSERT ... ON CONFLICT (pk) DO UPDATE SET <all other columns>;
-  a key duplicated inside one batch raises, as ON CONFLICT would.
+* ``replace_table`` - TRUNCATE + INSERT: an overwrite of the folder;
+* ``upsert_table``  - INSERT ... ON CONFLICT (pk) DO UPDATE SET <all other columns>: the table is
+  partitioned by a column of its key, and a dynamic partition overwrite rewrites just the partitions
+  (months) that the batch touches.  A key that is NULL or repeated inside one batch raises, as a
+  primary key would.
 """
 
 from __future__ import annotations
@@ -15,15 +14,14 @@ from __future__ import annotations
 import logging
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ordermart.operators.joins import broadcast_if_small
-from ordermart.session import delete_path, has_files, list_dirs, rename_new, scratch_path
-
-VERSION_PREFIX = "v="
+from ordermart.session import has_files, scratch_path
 
 
 def write_mart(df: DataFrame, root: str, name: str) -> str:
@@ -38,79 +36,65 @@ def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType) ->
     return spark.createDataFrame([], schema)
 
 
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType | None = None,
-                 max_broadcast_keys: int = 1_000_000):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-        self.max_broadcast_keys = max_broadcast_keys
-
-    def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.path):
-            if name.startswith(VERSION_PREFIX):       # appears by a rename, complete
-                out.append(int(name[len(VERSION_PREFIX):]))
-        return sorted(out)
-
-    def _version_path(self, v: int) -> str:
-        return f"{self.path}/{VERSION_PREFIX}{v:06d}"
-
-    def read(self) -> DataFrame:
-        vs = self.versions()
-        if vs:
-            return self.spark.read.parquet(self._version_path(vs[-1]))
-        if self.schema is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        return self.spark.createDataFrame([], self.schema)
-
-    def _write_next(self, df: DataFrame) -> DataFrame:
-        """Written beside the versions, then renamed: readers see it whole or not at all, and a
-        version that another writer took meanwhile is an error, never overwritten."""
-        vs = self.versions()
-        target = self._version_path((vs[-1] + 1) if vs else 1)
-        aside = f"{self.path}/_writing-{uuid.uuid4().hex}"
-        df.write.parquet(aside)
-        try:
-            rename_new(self.spark, aside, target)
-        except RuntimeError:
-            delete_path(self.spark, aside)
-            raise
-        return self.spark.read.parquet(target)
-
-    def _check_keys(self, df: DataFrame, keys: list[str]) -> None:
-        dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"rows repeat key {[dup[0][k] for k in keys]} of {self.path}")
-
-    def replace(self, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-        """TRUNCATE + INSERT: the new content becomes the newest version.  With ``keys`` a repeated
-        key is an error, as a primary key's would be."""
-        if keys:
-            df = self._stored(df)
-            self._check_keys(df, keys)
-        return self._write_next(df)
-
-    def _stored(self, df: DataFrame) -> DataFrame:
-        """The rows, computed once however often they are used."""
-        path = scratch_path(self.spark, "batch", uuid.uuid4().hex)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def upsert(self, batch: DataFrame, keys: list[str]) -> DataFrame:
-        """Rows of ``batch`` win on key conflicts; other existing rows stay."""
-        batch = self._stored(batch)
-        self._check_keys(batch, keys)
-        if not self.versions():
-            return self._write_next(batch)
-        old = self.read()
-        batch_keys = broadcast_if_small(batch.select(*keys), self.max_broadcast_keys)
-        kept = old.join(batch_keys, on=keys, how="left_anti")
-        return self._write_next(kept.unionByName(batch.select(*old.columns)))
-
-    def vacuum(self, keep: int = 2) -> None:
-        for v in self.versions()[:-keep]:
-            delete_path(self.spark, self._version_path(v))
+def _stored(df: DataFrame) -> DataFrame:
+    """The rows, computed once however often they are used (in the shared scratch folder)."""
+    path = scratch_path(df.sparkSession, "batch", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def check_keys(df: DataFrame, keys: list[str], where: str) -> None:
+    """Raise if a key column is NULL or a key occurs twice, as a primary key would."""
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bad = df.groupBy(*keys).count().filter((F.col("count") > 1) | null).limit(1).collect()
+    if bad:
+        raise ValueError(f"a repeated or incomplete key {[bad[0][k] for k in keys]} for {where}")
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A serving table with its columns in order (the schema also types the partition column); empty
+    where nothing was written yet."""
+    if not has_files(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def replace_table(df: DataFrame, path: str, keys: list[str] | None = None, partition_by: str | None = None) -> DataFrame:
+    """TRUNCATE + INSERT; with ``keys`` a repeated or incomplete key is an error."""
+    if keys:
+        df = _stored(df)
+        check_keys(df, keys, path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
+def upsert_table(batch: DataFrame, path: str, keys: list[str], partition_by: str,
+                 max_broadcast_keys: int = 1_000_000) -> DataFrame:
+    """Rows of ``batch`` win on key conflicts, other existing rows stay; partitions without a row in
+    the batch are neither read nor written.  ``partition_by`` is one of the key columns."""
+    if partition_by not in keys:
+        raise ValueError("the partition column must be part of the key")
+    spark, batch = batch.sparkSession, _stored(batch)
+    check_keys(batch, keys, path)
+    touched = [r[0] for r in batch.select(partition_by).distinct().collect()]      # months, say: few by their nature
+    merged = batch
+    if has_files(spark, path) and touched:
+        old = read_table(spark, path, batch.schema).where(F.col(partition_by).isin(touched))
+        batch_keys = broadcast_if_small(batch.select(*keys), max_broadcast_keys)
+        merged = old.join(batch_keys, keys, "left_anti").select(*batch.columns).unionByName(batch)
+    (merged.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_by).parquet(path))
+    return read_table(spark, path, batch.schema)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, sort_by: list[str], buckets: int) -> DataFrame:
+    """``df`` as a table of ``buckets`` files by the hash of ``key``, sorted within: aggregations and
+    windows by ``key`` (and more) then need no exchange.  A key's rows lie in one bucket, so this suits
+    keys of which none holds a large share (see ``joins.hot_keys``)."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key, *sort_by).saveAsTable(table))
+    return df.sparkSession.table(table)
 
 
 def jdbc_replace(df: DataFrame, url: str, table: str, properties: dict | None = None,
@@ -130,6 +114,35 @@ def jdbc_replace(df: DataFrame, url: str, table: str, properties: dict | None =
     writer.save()
 
 
+def upsert_statement(table: str, staging: str, columns: list[str], keys: list[str]) -> str:
+    """One INSERT ... ON CONFLICT that moves a staging table into ``table``."""
+    rest = [c for c in columns if c not in keys]
+    action = "UPDATE SET " + ", ".join(f"{c} = EXCLUDED.{c}" for c in rest) if rest else "NOTHING"
+    listed = ", ".join(columns)
+    return f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {staging} ON CONFLICT ({', '.join(keys)}) DO {action}"
+
+
+def jdbc_upsert(df: DataFrame, url: str, table: str, keys: list[str], properties: dict | None = None,
+                num_partitions: int | None = None) -> None:
+    """Keyed upsert into a database: executors write the rows to a staging table in JDBC batches, and
+    one statement in the database moves them over.  Only the statement passes through the driver.
+    Not exercised by the tests but for its statement: no database may be started in this environment.
+    """
+    batch = _stored(df)
+    check_keys(batch, keys, table)
+    staging = f"{table}_staging"
+    jdbc_replace(batch, url, staging, properties, num_partitions)
+    jvm = df.sparkSession.sparkContext._jvm
+    login = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        login.setProperty(k, str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, login)
+    try:
+        connection.createStatement().executeUpdate(upsert_statement(table, staging, batch.columns, keys))
+    finally:
+        connection.close()
+
+
 def append_log(spark: SparkSession, path: str, rows: list[dict], schema: StructType) -> None:
     """Append run-log rows (one per run; produced on the driver by nature: timings, counts)."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -158,10 +171,5 @@ def serving_read(spark: SparkSession, name: str, schema: StructType, parquet_roo
                 raise
             logging.getLogger(__name__).warning("serving store not read, using the copy of %s: %s", name, exc)
     if parquet_root:
-        path = f"{parquet_root.rstrip('/')}/{name}"
-        snap = SnapshotTable(spark, path, schema)
-        if snap.versions():
-            return snap.read()
-        if has_files(spark, path):
-            return spark.read.parquet(path)
+        return read_table(spark, f"{parquet_root.rstrip('/')}/{name}", schema)
     return spark.createDataFrame([], schema)

@@ -12,6 +12,12 @@ def write_jsonl(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_lines(lines: DataFrame, path: str) -> str:
+    """One text column as it is, a line per row."""
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: StructType, mode: str = "PERMISSIVE") -> DataFrame:
     return spark.read.schema(schema).option("mode", mode).option("multiLine", "false").json(path)
 

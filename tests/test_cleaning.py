@@ -79,7 +79,8 @@ def test_app_feed_without_dup_field_and_bad_lines(spark, tmp_dir):
     ])
     from ordermart.sources.feeds import read_app_feed
     raw = read_app_feed(spark, root)
-    parsed = {r["order_id"]: r for r in C.parse_app(raw).collect() if r["order_id"]}
+    parsed = {r["order_id"]: r for r in C.parse_app(raw).collect()}
+    assert set(parsed) == {"1", "2"}                                # the broken line is no record
     assert parsed["1"]["status"] == "completed"
     assert parsed["1"]["customer_id"] == "C1" and parsed["1"]["region"] == "west"
     assert str(parsed["1"]["order_ts"]) == "2023-05-01 10:00:00"

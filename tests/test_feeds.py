@@ -7,13 +7,23 @@ from tests.conftest import SF_SMALL
 
 
 def _lines(spark, path):
-    return [json.loads(r[0]) for r in spark.read.text(path).collect()]
+    out = []
+    for r in spark.read.text(path).collect():
+        try:
+            out.append(json.loads(r[0]))
+        except ValueError:
+            out.append(r[0])
+    return out
 
 
 def test_feed_layouts(spark):
     root = feeds.ensure_fixture_feeds(spark, SF_SMALL)
     app = _lines(spark, f"{root}/source=app")
     web = _lines(spark, f"{root}/source=web")
+    broken = [x for x in app + web if isinstance(x, str)]
+    wrong = [x for x in app + web if x not in broken and "maybe" in (x.get("_dup"), x.get("metadata", {}).get("_retry"))]
+    assert len(broken) == 4 and len(wrong) == 2               # one for each 250 orders, three kinds
+    app, web = ([x for x in rows if x not in broken and x not in wrong] for rows in (app, web))
     assert len(app) + len(web) == 1545                       # FIXTURES.md: raw rows at sf0.001
     app_keys = {"oid", "ts", "slr", "st", "usr", "tot", "items", "_dup"}
     web_keys = {"order_id", "order_date", "seller_id", "status", "customer_id", "region",

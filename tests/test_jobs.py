@@ -20,6 +20,7 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
     clean = jobs.run_clean(spark, feeds_root, os.path.join(tmp_dir, "out"), FIXTURE, log_path=log)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before     # the caller's setting is put back
     assert clean["rows_in"] == 1530 and clean["rows_out"] == 1086
+    assert sum(clean["malformed"].values()) == 6 and spark.read.json(clean["quarantine"]).count() == 6
     assert spark.read.parquet(clean["processed"]).count() == 1086
     assert spark.read.json(clean["jsonl"]).count() == 1086
     assert sorted(d for d in os.listdir(clean["processed"]) if d.startswith("data_source=")) == \
@@ -28,15 +29,14 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
     serving = os.path.join(tmp_dir, "serving")
     marts = jobs.run_analytics(spark, clean["processed"], os.path.join(tmp_dir, "marts"), FIXTURE, log_path=log,
                                serving_root=serving)
-    assert marts["rows"]["seller_monthly"] == 542
-    assert marts["rows"]["seller_alerts"] == 199
+    assert marts["rows"]["seller_monthly"] == 711
+    assert marts["rows"]["seller_alerts"] == 192
     assert marts["rows"]["monthly_trend"] == 60
     assert marts["rows"]["kpi_summary"] == 6 and marts["rows"]["top_products"] == 10
 
-    from ordermart.sources.tables import SnapshotTable
     again = jobs.publish_serving(spark, marts["paths"], serving)          # second refresh: same content
     for name, path in again.items():
-        assert SnapshotTable(spark, path).read().count() == marts["rows"][name]
+        assert spark.read.parquet(path).count() == marts["rows"][name]
 
     fc = jobs.run_forecast(spark, marts["paths"]["seller_monthly"], os.path.join(tmp_dir, "model"), FIXTURE,
                            log_path=log)
@@ -56,12 +56,12 @@ def test_clean_analytics_forecast_jobs(spark, tmp_dir):
 
 
 def test_clean_reads_feeds_that_grew(spark, tmp_dir):
-    raw = feeds.feed_records(feeds.fixture_raw(spark.read.parquet(f"{SF_SMALL}/orders.parquet")))
+    raw = feeds.fixture_raw(spark.read.parquet(f"{SF_SMALL}/orders.parquet"))
     root = os.path.join(tmp_dir, "raw")
-    half = "coalesce(oid, order_id) % 2 = 0"
-    raw.where(half).write.partitionBy("source").json(root)
+    half = "order_id % 2 = 0"
+    feeds.write_feeds(raw.where(half), root)
     first = jobs.run_clean(spark, root, os.path.join(tmp_dir, "a"), FIXTURE, jsonl_export=False)
-    raw.where(f"NOT ({half})").write.mode("append").partitionBy("source").json(root)
+    feeds.feed_lines(raw.where(f"NOT ({half})")).write.mode("append").partitionBy("source").text(root)
     again = jobs.run_clean(spark, root, os.path.join(tmp_dir, "b"), FIXTURE, jsonl_export=False)
     assert 0 < first["rows_in"] < 1530
     assert (again["rows_in"], again["rows_out"]) == (1530, 1086)

@@ -168,8 +168,8 @@ def test_approximate_distinct_customers_option(spark):
             for i in range(3000)]
     sales = _sales(spark, rows)
     cube = A.seller_month_cube(sales)
-    exact = {r["metric_name"]: r["metric_value"] for r in A.kpi_summary_from_cube(cube, sales).collect()}
-    approx = {r["metric_name"]: r["metric_value"] for r in A.kpi_summary_from_cube(cube, sales, 0.02).collect()}
+    exact = {r["metric_name"]: r["metric_value"] for r in A.kpi_summary_from_cube(cube, A.approx_customers(sales, None)).collect()}
+    approx = {r["metric_name"]: r["metric_value"] for r in A.kpi_summary_from_cube(cube, A.approx_customers(sales, 0.02)).collect()}
     want = len({r[3] for r in rows if r[3] is not None}) + 1          # distinct ids + NULL once
     assert exact["unique_customers"] == float(want)
     assert abs(approx["unique_customers"] - want) <= 0.06 * want

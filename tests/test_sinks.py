@@ -7,43 +7,69 @@ from ordermart import schemas
 from ordermart.sources import tables as TB
 from ordermart.sources import text as TX
 
-SCHEMA = "k string, v double"
+def test_replace_is_truncate_insert(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    assert TB.read_table(spark, path, schemas.KPI_SUMMARY).count() == 0           # empty frame with schema
+    TB.replace_table(spark.createDataFrame([("a", 1.0), ("b", 2.0)], schemas.KPI_SUMMARY), path)
+    out = TB.replace_table(spark.createDataFrame([("c", 3.0)], schemas.KPI_SUMMARY), path, ["metric_name"])
+    assert [r["metric_name"] for r in out.collect()] == ["c"]
+    assert all(f.startswith(("part-", "_SUCCESS", ".")) for f in os.listdir(path))      # a plain folder
+    rows = spark.createDataFrame([("c", 3.0), ("c", 4.0)], schemas.KPI_SUMMARY)
+    with pytest.raises(ValueError):
+        TB.replace_table(rows, path, ["metric_name"])
+    assert TB.read_table(spark, path, schemas.KPI_SUMMARY).count() == 1           # the old content stays
+
 
+MONTHS = "seller_id string, year_month string, v double"
+KEYS = ["seller_id", "year_month"]
 
-def test_snapshot_replace_is_truncate_insert(spark, tmp_dir):
-    t = TB.SnapshotTable(spark, os.path.join(tmp_dir, "t"), schemas.KPI_SUMMARY)
-    assert t.read().count() == 0                                  # empty frame with schema
-    t.replace(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "metric_name string, metric_value double"))
-    t.replace(spark.createDataFrame([("c", 3.0)], "metric_name string, metric_value double"))
-    assert [r["metric_name"] for r in t.read().collect()] == ["c"]
-    t.vacuum(keep=1)
-    assert t.versions() == [2]
+
+def _files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
 
 
 def test_upsert_insert_update_unchanged_and_idempotent(spark, tmp_dir):
-    t = TB.SnapshotTable(spark, os.path.join(tmp_dir, "u"))
-    t.upsert(spark.createDataFrame([("a", 1.0), ("b", 2.0)], SCHEMA), ["k"])       # insert into empty
-    batch = spark.createDataFrame([("b", 20.0), ("c", 3.0)], SCHEMA)
-    once = {r["k"]: r["v"] for r in t.upsert(batch, ["k"]).collect()}
-    assert once == {"a": 1.0, "b": 20.0, "c": 3.0}                # a unchanged, b updated, c inserted
-    twice = {r["k"]: r["v"] for r in t.upsert(batch, ["k"]).collect()}
-    assert twice == once
+    path = os.path.join(tmp_dir, "u")
+    TB.upsert_table(spark.createDataFrame([("S1", "2023-01", 1.0), ("S1", "2023-02", 2.0), ("S2", "2023-02", 9.0)], MONTHS),
+                    path, KEYS, "year_month")                                     # insert into nothing
+    before = _files(path)
+    batch = spark.createDataFrame([("S1", "2023-02", 5.0), ("S2", "2023-03", 7.0)], MONTHS)
+    want = {("S1", "2023-01"): 1.0, ("S1", "2023-02"): 5.0, ("S2", "2023-02"): 9.0, ("S2", "2023-03"): 7.0}
+    for _ in range(2):
+        out = TB.upsert_table(batch, path, KEYS, "year_month")
+        assert out.columns == ["seller_id", "year_month", "v"] and dict(out.dtypes)["year_month"] == "string"
+        assert {(r[0], r[1]): r[2] for r in out.collect()} == want
+    after = _files(path)
+    old = [f for f in before if "2023-01" in f]
+    assert old and all(after[f] == before[f] for f in old)                        # an untouched month is not rewritten
+    assert not any(f in after for f in before if "2023-02" in f)
+    assert TB.upsert_table(batch.limit(0), path, KEYS, "year_month").count() == 4
+
+
+def test_upsert_reads_touched_months_only(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "p")
+    rows = [(f"S{i}", f"2023-{m:02d}", 1.0) for i in range(5) for m in range(1, 13)]
+    TB.replace_table(spark.createDataFrame(rows, MONTHS), path, KEYS, "year_month")
+    plan = TB.read_table(spark, path, spark.createDataFrame([], MONTHS).schema).where("year_month in ('2023-03')")
+    assert "PartitionFilters: [isnotnull(year_month" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("rows", [[("S1", "2023-01", 1.0), ("S1", "2023-01", 2.0)], [("S1", None, 1.0)], [(None, "2023-01", 1.0)]])
+def test_upsert_rejects_repeated_and_incomplete_keys(spark, tmp_dir, rows):
+    with pytest.raises(ValueError):
+        TB.upsert_table(spark.createDataFrame(rows, MONTHS), os.path.join(tmp_dir, "d"), KEYS, "year_month")
 
 
-def test_upsert_rejects_duplicate_keys_in_batch(spark, tmp_dir):
-    t = TB.SnapshotTable(spark, os.path.join(tmp_dir, "d"))
+def test_upsert_partitions_by_a_key_column(spark, tmp_dir):
     with pytest.raises(ValueError):
-        t.upsert(spark.createDataFrame([("a", 1.0), ("a", 2.0)], SCHEMA), ["k"])
+        TB.upsert_table(spark.createDataFrame([("a", "b", 1.0)], MONTHS), os.path.join(tmp_dir, "d"), KEYS, "v")
 
 
-def test_upsert_composite_key(spark, tmp_dir):
-    t = TB.SnapshotTable(spark, os.path.join(tmp_dir, "c"))
-    s = "seller_id string, year_month string, v double"
-    t.replace(spark.createDataFrame([("S1", "2023-01", 1.0), ("S1", "2023-02", 2.0)], s))
-    out = t.upsert(spark.createDataFrame([("S1", "2023-02", 5.0), ("S2", "2023-02", 7.0)], s),
-                   ["seller_id", "year_month"])
-    got = {(r[0], r[1]): r[2] for r in out.collect()}
-    assert got == {("S1", "2023-01"): 1.0, ("S1", "2023-02"): 5.0, ("S2", "2023-02"): 7.0}
+def test_database_upsert_is_one_statement():
+    assert TB.upsert_statement("m", "m_staging", ["seller_id", "year_month", "v"], KEYS) == (
+        "INSERT INTO m (seller_id, year_month, v) SELECT seller_id, year_month, v FROM m_staging "
+        "ON CONFLICT (seller_id, year_month) DO UPDATE SET v = EXCLUDED.v")
+    assert TB.upsert_statement("m", "s", ["k"], ["k"]).endswith("DO NOTHING")
 
 
 def test_append_log_and_read(spark, tmp_dir):
@@ -93,20 +119,6 @@ def test_serving_read_needs_no_success_marker(spark, tmp_dir):
     assert TB.serving_read(spark, "revenue_by_category", schemas.REVENUE_BY_CATEGORY, tmp_dir).count() == 1
 
 
-def test_snapshot_versions_are_never_overwritten_and_keys_are_checked(spark, tmp_dir, monkeypatch):
-    import pytest
-    df = spark.createDataFrame([("a", 1.0, 1, 1.0), ("b", 2.0, 1, 2.0)], schemas.REVENUE_BY_CATEGORY)
-    table = TB.SnapshotTable(spark, os.path.join(tmp_dir, "t"), schemas.REVENUE_BY_CATEGORY)
-    table.replace(df, keys=["category"])
-    with pytest.raises(ValueError):
-        table.replace(df.union(df), keys=["category"])
-    monkeypatch.setattr(TB.SnapshotTable, "versions", lambda self: [])      # another writer took version 1
-    with pytest.raises(RuntimeError):
-        table.replace(df.limit(0))
-    monkeypatch.undo()
-    assert table.versions() == [1] and table.read().count() == 2
-
-
 def test_shuffle_sizing(spark, tmp_dir):
     from ordermart.session import input_bytes, size_shuffles_for, suggest_shuffle_partitions
     assert suggest_shuffle_partitions(0) == 8
