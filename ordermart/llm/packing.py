@@ -24,11 +24,14 @@ from ordermart.llm.common import slices, stored
 
 LENGTH = 2048
 END = 1
-_BLOCK = 1 << 20          # characters of one text handled at once
+_BLOCK = 1 << 16          # characters of one text handled at once
+_OUT = 1 << 20            # bytes of ids in one batch handed on
+_TASKS = 200_000          # tasks whose offsets (13 numbers each at most) are broadcast
 
 
 def default_ranks() -> str:
-    """The rank file of the vocabulary ``byte_bpe_50k.json`` (same ids; read by a faster library)."""
+    """The rank file of the vocabulary ``byte_bpe_50k.json`` (same ids; read by a faster library), where
+    this process runs."""
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -41,8 +44,11 @@ class Tokens:
         import tiktoken
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.ids_of = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
-                                        special_tokens={}).encode_ordinary
+        self.encoding = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
+                                          special_tokens={})
+
+    def ids_of(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, disallowed_special=())
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers (none for null or empty).  Long texts are cut
@@ -53,14 +59,15 @@ class Tokens:
             while end < len(text) and not (text[end] == " " and end + 1 < len(text) and not text[end + 1].isspace()):
                 end = text.find(" ", end + 1)
                 end = len(text) if end < 0 else end
-            out.append(np.array(self.ids_of(text[at:end]), "<u4").tobytes())
+            out.append(self.ids_of(text[at:end]).astype("<u4", copy=False).tobytes())
             at = end
         return b"".join(out)
 
 
 @lru_cache(maxsize=2)
-def tokens_for(ranks: str) -> Tokens:
-    return Tokens(ranks)
+def tokens_for(ranks: str | None = None) -> Tokens:
+    """The task's tokenizer; None: the public vocabulary, found where the task runs."""
+    return Tokens(ranks or default_ranks())
 
 
 def piece_lengths(total: int, longest: int = LENGTH) -> list[int]:
@@ -72,35 +79,32 @@ def piece_lengths(total: int, longest: int = LENGTH) -> list[int]:
 _PIECES = "doc_id {id}, start long, length long, tokens binary, doc_tokens long, task int, rank long"
 
 
-def cut(docs: DataFrame, ranks: str, longest: int = LENGTH, end: int = END) -> DataFrame:
+def cut(docs: DataFrame, ranks: str | None = None, longest: int = LENGTH, end: int = END) -> DataFrame:
     """The pieces of ``docs`` (doc_id, text), each with its ids, its task and its place there among
-    pieces of its length."""
+    pieces of its length.  A task holds one text's ids and about ``_OUT`` bytes of pieces."""
     tail = np.array([end], "<u4").tobytes()
+    names = ["doc_id", "start", "length", "tokens", "doc_tokens", "task", "rank"]
 
     def run(batches):
         encode, task = tokens_for(ranks).encode, TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text", 256, 4 << 20):
-                ids, starts, lengths, pieces, totals, places = [], [], [], [], [], []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    data = encode(text) + tail
+            kinds = [batch.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
+            for part in slices(batch, "text", 64, 1 << 18):
+                rows, size = [], 0
+                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
+                    data = encode(text.as_py()) + tail
                     at, total = 0, len(data) // 4
                     for n in piece_lengths(total, longest):
-                        ids.append(doc)
-                        starts.append(at)
-                        lengths.append(n)
-                        pieces.append(data[4 * at:4 * (at + n)])
-                        totals.append(total)
-                        places.append(seen.get(n, 0))
-                        seen[n] = places[-1] + 1
+                        rows.append((doc, at, n, data[4 * at:4 * (at + n)], total, task, seen.get(n, 0)))
+                        seen[n] = rows[-1][-1] + 1
                         at += n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, id_type), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
-                     pa.array(pieces, pa.binary()), pa.array(totals, pa.int64()),
-                     pa.array([task] * len(ids), pa.int32()), pa.array(places, pa.int64())],
-                    names=["doc_id", "start", "length", "tokens", "doc_tokens", "task", "rank"])
+                        size += 4 * n
+                        if size >= _OUT:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                            rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     return docs.mapInArrow(run, _PIECES.format(id=docs.schema["doc_id"].dataType.simpleString()))
 
@@ -116,7 +120,7 @@ def pack(docs: DataFrame, ranks: str | None = None, text: str = "text", longest:
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
     pieces = stored(cut(docs.select("doc_id", F.col(text).cast("string").alias("text")),
-                        ranks or default_ranks(), longest, end), "pieces")
+                        ranks, longest, end), "pieces")
     counts = stored(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "counts")
     totals = counts.groupBy("length").agg(F.sum("n").alias("n"))           # at most 1 + log2(longest) rows
     before = F.sum("n").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1))
@@ -124,6 +128,8 @@ def pack(docs: DataFrame, ranks: str | None = None, text: str = "text", longest:
     inside = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     base = (counts.withColumn("inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(buckets), "length")
             .select("length", "task", (F.col("bucket") + F.col("inside")).alias("base")))
+    if counts.agg(F.count_distinct("task")).first()[0] <= _TASKS:      # else the pieces are shuffled
+        base = F.broadcast(base)
     return (pieces.join(base, ["length", "task"])
             .select("doc_id", "start", "length", "tokens", "doc_tokens",
                     (F.col("base") + F.col("rank")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
