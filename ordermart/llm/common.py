@@ -10,13 +10,17 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.session import scratch_path
+from ordermart.session import delete_path, scratch_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Folders that this process wrote, in order (see ``clear``).
+_WRITTEN: list[str] = []
+
+
 def shared_folder(spark: SparkSession, tag: str) -> str:
     """A new folder under ``spark.checkpoint.dir``: every executor can read what another wrote."""
     return scratch_path(spark, "llm", f"{tag}-{uuid.uuid4().hex}")
@@ -26,10 +30,35 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, and a lost
     executor costs no recomputation of what came before."""
     path = shared_folder(df.sparkSession, tag)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, row: str, tag: str) -> DataFrame:
+    """``df``, stored with a number for each row (column ``row``).  The numbers are part of the table, so
+    every later scan sees the same ones, however it cuts the files."""
+    return stored(df.withColumn(row, F.monotonically_increasing_id()), tag)
+
+
+def written() -> int:
+    """How many folders ``stored`` has written so far: a mark for ``clear``."""
+    return len(_WRITTEN)
+
+
+def clear(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables stored after the mark ``since``, but those named in ``keep``.  To be called when
+    all results that read them are written."""
+    for path in _WRITTEN[since:]:
+        if path not in keep:
+            delete_path(spark, path)
+    _WRITTEN[since:] = [p for p in _WRITTEN[since:] if p in keep]
+
+
+def last_written() -> str:
+    return _WRITTEN[-1]
+
+
 def held_out(doc_id: str = "doc_id", fold: int = 2, folds: int = 4) -> Column:
     """True for rows whose crc32(id as text) mod ``folds`` is ``fold``; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % F.lit(folds) == F.lit(fold), F.lit(False))

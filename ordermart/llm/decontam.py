@@ -4,10 +4,11 @@ The documents are indexed in segments of about ``SEGMENT`` words.  A segment hol
 the sorted list of its word positions (documents lie one after the other, a free position between
 them), and is one row of the index table.  Only terms that the benchmark has are stored: no query
 asks for others.  A benchmark window (``window`` consecutive words of an item, or a shorter item as a
-whole) is answered per segment by intersecting the posting lists of its terms, each shifted by the
-term's offset in the window, from the rarest term of the corpus on; the survivors are exact phrase
-matches.  Proximity matches (all terms of the window within ``slop`` words more than its length) start
-from the rarest term's list, too.
+whole) is filed under its term that is rarest in the corpus (ties: the first); a segment visits only
+the windows filed under terms that it has.  It answers them by intersecting the posting lists of the
+window's terms, each shifted by the term's offset in the window, from the rarest on; the survivors are
+exact phrase matches.  Proximity matches (an occurrence of the rarest term with every other term of the
+window at most its length - 1 + ``slop`` words away in the same document) start from that list, too.
 
 Scale: two scans' worth of work and no shuffle of postings, since a segment answers for its own
 documents.  The benchmark goes to the tasks in blocks of at most ``BLOCK_BYTES`` of item text, one
@@ -24,9 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import slices, spare_name, stored
+from ordermart.llm.common import numbered, slices, spare_name, stored
 
 WINDOW = 10
+SLOP = 5                       # words that may stand between the terms of a proximity match
 SEGMENT = 1 << 20              # words of a segment, exceeded only by a longer document
 BLOCK_BYTES = 16 << 20         # benchmark text sent to tasks at once
 
@@ -118,23 +120,27 @@ class Segment:
         self.lists = {int(t): positions[e - c:e] for t, c, e in zip(terms, counts, ends)}
         self.begins = np.concatenate(([0], np.cumsum(n_words + 1)))
         self.size = int(self.begins[-1])
-        self.at = np.full(self.size, -1, np.int32)      # which list a position belongs to
-        self.at[positions] = np.repeat(terms, counts)
+
+    def visited(self, filed: dict[int, list[int]]):
+        """The windows filed under a term of this segment."""
+        fewer, more = (filed, self.lists) if len(filed) < len(self.lists) else (self.lists, filed)
+        for term in fewer:
+            if term in more:
+                yield from filed[term]
 
     def phrase(self, window: tuple[int, ...], by_rarity: list[int]) -> np.ndarray:
         """Start positions of the window: the rarest term's list, shifted by its offset, intersected
         with each other term's shifted list."""
-        first = by_rarity[0]
-        start = self.lists.get(window[first])
-        if start is None:
+        lists = [self.lists.get(window[j]) for j in by_rarity]
+        if any(x is None for x in lists):
             return np.empty(0, np.int64)
-        start = start.astype(np.int64) - first
-        start = start[(start >= 0) & (start + len(window) <= self.size)]
-        for j in by_rarity[1:]:
+        start = lists[0].astype(np.int64) - by_rarity[0]
+        for j, other in zip(by_rarity[1:], lists[1:]):
             if not len(start):
                 break
-            start = start[self.at[start + j] == window[j]]
-        return start
+            place = np.minimum(np.searchsorted(other, start + j), len(other) - 1)
+            start = start[other[place] == start + j]
+        return start              # the free positions between documents are in no list
 
     def near(self, window: tuple[int, ...], by_rarity: list[int], slop: int) -> np.ndarray:
         """Positions of the rarest term with every other term of the window within
@@ -164,12 +170,17 @@ def search(index: DataFrame, queries: Windows, rarity: dict[int, int], slop: int
     id_type = index.schema["doc_id"].dataType.elementType.simpleString()
     orders = [sorted(range(len(w)), key=lambda j: (rarity.get(w[j], 0), j)) for w in queries.windows]
 
+    filed: dict[int, list[int]] = {}
+    for k, (w, order) in enumerate(zip(queries.windows, orders)):
+        filed.setdefault(w[order[0]], []).append(k)
+
     def answer(ids, places, n_words, terms, counts, positions):
         seg = Segment(n_words, terms, counts, positions)
         edge = np.zeros(seg.size + 1, np.int32)
         items: dict[int, set[str]] = {}
         near: dict[int, set[str]] = {}
-        for window, order, names in zip(queries.windows, orders, queries.items):
+        for k in seg.visited(filed):
+            window, order, names = queries.windows[k], orders[k], queries.items[k]
             start = seg.phrase(window, order)
             if len(start):
                 np.add.at(edge, start, 1)
@@ -271,13 +282,13 @@ def n_hit(spans):
 
 
 def op7_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    found = matches(docs.select("doc_id", "text"), benchmark)
+    found = matches(docs.select("doc_id", "text"), benchmark, slop=SLOP)
     hits = n_hit(F.col("spans"))
     return found.select(
         "doc_id", F.col("n_words").cast("long").alias("n_words"), hits.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("spans") > 0).alias("contaminated"))
+        (F.size("spans") > 0).alias("contaminated"), F.size("near").cast("long").alias("n_near"))
 
 
 ORACLE = r"""
@@ -305,18 +316,34 @@ hit AS (
 named AS (
   SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
+windows AS (
+  SELECT DISTINCT item_id, w[i : i + least(10, len(w)) - 1] AS terms
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10 + 1, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS (SELECT r, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS p FROM words),
+counted AS (SELECT term, count(*) AS n FROM places GROUP BY term),
+ranked AS (
+  SELECT item_id, terms, t.term, t.j, coalesce(c.n, 0) AS n
+  FROM (SELECT item_id, terms, unnest(terms) AS term, unnest(range(1, len(terms) + 1)) AS j FROM windows) t
+  LEFT JOIN counted c ON t.term = c.term),
+rarest AS (
+  SELECT item_id, terms, arg_min(term, n * 100 + j) AS term FROM ranked GROUP BY item_id, terms),
+close AS (
+  SELECT r, count(DISTINCT item_id) AS n_near
+  FROM (SELECT p.r, x.item_id, x.terms, p.p, w.w FROM rarest x JOIN places p ON p.term = x.term JOIN words w ON w.r = p.r)
+  WHERE list_has_all(w[greatest(1, p - len(terms) + 1 - 5) : p + len(terms) - 1 + 5], terms) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM words LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+       coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM words LEFT JOIN hit USING (r) LEFT JOIN named USING (r) LEFT JOIN close USING (r)
 """
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Pipeline stage: documents without any benchmark window stay.  ``docs`` is a Parquet table, so
-    a row's place in the scan names it."""
+    """Pipeline stage: documents without any benchmark window stay, all their columns (any names) as they
+    were.  Null and empty texts have no window and stay; repeated rows and null ids are judged each on its
+    own; an empty benchmark drops nothing; no rows in: no rows out."""
     place = spare_name(docs.columns, "row_place")
-    light = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place"))
+    whole = numbered(docs, place, "documents")
+    light = whole.select("doc_id", "text", F.col(place).alias("place"))
     bad = matches(light, benchmark).where(F.size("spans") > 0).select(F.col("place").alias(place))
-    return (docs.withColumn(place, F.monotonically_increasing_id())
-            .join(bad, place, "left_anti").select(docs.columns))
+    return whole.join(bad, place, "left_anti").select(docs.columns)

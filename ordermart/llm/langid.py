@@ -30,8 +30,10 @@ NGRAM = 3
 SEED = 20231
 UNKNOWN = "und"
 _SPACE = np.array([32], np.uint32)
-_BLOCK = 1 << 21          # n-grams handled at once, also within one long document
+_BLOCK = 1 << 20          # n-grams handled at once, also within one long document
 _DENSE = 1 << 22          # up to so many possible n-grams are counted in a table, more by sorting
+_COLUMNS = 1 << 13        # distinct n-grams whose vectors are made at once
+_CELLS = 1 << 22          # up to so many (row, n-gram) counts are held in a table, more as sorted cells
 
 
 @lru_cache(maxsize=1)
@@ -93,6 +95,23 @@ def _distinct(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found, place[key]
 
 
+def _count_blocks(at: np.ndarray, owner: np.ndarray, n_grams: int, n_rows: int):
+    """(first n-gram, counts of each row for up to ``_COLUMNS`` n-grams), block by block: memory grows
+    neither with the alphabet nor with rows times n-grams."""
+    if n_grams * n_rows <= _CELLS:
+        cells = np.bincount(owner * n_grams + at, minlength=n_rows * n_grams).reshape(n_rows, n_grams)
+        for begin in range(0, n_grams, _COLUMNS):
+            yield begin, cells[:, begin:begin + _COLUMNS].astype(np.float32)
+        return
+    cells, often = np.unique(at.astype(np.int64) * n_rows + owner, return_counts=True)
+    for begin in range(0, n_grams, _COLUMNS):
+        width = min(_COLUMNS, n_grams - begin)
+        i, j = np.searchsorted(cells, [begin * n_rows, (begin + width) * n_rows])
+        out = np.zeros((n_rows, width), np.float32)
+        out[cells[i:j] % n_rows, cells[i:j] // n_rows - begin] = often[i:j]
+        yield begin, out
+
+
 def bundles(texts: list[str | None], groups: list[int], n_groups: int, dim: int, seed: int) -> np.ndarray:
     """Sum of n-gram vectors per group: ``groups[i]`` is the row that text i is added to."""
     total = np.zeros((n_groups, dim), np.float64)
@@ -111,10 +130,11 @@ def bundles(texts: list[str | None], groups: list[int], n_groups: int, dim: int,
                 keys.append(key)
             groups_here, row = np.unique(rows, return_inverse=True)
             found, at = _distinct(np.concatenate(keys), base ** NGRAM)
-            at = at + np.repeat(row * len(found), [len(k) for k in keys])
-            counts = np.bincount(at, minlength=len(groups_here) * len(found))
-            counts = counts.reshape(len(groups_here), len(found)).astype(np.float32)
-            total[groups_here] += counts @ ngram_vectors(found, letters, dim, seed)
+            owner = np.repeat(row, [len(k) for k in keys])
+            del keys
+            for begin, counts in _count_blocks(at, owner, len(found), len(groups_here)):
+                vectors = ngram_vectors(found[begin:begin + counts.shape[1]], letters, dim, seed)
+                total[groups_here] += counts @ vectors
         parts, rows, waiting = [], [], 0
 
     for text, group in zip(texts, groups):
@@ -132,8 +152,14 @@ def bundles(texts: list[str | None], groups: list[int], n_groups: int, dim: int,
 
 def learn_prototypes(docs: DataFrame, dim: int = DIM, seed: int = SEED) -> dict[str, np.ndarray]:
     """Language -> prototype vector, from all rows of (text, lang) with a non-null lang."""
+    return {k: v for k, (v, _) in learn_profiles(docs, dim, seed).items()}
+
+
+def learn_profiles(docs: DataFrame, dim: int = DIM, seed: int = SEED) -> dict[str, tuple[np.ndarray, int]]:
+    """Language -> prototype vector and number of n-grams in it."""
     def partial(batches):
         sums: dict[str, np.ndarray] = {}
+        grams: dict[str, int] = {}
         for batch in batches:
             for piece in slices(batch, "text", 512, 4 << 20):
                 langs = piece.column("lang").to_pylist()
@@ -142,10 +168,12 @@ def learn_prototypes(docs: DataFrame, dim: int = DIM, seed: int = SEED) -> dict[
                 got = bundles(piece.column("text").to_pylist(), [place[x] for x in langs], len(names), dim, seed)
                 for name, row in zip(names, got):
                     sums[name] = sums.get(name, 0) + np.rint(row).astype(np.int64)
-        for name in sorted(sums):
+                for name, n in zip(langs, n_grams(piece.column("text").to_pylist())):
+                    grams[name] = grams.get(name, 0) + n
+        for name in sorted(sums):       # dimension -1: the number of n-grams
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([name] * dim, pa.string()), "dim": pa.array(range(dim), pa.int32()),
-                "value": pa.array(sums[name], pa.int64())})
+                "lang": pa.array([name] * (dim + 1), pa.string()), "dim": pa.array(range(-1, dim), pa.int32()),
+                "value": pa.array(np.concatenate(([grams[name]], sums[name])), pa.int64())})
 
     rows = (docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
             .where("text IS NOT NULL AND lang IS NOT NULL")
@@ -154,7 +182,23 @@ def learn_prototypes(docs: DataFrame, dim: int = DIM, seed: int = SEED) -> dict[
             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dim", "value"))).alias("v"))
             .collect())   # languages x dimensions numbers
     out = {r["lang"]: np.array([x["value"] for x in r["v"]], np.float64) for r in rows}
-    return {k: out[k] for k in sorted(out) if np.any(out[k])}
+    return {k: (out[k][1:], int(out[k][0])) for k in sorted(out) if np.any(out[k][1:])}
+
+
+def n_grams(texts: list[str | None]) -> list[int]:
+    """How many n-grams each text has."""
+    return [max(0, len(letters_of(t)) - NGRAM + 1) for t in texts]
+
+
+def expected_cosine(n, variety: float):
+    """The cosine that ``n`` n-grams drawn from a language have with its prototype on average, where
+    ``variety`` is 1 / the sum of its squared n-gram shares: sqrt(n / (n - 1 + variety))."""
+    return np.sqrt(n / (n - 1 + variety)) if np.isscalar(n) else F.sqrt(n / (n - F.lit(1.0) + F.lit(variety)))
+
+
+def variety_of(prototype: np.ndarray, n: int) -> float:
+    """1 / the sum of the squared n-gram shares of a prototype made of ``n`` n-grams."""
+    return max(1.0, len(prototype) * float(n) ** 2 / float(prototype @ prototype))
 
 
 def predict(texts: list[str | None], names: list[str], prototypes: np.ndarray, dim: int, seed: int):
@@ -173,12 +217,13 @@ def predict(texts: list[str | None], names: list[str], prototypes: np.ndarray, d
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text",
              lang_col: str = "lang_pred", score_col: str = "score",
-             dim: int = DIM, seed: int = SEED) -> DataFrame:
+             dim: int = DIM, seed: int = SEED, grams_col: str | None = None) -> DataFrame:
     """``docs`` with two more columns: the language and its cosine.
 
     Null, empty or letterless text: ``und`` with score 0.  No prototypes: ``und`` everywhere.
     Equal cosines: the first language in alphabetical order.  Repeated rows stay, each with the
-    same answer; other columns pass through untouched (the two new names must be free).
+    same answer; other columns pass through untouched (the new names must be free).  ``grams_col``: a further
+    column with the number of n-grams.
     """
     names = sorted(prototypes)
     unit = np.stack([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names]) if names else np.zeros((0, dim))
@@ -188,13 +233,17 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "te
     work = spare_name(docs.columns, "text_of")
 
     def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = predict(batch.column(work).to_pylist(), names, unit, dim, seed)
+        texts = batch.column(work).to_pylist()
+        langs, scores = predict(texts, names, unit, dim, seed)
+        new = {lang_col: pa.array(langs, pa.string()), score_col: pa.array(scores, pa.float64())}
+        if grams_col:
+            new[grams_col] = pa.array(n_grams(texts), pa.int64())
         keep = [i for i, n in enumerate(batch.schema.names) if n != work]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(i) for i in keep] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-            names=[batch.schema.names[i] for i in keep] + [lang_col, score_col])
+        return pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + list(new.values()),
+                                          names=[batch.schema.names[i] for i in keep] + list(new))
 
-    schema = docs.select("*", F.lit("").alias(lang_col), F.lit(0.0).alias(score_col)).schema
+    added = {lang_col: F.lit(""), score_col: F.lit(0.0)} | ({grams_col: F.lit(0).cast("long")} if grams_col else {})
+    schema = docs.withColumns(added).schema
     return map_batches(docs.withColumn(work, F.col(text).cast("string")), add, schema, column=work)
 
 
@@ -205,13 +254,30 @@ def op10_query(docs: DataFrame) -> DataFrame:
     return identify(rows, prototypes).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.1, min_chars: int = 200) -> DataFrame:
-    """Pipeline stage: documents with a recognised language.  Rejected are those without a letter,
-    and texts of ``min_chars`` or more with a best cosine under ``min_score``: hardly any of their
-    n-grams is of a known language (random vectors alone reach about 0.05; a short text of a known
-    language can have as little, so short texts stay)."""
-    lang, score = spare_name(docs.columns, "lang_pred"), spare_name(docs.columns, "lang_score")
-    prototypes = learn_prototypes(docs.where(learnable()))
-    found = identify(docs, prototypes, lang_col=lang, score_col=score)
-    strange = (F.col(score) < min_score) & (F.length("text") >= min_chars)
-    return found.where((F.col(lang) != UNKNOWN) & ~strange).select(docs.columns)
+#: ``keep_known`` rejects a text below this share of the cosine its length makes expect ...
+SHARE = 0.25
+#: ... by more than so many standard deviations of the cosine of random vectors.
+DEVIATIONS = 3.0
+
+
+def keep_known(docs: DataFrame, share: float = SHARE, deviations: float = DEVIATIONS, dim: int = DIM) -> DataFrame:
+    """Pipeline stage: documents with a recognised language, all their columns (any names) as they were.
+
+    Rejected are texts without a letter (null and empty ones, too), and those whose cosine with the best
+    language lies more than ``deviations`` / sqrt(dim) (the noise of random vectors) below ``share`` of
+    what a text with as many n-grams of that language has on average: few of their n-grams are of any
+    known language.  One rule for all lengths: for short texts the expected cosine is itself within the
+    noise, so these are kept.  Repeated rows are judged alike.  Without any labelled document there is no
+    known language and nothing stays; no rows in: no rows out.
+    """
+    names = {}
+    for c in ("lang_pred", "lang_score", "lang_grams"):
+        names[c] = spare_name([*docs.columns, *names.values()], c)
+    lang, score, grams = names.values()
+    profiles = learn_profiles(docs.where(learnable()), dim)
+    found = identify(docs, {k: v for k, (v, _) in profiles.items()}, lang_col=lang, score_col=score, grams_col=grams, dim=dim)
+    least = F.lit(0.0)
+    for name, (prototype, n) in profiles.items():
+        wanted = F.lit(share) * expected_cosine(F.col(grams), variety_of(prototype, n)) - F.lit(deviations / dim ** 0.5)
+        least = F.when(F.col(lang) == F.lit(name), wanted).otherwise(least)
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(docs.columns)

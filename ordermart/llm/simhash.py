@@ -1,19 +1,20 @@
 """Near duplicates by SimHash fingerprints, found through a byte-position inverted index.
 
 A fingerprint is 64 bits = 8 bytes.  Two fingerprints that differ in at most ``max_bits`` = 2 bits
-share at least 6 of their 8 bytes at the same positions.  The index therefore posts each distinct
-fingerprint under (position, byte) terms, four of them at a time so that posting lists stay short:
-the 8 positions form 4 pairs, and two fingerprints with 6 equal bytes agree on at least two whole
-pairs, so one of the 6 pair-of-pairs keys holds both.  Within a posting list the shared positional
-bytes of each pair are counted, pairs with fewer than 6 are dropped, the rest is verified by
-Hamming distance.
-
-Long lists never become all pairs.  A list of more than ``LIST`` fingerprints is split by two more
-positional bytes (any 6 of the 8 bytes again cover every link); what is still long - over ``LIST``
-distinct fingerprints that agree on 6 bytes - is linked through shared midpoints: two values of the
-remaining 16 bits differ in at most 2 bits exactly if some value is at most 1 bit from both, so each
-fingerprint names its 17 such values and all that name one are linked to the smallest of them.
-Rows grow in proportion to the fingerprints on every way, and no link is lost.
+share at least 6 of their 8 bytes at the same positions.  The index posts each distinct fingerprint
+under positional bytes, four of them at a time so that posting lists stay short: the 14 sets of four
+positions whose numbers cancel out under XOR.  Any six positions hold exactly three of these sets, any
+seven hold seven, and any five only one.  So the number of lists that two fingerprints share tells
+whether they agree in six bytes: pairs are tallied over all lists, those with fewer than three are
+dropped, the rest is verified by Hamming distance.
+
+Long lists never become all pairs.  The fingerprints of a list of more than ``LIST`` are posted again
+under six positional bytes (any 6 of the 8 bytes again cover every link); what is still long - over
+``LIST`` distinct fingerprints that agree on 6 bytes - is linked through shared midpoints: two values of
+the remaining 16 bits differ in at most 2 bits exactly if some value is at most 1 bit from both, so each
+fingerprint names its 17 such values and all that name one are linked to the smallest of them.  A pair
+that shares a long list is found this way, one that shares none by its tally.  Rows grow in proportion
+to the fingerprints on every way, and no link is lost.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import map_batches, spare_name, stored
+from ordermart.llm.common import map_batches, numbered, spare_name, stored
 from ordermart.llm.graph import components
 
 SHINGLE = 3
@@ -104,10 +105,10 @@ def _masked(fp: Column, positions) -> Column:
     return fp.bitwiseAND(F.lit(_mask(positions)).cast("long"))
 
 
-def shared_bytes(a: Column, b: Column) -> Column:
-    """At how many of the 8 positions the two fingerprints have the same byte."""
-    x = a.bitwiseXOR(b)
-    return sum((F.when(_masked(x, [p]) == 0, 1).otherwise(0) for p in range(8)), F.lit(0))
+#: Sets of four positions whose numbers cancel out: any six positions hold three of them.
+QUADS = [q for q in combinations(range(8), 4) if q[0] ^ q[1] ^ q[2] ^ q[3] == 0]
+#: Lists that two fingerprints share at least when they differ in so many bits.
+LEAST = {1: 7, 2: 3}
 
 
 def _posted(rows: DataFrame, keys: list[tuple[int, ...]], out: str) -> DataFrame:
@@ -119,44 +120,45 @@ def _posted(rows: DataFrame, keys: list[tuple[int, ...]], out: str) -> DataFrame
     return posts.join(lists, out)
 
 
-def _pairs(posts: DataFrame, key: str, max_bits: int) -> DataFrame:
-    """Verified links within short lists: at most ``LIST`` / 2 candidates a posting."""
+def _pairs(posts: DataFrame, key: str) -> DataFrame:
+    """Pairs within short lists, one row a list: at most ``LIST`` / 2 a posting."""
     a, b = posts.select(key, F.col("fp").alias("a")), posts.select(key, F.col("fp").alias("b"))
-    return (a.join(b, key).where("a < b")
-            .where(shared_bytes(F.col("a"), F.col("b")) >= 8 - max_bits)
-            .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-            .select("a", "b"))
+    return a.join(b, key).where("a < b").select("a", "b")
+
+
+def tallied(posts: DataFrame, key: str, least: int) -> DataFrame:
+    """Pairs that share at least ``least`` lists."""
+    return _pairs(posts, key).groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("a", "b")
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, longest: int = LIST) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) that connect all pairs at
     ``max_bits`` or fewer differing bits; every row is such a pair, or two that a chain of such
-    pairs connects.  Supports up to 2 bits, for which the index guarantees a common key."""
+    pairs connects.  Supports up to 2 bits, for which the index guarantees common lists."""
     if not 0 <= max_bits <= 2:
-        raise ValueError("the 4-byte keys find every pair only up to 2 differing bits")
-    pairs = [(0, 1), (2, 3), (4, 5), (6, 7)]
-    quads = [p + q for p, q in combinations(pairs, 2)]
+        raise ValueError("the index finds every pair only up to 2 differing bits")
+    if max_bits == 0:                       # distinct fingerprints differ
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     sixes = list(combinations(range(8), 6))
-    posts = stored(_posted(fps.select("fp"), quads, "quad"), "postings")
-    found = _pairs(posts.where(F.col("n") <= longest), "quad", max_bits)
+    posts = stored(_posted(fps.select("fp"), QUADS, "quad"), "postings")
+    found = tallied(posts.where(F.col("n") <= longest), "quad", LEAST[max_bits]).where(near)
     long = posts.where(F.col("n") > longest).select("fp").distinct()
     deep = stored(_posted(long, sixes, "six"), "postings")
-    found = found.union(_pairs(deep.where(F.col("n") <= longest), "six", max_bits))
+    found = found.union(_pairs(deep.where(F.col("n") <= longest), "six").where(near))
     hot = deep.where(F.col("n") > longest).select("fp", "six")
+    bits = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << i)).cast("long") for i in range(64)])
+    free = F.element_at(F.array(*[F.lit(_mask(set(range(8)) - set(s))).cast("long") for s in sixes]),
+                        F.col("six.which") + 1)
+    flips = F.explode(F.filter(bits, lambda x: x.bitwiseAND(free) == x)).alias("flip")
     if max_bits == 2:
-        flips = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << i)).cast("long") for i in range(64)])
-        free = F.element_at(F.array(*[F.lit(_mask(set(range(8)) - set(s))).cast("long") for s in sixes]),
-                            F.col("six.which") + 1)
-        near = hot.select("fp", F.explode(F.filter(flips, lambda x: x.bitwiseAND(free) == x)).alias("flip"))
-        near = near.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
-        low = near.groupBy("middle").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-        found = found.union(near.join(low, "middle").where("fp <> a").select("a", F.col("fp").alias("b")))
-    else:
-        near = hot.select("fp", F.explode(F.array(*[F.col("fp")] + [
-            F.col("fp").bitwiseOR(F.lit(_signed(1 << i)).cast("long")) for i in range(64 * max_bits)])).alias("middle"))
-        low = near.groupBy("middle").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-        found = found.union(near.join(low, "middle").where("fp <> a").select("a", F.col("fp").alias("b")))
-    return found
+        middles = hot.select("fp", flips).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
+        low = middles.groupBy("middle").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
+        return found.union(middles.join(low, "middle").where("fp <> a").select("a", F.col("fp").alias("b")))
+    # one bit: a fingerprint and the one that has this bit, too
+    less = (hot.select("fp", flips).where((F.col("flip") != 0) & (F.col("fp").bitwiseAND(F.col("flip")) == F.col("flip")))
+            .select(F.col("fp").alias("a"), F.col("fp").bitwiseXOR(F.col("flip")).alias("b")))
+    return found.union(less.join(fps.select(F.col("fp").alias("b")).distinct(), "b", "left_semi").select("a", "b"))
 
 
 def _signed(value: int) -> int:
@@ -193,16 +195,13 @@ def op9_query(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Pipeline stage: one document of each component stays, the one with its smallest doc_id; of
-    repeated rows with that id the first stays, as of rows without any id.
-
-    ``docs`` is a Parquet table (as all stages get), so a row's place in the scan names it: both
-    scans cut the same files in the same way, whichever columns they read.
-    """
+    repeated rows with that id the first stays, as of rows without any id.  Null and empty texts form
+    one component with all texts of fingerprint 0.  Other columns (any names) stay as they were; no rows
+    in: no rows out."""
     place = spare_name(docs.columns, "row_place")
-    light = docs.select("doc_id", F.col("text").cast("string").alias("text"),
-                        F.monotonically_increasing_id().alias("place"))
+    whole = numbered(docs, place, "documents")
+    light = whole.select("doc_id", F.col("text").cast("string").alias("text"), F.col(place).alias("place"))
     rows = stored(fingerprints(light), "fingerprints")
     chosen = (rows.join(classes(rows), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
               .groupBy("root").agg(F.min("place").alias(place)).select(place))
-    return (docs.withColumn(place, F.monotonically_increasing_id())
-            .join(chosen, place, "left_semi").select(docs.columns))
+    return whole.join(chosen, place, "left_semi").select(docs.columns)

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import map_batches, slices, stored
+from ordermart.llm.common import map_batches, numbered, slices, stored
 
 LENGTH = 100
 GRAM = 24
@@ -404,13 +404,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     ``doc_id`` is a whole number; rows with equal ids follow each other as they lie in the table,
     rows with a null id come after all others.  Null texts are empty; texts shorter than ``length``
     lose nothing.  Copies of a text, and repeated rows, lose all but the first (if long enough).  No
-    rows in: no rows out.  ``docs`` is a stored table (it is scanned several times).
+    rows in: no rows out.
     """
     if not 8 <= gram < length <= 250:
         raise ValueError("need 8 <= gram < length <= 250")
-    rows = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("data"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("age"),
-                       F.monotonically_increasing_id().alias("row"))
+    rows = numbered(docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("data"),
+                                F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("age")), "row", "documents")
     spans = repeated_spans(rows.select("row", "age", "data"), length, gram)
     gathered = spans.groupBy("row").agg(F.collect_list(F.struct("begin", "stop")).alias("cut"))
 

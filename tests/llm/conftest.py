@@ -25,6 +25,28 @@ def make_docs(spark):
     return make
 
 
+@pytest.fixture()
+def restless(spark, monkeypatch):
+    """Each table that an operator stores changes how the next scans cut their files, as a change of the
+    number of cores does."""
+    from ordermart.llm import common
+    write, sizes = common.stored, ["3k", "128m", "11k"]
+
+    def stored(df, tag):
+        out = write(df, tag)
+        sizes.append(sizes.pop(0))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", sizes[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return out
+
+    def use(*modules):
+        for m in (common, *modules):
+            monkeypatch.setattr(m, "stored", stored)
+    yield use
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 @pytest.fixture(scope="session")
 def texts(spark):
     """(doc_id, text) of a small given table."""

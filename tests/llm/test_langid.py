@@ -25,6 +25,68 @@ def test_bundles_equal_brute_force_also_for_wide_alphabets(texts, monkeypatch):
     monkeypatch.setattr(langid, "_DENSE", 10)       # count by sorting
     monkeypatch.setattr(langid, "_BLOCK", 100)      # long texts in blocks
     assert np.array_equal(langid.bundles(sample, list(range(len(sample))), len(sample), 64, 5), want)
+    monkeypatch.setattr(langid, "_CELLS", 10)       # few counts at once
+    monkeypatch.setattr(langid, "_COLUMNS", 7)
+    assert np.array_equal(langid.bundles(sample, list(range(len(sample))), len(sample), 64, 5), want)
+
+
+def test_many_letters_need_little_memory():
+    """4 MB of text over 20,000 letters in one slice: the worker stays under 300 MB."""
+    import subprocess
+    import sys
+    program = """
+import resource, numpy as np
+from ordermart.llm import langid
+rng = np.random.default_rng(3)
+texts = ["".join(map(chr, 0x4E00 + rng.zipf(1.3, 2800) % 20000)) for _ in range(512)]
+assert sum(len(t.encode()) for t in texts) > 4 << 20
+got = langid.bundles(texts, list(range(512)), 512, langid.DIM, 1)
+assert got.any(axis=1).all()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+"""
+    out = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True, env={"OMP_NUM_THREADS": "1", **__import__("os").environ})
+    assert int(out.stdout.split()[-1]) < 300 << 10
+
+
+def test_cosine_and_choice_equal_brute_force(texts):
+    sample = [t for _, t in texts[:12]] + ["x", "zz qq"]
+    proto = {"a": brute_bundle(" ".join(t for _, t in texts[:3]), 64, 5), "b": brute_bundle(texts[5][1], 64, 5)}
+    unit = np.stack([v / np.linalg.norm(v) for v in proto.values()])
+    langs, scores = langid.predict(sample, list(proto), unit, 64, 5)
+    for t, lang, score in zip(sample, langs, scores):
+        p = brute_bundle(t, 64, 5)
+        cos = {k: float(p @ v / np.linalg.norm(p) / np.linalg.norm(v)) for k, v in proto.items()}
+        assert lang == max(cos, key=cos.get) and abs(score - max(0, cos[lang])) < 1e-12
+
+
+def test_expected_cosine_of_drawn_ngrams():
+    rng = np.random.default_rng(2)
+    vectors = rng.choice([-1.0, 1.0], (3000, 4096))
+    share = 1 / np.arange(1, 3001) ** 0.9
+    share /= share.sum()
+    n = 200_000
+    prototype = rng.multinomial(n, share) @ vectors
+    variety = langid.variety_of(prototype, n)
+    assert abs(variety * (share ** 2).sum() - 1) < 0.1
+    for k in (5, 50, 1000):
+        got = []
+        for _ in range(30):
+            p = rng.multinomial(k, share) @ vectors
+            got.append(p @ prototype / np.linalg.norm(p) / np.linalg.norm(prototype))
+        assert abs(np.mean(got) - langid.expected_cosine(k, variety)) < 0.05
+
+
+def test_stage_rejects_strange_texts_of_any_length(spark, make_docs):
+    """Languages made of their own words; random letters go from some length on, known texts never."""
+    rng = np.random.default_rng(6)
+    def text(words, n):
+        return " ".join(rng.choice(words, n))
+    words = {k: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 7))) for _ in range(60)] for k in range(2)}
+    known = [(i, text(words[i % 2], n)) for i, n in enumerate([1, 2, 3, 5, 8, 12, 20, 50, 100, 400] * 30)]
+    strange = [(1000 + i, "".join(rng.choice(list("αβγδεζηθικλμνξοπρστυφχψω "), n))) for i, n in enumerate([300, 600, 1200, 5000, 20000])]
+    docs = make_docs(known + strange).withColumn("lang", F.when(F.col("doc_id") < 1000, F.concat(F.lit("l"), F.col("doc_id") % 2)))
+    kept = {r.doc_id for r in langid.keep_known(docs).collect()}
+    assert kept >= {i for i, _ in known} and not kept & {i for i, t in strange if len(t) >= 600}
 
 
 def test_letterless_texts_are_unknown():

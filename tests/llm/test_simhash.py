@@ -15,8 +15,8 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
 
 
-def brute_classes(fps):
-    """fingerprint -> smallest member of its class, over links of 2 or fewer bits."""
+def brute_classes(fps, max_bits=2):
+    """fingerprint -> smallest member of its class, over links of ``max_bits`` or fewer bits."""
     root = {f: f for f in fps}
 
     def find(x):
@@ -26,7 +26,7 @@ def brute_classes(fps):
     items = sorted(fps)
     for i, a in enumerate(items):
         for b in items[:i]:
-            if bin((a ^ b) & (2 ** 64 - 1)).count("1") <= 2:
+            if bin((a ^ b) & (2 ** 64 - 1)).count("1") <= max_bits:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {f: find(f) for f in fps}
@@ -42,9 +42,9 @@ def test_fingerprints_equal_brute_force(texts, monkeypatch):
     assert simhash.fingerprint(None) == 0
 
 
-def _classes(spark, fps, longest):
+def _classes(spark, fps, longest, max_bits=2):
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
-    found = graph.components(simhash.links(df, longest=longest)).collect()
+    found = graph.components(simhash.links(df, max_bits, longest=longest)).collect()
     return {f: f for f in fps} | {r.node: r.root for r in found}
 
 
@@ -69,6 +69,47 @@ def test_links_lose_none_in_short_split_and_hot_lists(spark):
     want = brute_classes(fps)
     assert _classes(spark, fps, 64) == want
     assert _classes(spark, fps, 4) == want   # every way of the index is used
+    for bits in (0, 1):
+        want = brute_classes(fps, bits)
+        assert _classes(spark, fps, 64, bits) == want and _classes(spark, fps, 4, bits) == want
+    assert _classes(spark, {1, 2}, 1, 1) == {1: 1, 2: 2}        # two bits apart, and 3 is not there
+
+
+def test_six_positions_hold_three_lists_and_five_hold_one():
+    from itertools import combinations
+    assert len(simhash.QUADS) == 14
+    for size, shared in ((4, {0, 1}), (5, {1}), (6, {3}), (7, {7})):
+        assert {sum(set(q) <= set(p) for q in simhash.QUADS) for p in combinations(range(8), size)} == shared
+
+
+def test_the_count_alone_removes_pairs(spark):
+    """Pairs that share a list but not six bytes never reach the Hamming test."""
+    rng = random.Random(8)
+    signed = lambda x: x - 2 ** 64 if x >= 2 ** 63 else x
+    fps = set()
+    for _ in range(40):
+        x = rng.getrandbits(64)
+        fps |= {signed(x), signed(x ^ 1), signed(x ^ (1 << 20) ^ (1 << 41))}            # links
+        for changed in (3, 4):                                                          # five or four equal bytes
+            y = x
+            for p in rng.sample(range(8), changed):
+                y ^= rng.randrange(1, 256) << (8 * p)
+            fps.add(signed(y))
+    posts = simhash._posted(spark.createDataFrame([(f,) for f in fps], "fp long"), simhash.QUADS, "quad")
+    sharing = {(r.a, r.b) for r in simhash._pairs(posts, "quad").collect()}
+    kept = {(r.a, r.b) for r in simhash.tallied(posts, "quad", simhash.LEAST[2]).collect()}
+    equal = lambda a, b: sum((a ^ b) >> (8 * p) & 255 == 0 for p in range(8))
+    assert kept == {(a, b) for a in fps for b in fps if a < b and equal(a, b) >= 6}
+    assert len(sharing - kept) >= 30
+
+
+def test_row_numbers_survive_a_change_of_cores(spark, make_docs, texts, restless):
+    rows = texts + texts[:50] + [(None, "q"), (None, "q")]
+    docs = make_docs(rows, 5)
+    want = sorted(map(repr, simhash.keep_one(docs).collect()))
+    assert len(want) > 20
+    restless(simhash, graph)
+    assert sorted(map(repr, simhash.keep_one(docs).collect())) == want
 
 
 def test_long_chain_is_one_component(spark):

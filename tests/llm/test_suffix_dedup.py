@@ -81,3 +81,10 @@ def test_multikey_quicksort_and_prefixes():
     for i in range(1, 500):
         n = prefix[i]
         assert rows[i][:n] == rows[i - 1][:n] and (n == 20 or rows[i][n] != rows[i - 1][n])
+
+
+def test_row_numbers_survive_a_change_of_cores(make_docs, texts, restless):
+    docs = make_docs(texts + texts[:30], 5)
+    want = sorted(map(repr, S.op5_query(docs).collect()))
+    restless(S)
+    assert sorted(map(repr, S.op5_query(docs).collect())) == want
