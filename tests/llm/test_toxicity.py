@@ -17,6 +17,18 @@ def test_pairs_count_that_single_terms_miss():
     assert right / len(rows) > 0.95
 
 
+def test_margin_is_the_explicit_sum_over_pairs():
+    rng = np.random.default_rng(4)
+    buckets = np.sort(rng.choice(1000, 60, replace=False))
+    m = X.Machine(0.3, buckets, rng.normal(size=60), rng.normal(size=(60, X.FACTORS)))
+    for n in (0, 1, 2, 17, 200):
+        terms = np.sort(rng.choice(1000, n, replace=False))
+        known = [i for i, b in enumerate(buckets) if b in set(terms.tolist())]
+        want = 0.3 + sum(m.weight[i] for i in known) + sum(
+            float(m.latent[i] @ m.latent[j]) for a, i in enumerate(known) for j in known[a + 1:])
+        assert abs(m.margin(terms) - want) < 1e-9
+
+
 def _rare_pair(seed):
     """Half of 6,000 documents toxic by word 30, or by 10 and 20 together (54 documents each way, so
     that each alone is neutral and in under 2 %), 12 by word 40."""
