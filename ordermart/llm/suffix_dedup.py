@@ -8,10 +8,10 @@ A suffix for each byte is too much to move, so suffixes start at anchors only: e
 same offset, so two windows are equal exactly if their anchors' suffixes agree for the rest of the
 window and the bytes before the anchors agree back to its start.  About 1 byte in 39 is an anchor.
 
-1. Each task hashes the stretch that an anchor's windows cover.  Of equal stretches in a task only
-   the first is sent on; the others are removed whole.  Stretches are range-partitioned by (hash of
-   the gram, hash of the stretch); of equal ones all but the first are removed whole, and the first
-   is a suffix to sort if its gram has other stretches, too.
+1. Each task hashes the stretch that an anchor's windows cover, and compares the bytes of stretches
+   with equal hashes: those that equal an earlier one of the task are removed whole, the others are
+   sent on.  They are range-partitioned by (hash of the gram, hash of the stretch); each whose gram
+   occurs again is a suffix to sort.  Here a hash tells only which suffixes are worth sorting.
 2. Suffixes (with the bytes before them) are range-partitioned by their leading bytes with sampled
    splitters.  Each bucket sorts its suffixes by multikey quicksort (eight bytes a key), takes the
    common prefix of neighbours, and finds for every window the earliest suffix that shares it.
@@ -22,7 +22,7 @@ window and the bytes before the anchors agree back to its start.  About 1 byte i
    hash in a Spark aggregation.
 4. The spans of each document are gathered and cut out.
 
-Scale: hot passages shrink to one row per task in 1, to one suffix in 2, and a gram with very many
+Scale: hot passages shrink to one row per task in 1, and a gram with very many
 different surroundings is spread over buckets by the splitters.  No task holds more than its bucket,
 whose size is set; texts are moved compressed.
 """
@@ -115,7 +115,7 @@ class _Merger:
 
     def __init__(self, length: int, gram: int):
         self.length, self.gram = length, gram
-        self.parts, self.size = [], 0
+        self.parts, self.size, self.texts = [], 0, {}
 
     def add(self, age: int, row: int, data: bytes) -> None:
         raw = np.frombuffer(data, np.uint8)
@@ -125,15 +125,37 @@ class _Merger:
             kh, sh, at, begin, end = anchors(raw, first, last, self.length, self.gram)
             self.parts.append((kh.view(np.int64), sh.view(np.int64), np.full(len(at), age), np.full(len(at), row),
                                _pack(at, begin, end)))
+        if starts > 0:
+            self.texts[row] = raw
         self.size += len(raw)
 
     def take(self) -> tuple[list[np.ndarray], np.ndarray]:
         """The collected columns in order of (gram, stretch, age), and which rows come first."""
         if not self.parts:
             return [np.empty(0, np.int64)] * 5, np.empty(0, bool)
-        cols = [np.concatenate(c) for c in zip(*self.parts)]
-        self.parts, self.size = [], 0
-        return _ordered(cols)
+        cols, first = _ordered([np.concatenate(c) for c in zip(*self.parts)])
+        again = np.flatnonzero(~first)
+        lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+        first[again[~self._same(cols, again, lead[again])]] = True        # equal hashes, other bytes
+        self.parts, self.size, self.texts = [], 0, {}
+        return cols, first
+
+    def _same(self, cols: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the stretches at places ``a`` of the columns have the bytes of those at ``b``."""
+        rows = np.fromiter(self.texts, np.int64, len(self.texts))
+        order, sizes = np.argsort(rows), np.array([len(t) for t in self.texts.values()])
+        flat, base = np.concatenate(list(self.texts.values())), np.cumsum(sizes) - sizes
+        _, begin, end = _unpack(cols[4])
+        where = base[order][np.searchsorted(rows[order], cols[3])] + begin
+        size, out = end - begin + self.length, np.zeros(len(a), bool)
+        for i in range(0, len(a), 1 << 13):
+            x, y = a[i:i + (1 << 13)], b[i:i + (1 << 13)]
+            step = np.arange(size[x].max())[None, :]
+            inside = step < size[x][:, None]
+            at = np.where(inside, step, 0)
+            same = flat[where[x][:, None] + at] == flat[where[y][:, None] + at]
+            out[i:i + (1 << 13)] = same.all(axis=1) & (size[x] == size[y])
+        return out
 
 
 def _ordered(cols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -176,29 +198,22 @@ def _stretches(rows: DataFrame, length: int, gram: int, repeats: bool) -> DataFr
     return rows.mapInArrow(run, _SPAN if repeats else _STRETCH)
 
 
-def _sift(stretches: DataFrame, length: int) -> DataFrame:
-    """Of sorted, range-partitioned stretches: kind 0, the span of a repeat; kind 1, the first of a
-    stretch whose gram has others (or lies at the partition's end, where others may follow)."""
+def _sift(stretches: DataFrame) -> DataFrame:
+    """Of range-partitioned stretches those whose gram occurs again (or lies at the partition's end,
+    where it may)."""
     def run(batches):
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        cols, first = _ordered([table.column(c).to_numpy() for c in ("kh", "sh", "age", "row", "packed")])
-        new_gram = np.concatenate(([True], cols[0][1:] != cols[0][:-1]))
-        gram = np.cumsum(new_gram) - 1
-        kinds = np.bincount(gram, weights=first)
-        kinds[[0, -1]] = 2
-        sort = first & (kinds[gram] > 1)
-        _, begin, end = _unpack(cols[4])
-        again = ~first
-        for pick, kind in ((again, 0), (sort, 1)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(pick.sum(), kind, np.int32)), pa.array(cols[3][pick]), pa.array(cols[2][pick]),
-                 pa.array(cols[4][pick]), pa.array(begin[pick]), pa.array(end[pick] + length)],
-                names=["kind", "row", "age", "packed", "begin", "stop"])
+        gram, age, row, packed = (table.column(c).to_numpy() for c in ("kh", "age", "row", "packed"))
+        _, number, often = np.unique(gram, return_inverse=True, return_counts=True)
+        often[[0, -1]] = 2
+        pick = often[number] > 1
+        yield pa.RecordBatch.from_arrays([pa.array(row[pick]), pa.array(age[pick]), pa.array(packed[pick])],
+                                         names=["row", "age", "packed"])
 
-    return stretches.mapInArrow(run, "kind int, row long, age long, packed long, begin long, stop long")
+    return stretches.mapInArrow(run, "row long, age long, packed long")
 
 
 def _squeezed(rows: DataFrame) -> DataFrame:
@@ -379,8 +394,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     parts = max(1, math.ceil(total / BUCKET_BYTES))
     sent = _stretches(rows, length, gram, repeats=False).repartitionByRange(parts, "kh", "sh")
-    sifted = stored(_sift(sent, length), "stretches")
-    wanted = sifted.where("kind = 1").select("row", "age", "packed")
+    wanted = stored(_sift(sent), "stretches")
     suffixes = stored(_suffixes(rows, wanted, length, gram), "suffixes")
     def buckets(of):
         return max(1, math.ceil(of.count() / BUCKET_SUFFIXES))
@@ -393,7 +407,6 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     across = outer.join(earliest, "window").where(F.struct("age", "row", "begin") != F.col("first"))
     spans = ["row", "begin", "stop"]
     return (_stretches(rows, length, gram, repeats=True).select(spans)
-            .union(sifted.where("kind = 0").select(spans))
             .union(compared.where("suffix IS NULL").select(spans))
             .union(second.where("window IS NULL").select(spans)).union(across.select(spans)))
 
