@@ -26,7 +26,7 @@ from ordermart.operators import cleaning as C
 from ordermart.operators import forecast as M
 from ordermart.plans.analytics import MART_NAMES, write_marts
 from ordermart.plans.clean import OrderPipeline
-from ordermart.session import delete_path, scratch_path, size_shuffles_for
+from ordermart.session import delete_path, own_session, scratch_path, size_shuffles_for
 from ordermart.sources import tables as TB
 from ordermart.sources import text as TX
 
@@ -45,10 +45,11 @@ def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Param
     """feeds (``source=app/``, ``source=web/``) -> ``out_root/processed`` (by data_source).
 
     ``size_shuffles`` raises the shuffle partition count to the measured feed size first, so
-    the dedup shuffle of a very large feed does not run with too few, oversized partitions.
+    the dedup shuffle of a very large feed does not run with too few, oversized partitions.  The job
+    runs in a session of its own: the caller's settings stay as they are, for other threads, too.
     """
     started = time.time()
-    partitions = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    caller, spark = spark, own_session(spark)
     if size_shuffles:
         size_shuffles_for(spark, feeds_root)
     # a tag of its own: a run reads its feeds anew, whatever earlier runs left
@@ -71,13 +72,12 @@ def run_clean(spark: SparkSession, feeds_root: str, out_root: str, params: Param
         if jsonl_export:
             out["jsonl"] = TX.write_jsonl(spark.read.parquet(processed),
                                           f"{out_root.rstrip('/')}/processed_jsonl")
-        _log(spark, log_path, "clean", "success", rows_in, rows_out, time.time() - started)
+        _log(caller, log_path, "clean", "success", rows_in, rows_out, time.time() - started)
         return out
     except Exception:
-        _log(spark, log_path, "clean", "failed", rows_in, rows_out, time.time() - started)
+        _log(caller, log_path, "clean", "failed", rows_in, rows_out, time.time() - started)
         raise
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
         for path in (pipe.valid_path, f"{pipe.valid_path}_bounds"):
             delete_path(spark, path)
 

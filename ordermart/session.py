@@ -52,6 +52,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, tables and context, whose settings can be changed apart."""
+    return SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
