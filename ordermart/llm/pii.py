@@ -322,7 +322,11 @@ def op1_query(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """Pipeline stage: all documents, each span of ``text`` replaced by its kind in brackets
-    (overlapping spans by that of the first); ``n_chars`` follows the new text."""
+    (overlapping spans by that of the first); ``n_chars`` follows the new text.
+
+    Null texts stay null and empty ones empty; repeated rows are redacted each on its own, null ids do
+    not matter; all other columns (any names) stay as they are.  No rows in: no rows out.
+    """
     base, added = spare_name(docs.columns, "pii_base"), spare_name(docs.columns, "pii_added")
     found = find(docs, base=base, added=added)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])

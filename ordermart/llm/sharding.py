@@ -44,10 +44,12 @@ def shuffled(docs: DataFrame, text: str = "text", shards: int = SHARDS, seed: in
 
     Null texts count as no bytes and are dealt like others, as are rows with a null id; repeated
     rows get slots of their own.  Fewer rows than shards leave shards empty; no rows in, no rows out.
-    Other columns pass through; the two new names must be free.
+    Other columns pass through (any names); a column that has one of the two new names is refused.
     """
     if shards < 1:
         raise ValueError("at least one shard")
+    if clash := {shard_col.lower(), slot_col.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"columns with names that the result needs: {sorted(clash)}")
     bucket, place, rank = (spare_name(docs.columns + [shard_col, slot_col], n) for n in ("bucket", "place", "rank"))
     size = F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long") + F.lit(1)
     total = docs.agg(F.sum(size)).first()[0] or 0

@@ -89,6 +89,16 @@ def test_stage_rejects_strange_texts_of_any_length(spark, make_docs):
     assert kept >= {i for i, _ in known} and not kept & {i for i, t in strange if len(t) >= 600}
 
 
+def test_very_long_texts_in_one_go_and_in_blocks(texts):
+    long = " ".join(t for _, t in texts) * 12
+    assert len(long) > langid._BLOCK
+    short = [" ".join(t for _, t in texts)]
+    proto = {"a": brute_bundle(texts[0][1], 64, 5), "b": brute_bundle(texts[5][1], 64, 5)}
+    unit = np.stack([v / np.linalg.norm(v) for v in proto.values()])
+    a, b = langid.predict([long], list(proto), unit, 64, 5), langid.predict(short, list(proto), unit, 64, 5)
+    assert a[0] == b[0] and abs(a[1][0] - b[1][0]) < 0.01
+
+
 def test_letterless_texts_are_unknown():
     proto = {"a": np.ones(langid.DIM), "b": -np.ones(langid.DIM)}
     unit = np.stack([v / np.linalg.norm(v) for v in proto.values()])

@@ -37,6 +37,19 @@ def test_empty_table_few_rows_and_clashing_columns(spark, make_docs, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 2
 
 
+def test_taken_names_are_refused(make_docs):
+    import pytest
+    with pytest.raises(ValueError):
+        sharding.shuffled(make_docs([(1, "a")]).withColumn("Slot", F.lit(1)))
+
+
+def test_very_long_texts(make_docs):
+    rows = [(1, "word " * 800_000), (2, "é" * 2_000_000), (3, "x")]
+    got = {r.doc_id: r for r in sharding.op3_query(make_docs(rows)).collect()}
+    assert [got[i]["size"] for i in (1, 2, 3)] == [len(t.encode()) + 1 for _, t in rows]
+    assert [got[i].text_crc32 for i in (1, 2)] == [zlib.crc32(t.encode()) for _, t in rows[:2]]
+
+
 def test_fisher_yates_is_uniform():
     seen = Counter(tuple(sharding.fisher_yates(3, 7, b)) for b in range(6000))
     assert len(seen) == 6 and max(seen.values()) < 1.15 * min(seen.values())
