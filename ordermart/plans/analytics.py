@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ordermart.operators import forecast as M
@@ -132,9 +135,13 @@ def write_marts(spark, sales: DataFrame, root: str, params, skip_committed: bool
     active days), which the seller-month, category, month and KPI marts re-aggregate; for the product
     totals; and for the distinct customers: their monthly bitmaps (two pruned scans, kept beside the
     marts for later KPIs), or one sketch where ``approx_customers_rsd`` asks for it.  seller_alerts
-    reads the written seller_monthly.
+    reads the written seller_monthly; marts that need nothing of each other are written at once.
     """
     root = root.rstrip("/")
+    paths = {name: f"{root}/{name}" for name in MART_NAMES}
+    missing = [n for n in MART_NAMES if not (skip_committed and committed(spark, paths[n]))]
+    if not missing:
+        return paths
     cube = stored_cube(spark, sales, root, skip_committed, cube_path)
     m = params.marts
 
@@ -152,12 +159,16 @@ def write_marts(spark, sales: DataFrame, root: str, params, skip_committed: bool
         "seller_alerts": lambda: A.seller_alerts(spark.read.parquet(f"{root}/seller_monthly"),
                                                  m.alert_drop_pct, m.alert_type),
     }
-    paths = {}
-    for name in MART_NAMES:
-        path = f"{root}/{name}"
-        if not (skip_committed and committed(spark, path)):
-            write_mart(builders[name](), root, name)
-        paths[name] = path
+    def write(names) -> None:
+        for name in names:
+            if name in missing:
+                write_mart(builders[name](), root, name)
+
+    # marts that do not read each other are written side by side: their small jobs share the cluster
+    chains = [("seller_monthly", "seller_alerts"), ("revenue_by_category",), ("monthly_trend",), ("top_products",), ("kpi_summary",)]
+    with ThreadPoolExecutor(len(chains)) as pool:
+        for done in [pool.submit(inheritable_thread_target(partial(write, names))) for names in chains]:
+            done.result()
     return paths
 
 

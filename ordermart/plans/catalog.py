@@ -846,7 +846,7 @@ def seller_predictions(spark, sf_dir):
 
 @register("predictions_sorted", WF("SELECT * FROM predictions ORDER BY seller_id, year_month"))
 def predictions_sorted(spark, sf_dir):
-    return _a(spark, sf_dir).predictions().orderBy("seller_id", "year_month")
+    return _a(spark, sf_dir).predictions()           # sorted by the library (O5)
 
 
 @register("model_roundtrip", WF("SELECT seller_id, year_month, predicted_revenue, TRUE AS as_fitted FROM predictions"))
