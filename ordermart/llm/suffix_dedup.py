@@ -9,9 +9,9 @@ same offset, so two windows are equal exactly if their anchors' suffixes agree f
 window and the bytes before the anchors agree back to its start.  About 1 byte in 39 is an anchor.
 
 1. Each task hashes the stretch that an anchor's windows cover, and compares the bytes of stretches
-   with equal hashes: those that equal an earlier one of the task are removed whole, the others are
-   sent on.  They are range-partitioned by (hash of the gram, hash of the stretch); each whose gram
-   occurs again is a suffix to sort.  Here a hash tells only which suffixes are worth sorting.
+   with equal hashes: those that equal an earlier one of the task are removed whole.  Each other whose
+   gram occurs again is a suffix to sort: within the task this is known, and one stretch of each gram
+   is sent to be counted by the gram's hash over all tasks.  Hashes tell only what is worth sorting.
 2. Suffixes (with the bytes before them) are range-partitioned by their leading bytes with sampled
    splitters.  Each bucket sorts its suffixes by multikey quicksort (eight bytes a key), takes the
    common prefix of neighbours, and finds for every window the earliest suffix that shares it.
@@ -166,23 +166,26 @@ def _ordered(cols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return cols, first
 
 
-_STRETCH = "kh long, sh long, age long, row long, packed long"
+#: How a stretch of a task is sent on: the only one of its gram there, the first of several, another
+#: of these, or a repeat of an equal one.
+_ALONE, _FIRST, _OTHER, _REPEAT = range(4)
+_STRETCH = "gram long, age long, row long, packed long, state int"
 _SPAN = "row long, begin long, stop long"
 
 
-def _spans_batch(row, begin, stop) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (row, begin, stop)],
-                                      names=["row", "begin", "stop"])
-
-
-def _stretches(rows: DataFrame, length: int, gram: int, repeats: bool) -> DataFrame:
-    """The first of equal stretches of each task, or (``repeats``) the spans of the others."""
+def _stretches(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """The stretches of all rows, each with what its task knows of it."""
     def out(merger):
         cols, first = merger.take()
-        if repeats:
-            _, begin, end = _unpack(cols[4][~first])
-            return _spans_batch(cols[3][~first], begin, end + length)
-        return pa.RecordBatch.from_arrays([pa.array(c[first]) for c in cols], names=["kh", "sh", "age", "row", "packed"])
+        kept = np.flatnonzero(first)
+        hashes = cols[0][kept]
+        opens = np.ones(len(kept), bool)
+        opens[1:] = hashes[1:] != hashes[:-1]
+        several = np.bincount(np.cumsum(opens) - 1, minlength=1) > 1
+        state = np.full(len(first), _REPEAT, np.int32)
+        state[kept] = np.where(opens, np.where(several[np.cumsum(opens) - 1], _FIRST, _ALONE), _OTHER) if len(kept) else 0
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (cols[0], cols[2], cols[3], cols[4], state)],
+                                          names=["gram", "age", "row", "packed", "state"])
 
     def run(batches):
         merger = _Merger(length, gram)
@@ -195,25 +198,34 @@ def _stretches(rows: DataFrame, length: int, gram: int, repeats: bool) -> DataFr
                     yield out(merger)
         yield out(merger)
 
-    return rows.mapInArrow(run, _SPAN if repeats else _STRETCH)
+    return rows.mapInArrow(run, _STRETCH)
 
 
-def _sift(stretches: DataFrame) -> DataFrame:
-    """Of range-partitioned stretches those whose gram occurs again (or lies at the partition's end,
-    where it may)."""
+def _sift(stretches: DataFrame, length: int) -> DataFrame:
+    """Of stretches dealt by the hash of their gram (others and repeats anywhere): the spans of repeats
+    (begin, stop), and the suffixes to sort (packed): those whose gram occurs again.  A task counts one
+    stretch a gram and chunk of 32 MB, however common the gram is."""
+    names, kinds = ["row", "age", "packed", "begin", "stop"], [pa.int64()] * 5
+
     def run(batches):
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        gram, age, row, packed = (table.column(c).to_numpy() for c in ("kh", "age", "row", "packed"))
-        _, number, often = np.unique(gram, return_inverse=True, return_counts=True)
-        often[[0, -1]] = 2
-        pick = often[number] > 1
-        yield pa.RecordBatch.from_arrays([pa.array(row[pick]), pa.array(age[pick]), pa.array(packed[pick])],
-                                         names=["row", "age", "packed"])
-
-    return stretches.mapInArrow(run, "row long, age long, packed long")
+        gram, age, row, packed, state = (table.column(c).to_numpy() for c in ("gram", "age", "row", "packed", "state"))
+        counted = np.flatnonzero(state <= _FIRST)
+        _, number, often = np.unique(gram[counted], return_inverse=True, return_counts=True)
+        sort = (state == _FIRST) | (state == _OTHER)
+        sort[counted] |= often[number] > 1
+        none = lambda n: pa.nulls(n, pa.int64())
+        n = int(sort.sum())
+        yield pa.RecordBatch.from_arrays([pa.array(row[sort]), pa.array(age[sort]), pa.array(packed[sort]), none(n), none(n)], names=names)
+        again = state == _REPEAT
+        _, begin, end = _unpack(packed[again])
+        n = int(again.sum())
+        yield pa.RecordBatch.from_arrays([pa.array(row[again]), none(n), none(n), pa.array(begin), pa.array(end + length)], names=names)
+
+    return stretches.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _squeezed(rows: DataFrame) -> DataFrame:
@@ -393,8 +405,10 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     of documents), data (bytes)."""
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     parts = max(1, math.ceil(total / BUCKET_BYTES))
-    sent = _stretches(rows, length, gram, repeats=False).repartitionByRange(parts, "kh", "sh")
-    wanted = stored(_sift(sent), "stretches")
+    found = _stretches(rows, length, gram)
+    dealt = F.when(F.col("state") <= _FIRST, F.col("gram")).otherwise(F.xxhash64("row", "packed"))
+    sifted = stored(_sift(found.repartition(parts, dealt), length), "stretches")
+    wanted = sifted.where("packed IS NOT NULL").select("row", "age", "packed")
     suffixes = stored(_suffixes(rows, wanted, length, gram), "suffixes")
     def buckets(of):
         return max(1, math.ceil(of.count() / BUCKET_SUFFIXES))
@@ -406,7 +420,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     earliest = outer.groupBy("window").agg(F.min(F.struct("age", "row", "begin")).alias("first"), F.count("*").alias("n")).where("n > 1")
     across = outer.join(earliest, "window").where(F.struct("age", "row", "begin") != F.col("first"))
     spans = ["row", "begin", "stop"]
-    return (_stretches(rows, length, gram, repeats=True).select(spans)
+    return (sifted.where("begin IS NOT NULL").select(spans)
             .union(compared.where("suffix IS NULL").select(spans))
             .union(second.where("window IS NULL").select(spans)).union(across.select(spans)))
 
