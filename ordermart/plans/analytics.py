@@ -167,7 +167,7 @@ def write_marts(spark, sales: DataFrame, root: str, params, skip_committed: bool
     # marts that do not read each other are written side by side: their small jobs share the cluster
     chains = [("seller_monthly", "seller_alerts"), ("revenue_by_category",), ("monthly_trend",), ("top_products",), ("kpi_summary",)]
     with ThreadPoolExecutor(len(chains)) as pool:
-        for done in [pool.submit(inheritable_thread_target(partial(write, names))) for names in chains]:
+        for done in [pool.submit(inheritable_thread_target(spark)(partial(write, names))) for names in chains]:
             done.result()
     return paths
 
