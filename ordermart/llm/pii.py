@@ -192,14 +192,25 @@ def scan(docs: DataFrame, text: str, base: str, cands: str) -> DataFrame:
     def proposals(k):
         return F.transform(f"{prefix_cand}_{k}", lambda c: _features(k, c, F.col(mine)))
 
-    df = df.withColumn(base, F.array_sort(F.concat(*[spans(k) for k in KINDS])))
-    seen = F.concat(*[proposals(k) for k in KINDS])
-    df = df.withColumn(cands, seen)
-    return df.withColumn(cands, F.transform(cands, lambda c: F.struct(
-        c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"),
-        F.when(F.exists(F.col(base), lambda b: (b["kind"] == c["kind"]) & (b["start"] <= c["start"]) & (b["end"] >= c["end"])), 1)
-        .when(c["failed"], 0).otherwise(-1).alias("label"), c["f"].alias("f"),
-        F.xxhash64(F.col(mark), c["start"]).alias("h")))).select(*docs.columns, base, cands)
+    def covered(k, c):
+        """Whether a base span of the kind holds the candidate.  These spans are in order and do not
+        overlap, so it can only be the last that starts no later: the first spans of the runs tell in
+        which run of ``_RUN`` it lies."""
+        run = F.size(F.filter(f"{prefix_base}_heads_{k}", lambda h: h <= c["start"]))
+        return (run > 0) & F.exists(F.slice(f"{prefix_base}_spans_{k}", F.greatest(run - 1, F.lit(0)) * _RUN + 1, F.lit(_RUN)),
+                                    lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
+
+    def labelled(k):
+        return F.transform(f"{prefix_cand}_seen_{k}", lambda c: F.struct(
+            c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"),
+            F.when(covered(k, c), 1).when(c["failed"], 0).otherwise(-1).alias("label"), c["f"].alias("f"),
+            F.xxhash64(F.col(mark), c["start"]).alias("h")))
+
+    df = df.withColumns({f"{prefix_base}_spans_{k}": spans(k) for k in KINDS} | {f"{prefix_cand}_seen_{k}": proposals(k) for k in KINDS})
+    df = df.withColumns({f"{prefix_base}_heads_{k}": F.transform(
+        F.filter(f"{prefix_base}_spans_{k}", lambda b, i: i % _RUN == 0), lambda b: b["start"]) for k in KINDS})
+    df = df.withColumn(base, F.array_sort(F.concat(*[F.col(f"{prefix_base}_spans_{k}") for k in KINDS])))
+    return df.withColumn(cands, F.concat(*[labelled(k) for k in KINDS])).select(*docs.columns, base, cands)
 
 
 def _tree_sql(node, f: Column) -> Column:

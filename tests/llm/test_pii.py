@@ -66,6 +66,28 @@ def test_positions_beyond_one_run_of_matches(make_docs):
     assert len(spans) == 700 and spans == [f"email:{a}:{e}" for a, _, e in brute(text)]
 
 
+def test_labels_beyond_one_run_of_spans(make_docs):
+    """Which candidates a base span holds, with more spans than one run and kinds in between."""
+    text = " ".join(f"u{i}@h{i}.org 10.{i % 250}.0.7 300.{i % 250}.0.7" for i in range(700))
+    row = pii.scan(make_docs([(1, text)]), "text", "base", "cands").first()
+    held = {(b.start, b.end, b.kind) for b in row.base}
+    assert len(row.cands) > 1400
+    for c in row.cands:
+        inside = any(k == c.kind and a <= c.start and e >= c.end for a, e, k in held if k == c.kind and a <= c.start)
+        assert (c.label == 1) == inside
+
+
+def test_many_matches_in_one_text(make_docs):
+    import time
+    rows = [(i, " ".join(f"10.{j % 250}.0.{i}" for j in range(n))) for i, n in ((1, 5_000), (2, 20_000))]
+    took = {}
+    for i, t in rows:
+        begin = time.time()
+        assert pii.op1_query(make_docs([(i, t)], 1)).first().n_ip == {1: 5_000, 2: 20_000}[i]
+        took[i] = time.time() - begin
+    assert took[2] < 60
+
+
 def test_trees_add_spans_that_base_patterns_lose(make_docs):
     rows = []
     for i in range(150):
