@@ -133,11 +133,12 @@ class _Merger:
         """The collected columns in order of (gram, stretch, age), and which rows come first."""
         if not self.parts:
             return [np.empty(0, np.int64)] * 5, np.empty(0, bool)
-        cols, first = _ordered([np.concatenate(c) for c in zip(*self.parts)])
+        cols, self.parts = [np.concatenate(c) for c in zip(*self.parts)], []
+        cols, first = _ordered(cols)
         again = np.flatnonzero(~first)
         lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
         first[again[~self._same(cols, again, lead[again])]] = True        # equal hashes, other bytes
-        self.parts, self.size, self.texts = [], 0, {}
+        self.size = 0
         return cols, first
 
     def _same(self, cols: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -145,16 +146,17 @@ class _Merger:
         rows = np.fromiter(self.texts, np.int64, len(self.texts))
         order, sizes = np.argsort(rows), np.array([len(t) for t in self.texts.values()])
         flat, base = np.concatenate(list(self.texts.values())), np.cumsum(sizes) - sizes
+        self.texts = {}
         _, begin, end = _unpack(cols[4])
         where = base[order][np.searchsorted(rows[order], cols[3])] + begin
         size, out = end - begin + self.length, np.zeros(len(a), bool)
-        for i in range(0, len(a), 1 << 13):
-            x, y = a[i:i + (1 << 13)], b[i:i + (1 << 13)]
+        for i in range(0, len(a), 1 << 11):
+            x, y = a[i:i + (1 << 11)], b[i:i + (1 << 11)]
             step = np.arange(size[x].max())[None, :]
             inside = step < size[x][:, None]
             at = np.where(inside, step, 0)
             same = flat[where[x][:, None] + at] == flat[where[y][:, None] + at]
-            out[i:i + (1 << 13)] = same.all(axis=1) & (size[x] == size[y])
+            out[i:i + (1 << 11)] = same.all(axis=1) & (size[x] == size[y])
         return out
 
 
