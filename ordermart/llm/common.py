@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermart.session import delete_path, scratch_path
@@ -41,6 +42,29 @@ def numbered(df: DataFrame, row: str, tag: str) -> DataFrame:
     return stored(df.withColumn(row, F.monotonically_increasing_id()), tag)
 
 
+_ROWS = 1 << 36           # more than the rows of a file
+
+
+def placed(df: DataFrame, row: str, tag: str, most_files: int = 1_000_000) -> DataFrame:
+    """``df`` with a number for each row (column ``row``).  Rows that are read straight from Parquet files
+    are named by their file's number and their place in the file, which every scan finds alike however it
+    cuts the files, so nothing but the list of files is stored; all others are ``numbered``."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    path, at, n = (spare_name([*df.columns, row], c) for c in ("file_path", "row_index", "file_number"))
+    try:
+        if plan.getClass().getSimpleName() != "LogicalRelation":
+            return numbered(df, row, tag)
+        found = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at))
+    except AnalysisException:       # no files, or of a kind that does not number its rows
+        return numbered(df, row, tag)
+    files = stored(found.select(path).distinct().withColumn(n, F.row_number().over(Window.orderBy(path))), tag)
+    if files.count() <= most_files:
+        files = F.broadcast(files)
+    return found.join(files, path).select(*df.columns, (F.col(n) * F.lit(_ROWS) + F.col(at)).alias(row))
+
+
 def written() -> int:
     """How many folders ``stored`` has written so far: a mark for ``clear``."""
     return len(_WRITTEN)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import numbered, slices, spare_name, stored
+from ordermart.llm.common import placed, slices, spare_name, stored
 
 WINDOW = 10
 SLOP = 5                       # words that may stand between the terms of a proximity match
@@ -343,7 +343,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     were.  Null and empty texts have no window and stay; repeated rows and null ids are judged each on its
     own; an empty benchmark drops nothing; no rows in: no rows out."""
     place = spare_name(docs.columns, "row_place")
-    whole = numbered(docs, place, "documents")
+    whole = placed(docs, place, "documents")
     light = whole.select("doc_id", "text", F.col(place).alias("place"))
     bad = matches(light, benchmark).where(F.size("spans") > 0).select(F.col("place").alias(place))
     return whole.join(bad, place, "left_anti").select(docs.columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import map_batches, numbered, spare_name, stored
+from ordermart.llm.common import map_batches, placed, spare_name, stored
 from ordermart.llm.graph import components
 
 SHINGLE = 3
@@ -199,7 +199,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     one component with all texts of fingerprint 0.  Other columns (any names) stay as they were; no rows
     in: no rows out."""
     place = spare_name(docs.columns, "row_place")
-    whole = numbered(docs, place, "documents")
+    whole = placed(docs, place, "documents")
     light = whole.select("doc_id", F.col("text").cast("string").alias("text"), F.col(place).alias("place"))
     rows = stored(fingerprints(light), "fingerprints")
     chosen = (rows.join(classes(rows), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
