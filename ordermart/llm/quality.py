@@ -5,12 +5,15 @@ one over the whole raw corpus.  A document's score is the mean over its n-grams
 count) of log p(target) - log p(raw).  Every document at or over the threshold is kept; nothing is
 drawn at random.  The threshold is where ``KEEP`` of the trusted documents pass, less a margin.
 
-Trusted texts are a bounded sample (``TRUSTED`` documents) of those labelled quality 1, three quarters
-of them for the target, the others for the threshold; the raw counts cover every document.
-
-Scale: two scans of the texts and no shuffle of them.  Each task adds its n-grams into one table of
-``BUCKETS`` counts, the tables are added bucket by bucket with map-side aggregation, and 2 x
-``BUCKETS`` numbers come to the driver, whatever the corpus holds.
+Trusted are all documents labelled quality 1: a hash of the id deals each either to the target counts
+(three quarters) or to the threshold, which has to be set on texts that the target has not seen.  The
+raw counts cover every document.
+
+Scale: two scans of the texts, of which the first is shuffled by id to meet the trusted ids, whose
+number grows with the corpus; the second needs no labels.  Each task adds its n-grams into one table
+of ``BUCKETS`` counts, the tables are added bucket by bucket with map-side aggregation, and 2 x
+``BUCKETS`` numbers come to the driver, whatever the corpus holds.  The threshold is an exact quantile
+of stored scores, found by histograms (``exact_quantiles``): no task holds them all.
 """
 
 from __future__ import annotations
@@ -22,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import map_batches, stored
+from ordermart.operators.quantiles import exact_quantiles
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-TRUSTED = 20_000          # most labelled documents that make up the target
 KEEP = 0.999              # share of trusted documents over the threshold
 MARGIN = 0.02
 SYMBOLS = "#*$%&|<>"
@@ -154,8 +157,7 @@ def measure(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 CALIBRATE = 4             # one of so many trusted documents sets the threshold, the others the target
 
 
-def judge(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, keep: float = KEEP,
-          margin: float = MARGIN) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, keep: float = KEEP, margin: float = MARGIN) -> DataFrame:
     """doc_id, the five surface counts, base_failed, llr, threshold and kept, for every row.
 
     Null and empty texts have no words: they fail the base rules.  Labels with a null id or quality
@@ -163,16 +165,17 @@ def judge(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, keep: floa
     counted and judged each on its own.  Without trusted documents the threshold keeps all that
     pass the base rules.
     """
-    sample = (labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-              .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(trusted))     # bounded
-    sample = sample.withColumn("role", F.when(F.pmod(F.xxhash64(F.lit(1), F.col("doc_id").cast("string")),
-                                                     F.lit(CALIBRATE)) == 0, "threshold").otherwise("target"))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id", "left")
-    weights = log_ratio(count_ngrams(rows.select("text", F.coalesce(F.col("role") == "target", F.lit(False)).alias("trusted"))))
-    scored = stored(measure(rows, weights), "quality")
-    least = scored.where("role = 'threshold' AND NOT base_failed").agg(F.percentile("llr", F.lit(1 - keep))).first()[0]
+    known = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    calibrates = F.pmod(F.xxhash64(F.lit(1), F.col("doc_id").cast("string")), F.lit(CALIBRATE)) == 0
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    target = known.where(~calibrates).withColumn("trusted", F.lit(True))
+    rows = texts.join(target.hint("shuffle_hash"), "doc_id", "left")        # the same plan at any size, no sort of texts
+    weights = log_ratio(count_ngrams(rows.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))))
+    scored = stored(measure(texts, weights), "quality")
+    held = scored.where("NOT base_failed").join(known.where(calibrates), "doc_id", "left_semi").select("llr")
+    least = exact_quantiles(stored(held, "quality-held"), "llr", [1 - keep])[0]
     least = float("-inf") if least is None else least - margin
-    return scored.drop("role").withColumn("threshold", F.lit(least)).withColumn(
+    return scored.withColumn("threshold", F.lit(least)).withColumn(
         "kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(least)))
 
 

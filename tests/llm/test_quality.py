@@ -95,3 +95,35 @@ def test_awkward_rows_and_labels(spark, make_docs, texts):
     none = quality.op4_query(docs, labels.limit(0)).collect()
     assert all(r.kept != r.base_failed for r in none)
     assert quality.op4_query(docs.limit(0), labels).count() == 0
+
+
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than any bound of old: target counts and threshold come from all of them."""
+    import math
+
+    import numpy as np
+    import xxhash
+    from pyspark.sql import functions as F
+    n = 20_800
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.expr(
+        "array_join(transform(sequence(0, 51), i -> concat('w', (id * id + id * i + i * i * i) % 997)), ' ')").alias("text"))
+    labels = docs.where("doc_id % 40 != 0").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    last = {r.doc_id for r in docs.where(F.pmod(F.xxhash64(F.lit(1), F.col("doc_id").cast("string")), F.lit(quality.CALIBRATE)) == 0)
+            .select("doc_id").collect()}
+    hashes = {f"w{i}": xxhash.xxh64_intdigest(f"w{i}".encode()) for i in range(997)}
+    counts = np.zeros((2, quality.BUCKETS), np.int64)
+    grams = {}
+    for r in docs.collect():
+        h = np.array([hashes[w] for w in r.text.split()], np.uint64)
+        both = np.concatenate((h, h[:-1] * np.uint64(3) + h[1:])) * np.uint64(0x9E3779B97F4A7C15)
+        grams[r.doc_id] = (both >> np.uint64(48)).astype(np.int64)
+        np.add.at(counts[1], grams[r.doc_id], 1)
+        if r.doc_id % 40 and r.doc_id not in last:
+            np.add.at(counts[0], grams[r.doc_id], 1)
+    p = (counts + 1) / (counts.sum(axis=1, keepdims=True) + quality.BUCKETS)
+    want = {i: float((np.log(p[0]) - np.log(p[1]))[g].mean()) for i, g in grams.items()}
+    got = quality.judge(docs, labels).collect()
+    assert len(got) == n and all(math.isclose(r.llr, want[r.doc_id], abs_tol=1e-9) for r in got)
+    held = [r.llr for r in got if not r.base_failed and r.doc_id % 40 and r.doc_id in last]
+    assert len(held) > 5000
+    assert abs(got[0].threshold - (np.percentile(held, 100 * (1 - quality.KEEP)) - quality.MARGIN)) < 1e-9
