@@ -2,6 +2,7 @@
 
 import json
 
+from ordermart.operators import cleaning as C
 from ordermart.sources import feeds
 from tests.conftest import SF_SMALL
 
@@ -35,3 +36,16 @@ def test_feed_layouts(spark):
     assert {r["order_date"][19:] for r in web} == {"+07:00", "+08:00", "Z"}
     retried = [r for r in web if r["metadata"].get("_retry")]
     assert len(flagged) + len(retried) == 15                 # one flagged copy per 100 orders
+
+
+def test_a_line_is_parsed_once(spark, tmp_dir):
+    """Filters on parsed fields must not parse the line anew; broken and blank lines read as ever."""
+    lines = ['{"oid":"1","ts":"0","slr":"S001","st":"done","usr":{"uid":"C1","rgn":"N"},"tot":"5.5"}', "  ", "no record",
+             '{"oid":"2","_dup":true}', '{"oid":"3","_dup":"maybe"}', '{"oid":"4","_dup":false}', '{"oid":"4","_dup":false}', "null"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_dir}/source=app")
+    raw = feeds.read_app_feed(spark, tmp_dir)
+    parsed = C.parse_app(raw)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert sorted(r.order_id for r in parsed.select("order_id").collect()) == ["1", "4", "4"]
+    assert raw.count() == 7 and raw.where("_corrupt_record IS NOT NULL").count() == 3       # blank lines are none
